@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, exact_dedup, simhash, toxicity, url_filter
+from tessera.llm import bpe, decontamination, exact_dedup, simhash, toxicity, url_filter
 from tessera.llm.shared import read
 
 #: The rules that op2 is given.
@@ -41,8 +41,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_bpe, op6_exact_dedup, op7_simhash)
+    f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_bpe, op6_exact_dedup, op7_simhash, op10_decontamination)
 }
 
 _ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
