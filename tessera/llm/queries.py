@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, decontamination, exact_dedup, license_scan, pii, simhash, toxicity, url_filter
+from tessera.llm import bpe, decontamination, exact_dedup, html_text, license_scan, pii, quality, simhash, toxicity, url_filter
 from tessera.llm.shared import read
 
 #: The rules that op2 is given.
@@ -37,6 +37,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal(read(spark, sf_dir, "documents"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
 
@@ -49,12 +53,16 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read(spark, sf_dir, "documents"), license_scan.catalogue(spark))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_bpe, op4_pii, op6_exact_dedup, op7_simhash, op8_license_scan, op10_decontamination)
+    f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_bpe, op4_pii, op5_html_text, op6_exact_dedup, op7_simhash, op8_license_scan, op9_quality, op10_decontamination)
 }
 
 _ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
