@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 #: Phrases that mark a refusal, matched in lower case as substrings.
 REFUSALS = (
-    "cannot answer", "can't answer", "could not", "couldn't", "unable to", "not able to",
-    "no data", "not available", "don't have", "do not have", "outside",
+    "don't have", "do not have", "no data", "not available", "cannot answer", "can't answer",
+    "unable to answer", "not in the data", "outside the scope", "out of scope", "not something i can",
 )
 
 CONTEXTS, CONTEXT_CHARS = 16, 800

@@ -1,9 +1,687 @@
-"""Registered queries of the core library with their SQL."""
+"""Registered queries of the core library with their SQL, over the driver's tables.
 
+Roles: an order is a sale (nation as postcode, market segment as property type), a line
+item a rental bond (order priority as bedroom band), a document a chunk.
+"""
 
-def queries() -> dict:
-    return {}
+from __future__ import annotations
 
+from collections.abc import Callable
 
-def oracle_sql() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.functions import repair, text
+from tessera.functions.metrics import measures, ratio
+from tessera.operators import corpus, evaluate, features, forecast, marts, monitor, quality, retrieval, versions
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None = None):
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _sales(spark: SparkSession, d: str) -> DataFrame:
+    """postcode, property_type, month, price and keys of each order."""
+    o, c = _read(spark, d, "orders"), _read(spark, d, "customer")
+    return o.join(c, o.o_custkey == c.c_custkey).select(
+        "o_orderkey", F.col("c_nationkey").cast("string").alias("postcode"), F.col("c_mktsegment").alias("property_type"),
+        F.col("o_orderpriority").alias("bedroom_band"), repair.month_of(F.col("o_orderdate")).alias("month"), F.col("o_totalprice").alias("price"),
+    )
+
+
+_SALES = """sales AS (SELECT o_orderkey, CAST(c_nationkey AS VARCHAR) AS postcode, c_mktsegment AS property_type, o_orderpriority AS bedroom_band,
+    CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_totalprice AS price FROM orders JOIN customer ON o_custkey = c_custkey)"""
+
+
+def _rents(spark: SparkSession, d: str) -> DataFrame:
+    """The same keys with the month and price of each line item."""
+    li = _read(spark, d, "lineitem")
+    s = _sales(spark, d).select("o_orderkey", "postcode", "property_type", "bedroom_band")
+    return li.join(s, li.l_orderkey == s.o_orderkey).select("postcode", "property_type", "bedroom_band", repair.month_of(F.col("l_shipdate")).alias("month"), F.col("l_extendedprice").alias("price"))
+
+
+_RENTS = f"""{_SALES}, rents AS (SELECT postcode, property_type, bedroom_band, CAST(date_trunc('month', l_shipdate) AS DATE) AS month,
+    l_extendedprice AS price FROM lineitem JOIN sales ON l_orderkey = o_orderkey)"""
+
+
+def _mart_sql(source: str, grain: str, noun: str, total: str, n: str) -> str:
+    return f"""SELECT {grain}, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS {total}, count(price) AS {n},
+        CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price) AS avg_{noun},
+        median(CAST(round(price * 100) AS BIGINT)) / 100.0 AS median_{noun}, min(price) AS min_{noun}, max(price) AS max_{noun}
+        FROM {source} GROUP BY {grain}"""
+
+
+_S = ("total_sale_value", "n_sold")
+_R = ("total_weekly_rent", "n_rented")
+
+
+def _sales_mart(spark, d, grain=("postcode", "property_type", "month")):
+    return marts.monthly_mart(_sales(spark, d), grain, "price", "sale_price", *_S)
+
+
+def _rent_mart(spark, d, grain=("postcode", "property_type", "bedroom_band", "month")):
+    return marts.monthly_mart(_rents(spark, d), grain, "price", "weekly_rent", *_R)
+
+
+# Marts and ratios
+
+
+@_query(f"WITH {_SALES} " + _mart_sql("sales", "property_type, month", "sale_price", *_S))
+def monthly_mart_orders(spark: SparkSession, d: str) -> DataFrame:
+    return _sales_mart(spark, d, ("property_type", "month"))
+
+
+@_query(f"WITH {_RENTS} " + _mart_sql("rents", "postcode, property_type, bedroom_band, month", "weekly_rent", *_R))
+def monthly_mart_lineitem(spark: SparkSession, d: str) -> DataFrame:
+    return _rent_mart(spark, d)
+
+
+_LEGS = f"""{_RENTS},
+    s AS (SELECT postcode, property_type, month, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS total_sale_value, count(price) AS n_sold FROM sales GROUP BY ALL),
+    r AS (SELECT postcode, property_type, month, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS total_weekly_rent, count(price) AS n_rented FROM rents GROUP BY ALL)"""
+_YIELD = f"""{_LEGS}, y AS (SELECT postcode, property_type, month, total_sale_value, n_sold, total_weekly_rent, n_rented,
+    5200 * (total_weekly_rent / n_rented) / (total_sale_value / n_sold) AS gross_yield_pct
+    FROM s JOIN r USING (postcode, property_type, month) WHERE n_sold >= {{floor}} AND n_rented >= {{floor}})"""
+
+
+def _yield(spark, d, floor=5):
+    keys = ("postcode", "property_type", "month")
+    s, r = marts.legs(_sales(spark, d), keys, "price", *_S), marts.legs(_rents(spark, d), keys, "price", *_R)
+    return marts.ratio_mart(s, r, keys, _R, _S, "gross_yield_pct", 5200.0, floor, None)
+
+
+@_query(f"WITH {_YIELD.format(floor=5)} SELECT * FROM y")
+def ratio_mart(spark: SparkSession, d: str) -> DataFrame:
+    return _yield(spark, d)
+
+
+@_query(f"""WITH {_YIELD.format(floor=1)} SELECT month, property_type, (CAST(sum(CAST(total_sale_value AS DECIMAL(28,2))) AS DOUBLE) / sum(n_sold)) AS avg_price,
+    CAST(sum(n_sold) AS BIGINT) AS sales, CAST(sum(CAST(total_weekly_rent AS DECIMAL(28,2))) AS DOUBLE) / sum(n_rented) AS avg_rent, CAST(sum(n_rented) AS BIGINT) AS bonds,
+    round(5200 * (CAST(sum(CAST(total_weekly_rent AS DECIMAL(28,2))) AS DOUBLE) / sum(n_rented)) / (CAST(sum(CAST(total_sale_value AS DECIMAL(28,2))) AS DOUBLE) / sum(n_sold)), 6) AS gross_yield_pct
+    FROM y GROUP BY month, property_type""")
+def measures_by_month(spark: SparkSession, d: str) -> DataFrame:
+    legs = _yield(spark, d, 1).withColumns({c: F.col(c).cast("decimal(28,2)") for c in ("total_sale_value", "total_weekly_rent")})
+    m = measures()
+    return legs.groupBy("month", "property_type").agg(*[(F.round(c, 6) if n == "gross_yield_pct" else c).alias(n) for n, c in m.items()])
+
+
+@_query(f"WITH {_LEGS} SELECT month, count(*) AS grain_rows, CAST(sum(n_sold) AS BIGINT) AS n_sold, CAST(sum(CAST(total_sale_value AS DECIMAL(28,2))) AS DOUBLE) AS total_sale_value FROM s GROUP BY month")
+def parity_rollup(spark: SparkSession, d: str) -> DataFrame:
+    return marts.roll_up(marts.legs(_sales(spark, d), ("postcode", "property_type", "month"), "price", *_S), ("month",), _S[0], _S[1])
+
+
+@_query(f"""WITH {_SALES}, a AS (SELECT month, count(*) AS n FROM sales GROUP BY month), b AS (SELECT month, count(*) AS n FROM sales WHERE postcode <> '3' OR month < DATE '1999-01-01' GROUP BY month)
+    SELECT month, 'n' AS "column", CAST(a.n AS DOUBLE) AS reference, CAST(b.n AS DOUBLE) AS actual,
+    CASE WHEN b.n IS NULL THEN 'only_reference' ELSE 'differs' END AS kind FROM a LEFT JOIN b USING (month) WHERE b.n IS NULL OR a.n <> b.n""")
+def parity_diff(spark: SparkSession, d: str) -> DataFrame:
+    s = _sales(spark, d)
+    count = lambda df: df.groupBy("month").agg(F.count("*").alias("n"))
+    return quality.parity(count(s), count(s.where("postcode <> '3' OR month < DATE '1999-01-01'")), ["month"], ["n"])
+
+
+# Published queries
+
+
+_TOP_SQL = f"""WITH {_LEGS}, top AS (SELECT max(month) AS m FROM s)"""
+
+
+@_query(f"WITH {_YIELD.format(floor=5)} SELECT postcode, property_type, month, gross_yield_pct, n_sold, n_rented FROM y ORDER BY gross_yield_pct DESC, postcode, property_type, month LIMIT 10")
+def leaderboard_topk(spark: SparkSession, d: str) -> DataFrame:
+    return _yield(spark, d).select("postcode", "property_type", "month", "gross_yield_pct", "n_sold", "n_rented").orderBy(F.desc("gross_yield_pct"), "postcode", "property_type", "month").limit(10)
+
+
+@_query(f"""{_TOP_SQL} SELECT postcode, CAST(sum(CAST(total_sale_value AS DECIMAL(28,2))) AS DOUBLE) / sum(n_sold) AS avg_price FROM s, top
+    WHERE month > m - INTERVAL 12 MONTH AND property_type = 'BUILDING' GROUP BY postcode HAVING sum(n_sold) >= 10 ORDER BY avg_price DESC, postcode LIMIT 10""")
+def trailing_12m_topk(spark: SparkSession, d: str) -> DataFrame:
+    mart = marts.legs(_sales(spark, d), ("postcode", "property_type", "month"), "price", *_S).withColumn(_S[0], F.col(_S[0]).cast("decimal(28,2)"))
+    recent = marts.trailing(mart, "month", 12).where("property_type = 'BUILDING'")
+    return marts.leaderboard(recent, ["postcode"], ratio(*_S), "avg_price", F.sum("n_sold") >= 10, 10)
+
+
+@_query(f"""WITH {_YIELD.format(floor=1)} SELECT postcode, property_type, month, gross_yield_pct FROM y WHERE month = (SELECT max(month) FROM y) AND n_sold >= 1 AND n_rented >= 1""")
+def latest_month_yield(spark: SparkSession, d: str) -> DataFrame:
+    return marts.latest(_yield(spark, d, 1), "month").select("postcode", "property_type", "month", "gross_yield_pct")
+
+
+@_query(f"{_TOP_SQL} SELECT postcode, property_type, s.month, n_sold, total_sale_value FROM s, top WHERE s.month = m")
+def latest_month_lookup(spark: SparkSession, d: str) -> DataFrame:
+    return marts.latest(marts.legs(_sales(spark, d), ("postcode", "property_type", "month"), "price", *_S), "month").select("postcode", "property_type", "month", "n_sold", "total_sale_value")
+
+
+@_query(f"""WITH {_SALES}, m AS (SELECT property_type, month, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_price FROM sales GROUP BY ALL)
+    SELECT property_type, month, avg_price, avg_price - lag(avg_price) OVER (PARTITION BY property_type ORDER BY month) AS change FROM m""")
+def mom_change(spark: SparkSession, d: str) -> DataFrame:
+    marts.legs(_sales(spark, d), ("property_type", "month"), "price", *_S).createOrReplaceTempView("tessera_mom")
+    return spark.sql("""WITH m AS (SELECT property_type, month, total_sale_value / CAST(n_sold AS DOUBLE) AS avg_price FROM tessera_mom)
+        SELECT property_type, month, avg_price, avg_price - lag(avg_price) OVER w AS change FROM m WINDOW w AS (PARTITION BY property_type ORDER BY month)""")
+
+
+@_query(f"""WITH {_RENTS} SELECT bedroom_band, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_rent, count(*) AS n FROM rents
+    WHERE year(month) = 1998 AND bedroom_band <> '4-NOT SPECIFIED' GROUP BY bedroom_band""")
+def rent_by_band(spark: SparkSession, d: str) -> DataFrame:
+    rows = _rents(spark, d).where((F.year("month") == 1998) & (F.col("bedroom_band") != "4-NOT SPECIFIED"))
+    out = marts.legs(rows, ("bedroom_band",), "price", "total", "n")
+    return out.select("bedroom_band", (F.col("total") / F.col("n").cast("double")).alias("avg_rent"), "n")
+
+
+@_query("""SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey = 7 ORDER BY o_orderdate DESC, o_orderkey LIMIT 50""")
+def latest_rows(spark: SparkSession, d: str) -> DataFrame:
+    o, c = _read(spark, d, "orders"), _read(spark, d, "customer").where("c_nationkey = 7")
+    return o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate").orderBy(F.desc("o_orderdate"), "o_orderkey").limit(50)
+
+
+# Repair
+
+
+@_query("""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 3 THEN NULL WHEN 4 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS sale_date,
+    CASE WHEN o_orderkey % 5 = 3 THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS digits FROM orders""")
+def repair_encodings(spark: SparkSession, d: str) -> DataFrame:
+    day, era = F.date_format("o_orderdate", "yyyyMMdd"), F.col("o_orderkey") % 5
+    mantissa = F.concat(F.substring(day, 1, 1), F.lit("."), F.substring(day, 2, 7), F.lit("E7"))
+    dirty = F.when(era == 0, day).when(era == 1, F.concat(day, F.lit(".0"))).when(era == 2, mantissa).when(era == 3, "not-a-date").otherwise(F.concat(F.substring(day, 3, 6), F.lit(".0")))
+    number = F.when(era == 3, F.lit("12a")).otherwise(F.concat(F.lit(" "), F.col("o_orderkey").cast("string"), F.lit(".0 ")))
+    return _read(spark, d, "orders").select("o_orderkey", repair.compact_date(dirty).alias("sale_date"), repair.digits_from_floatish(number).alias("digits"))
+
+
+@_query("""SELECT p_partkey, CASE WHEN p_retailprice < 400 THEN '<400' WHEN p_retailprice < 700 THEN '400-700' WHEN p_retailprice < 1000 THEN '700-1000' WHEN p_retailprice < 5000 THEN '1000-5000' ELSE '5000+' END AS area_band,
+    CASE WHEN p_size % 7 = 0 THEN 'unknown' WHEN p_size % 7 >= 5 THEN '5+' ELSE CAST(p_size % 7 AS VARCHAR) END AS bedroom_band,
+    CASE WHEN p_size % 3 = 0 THEN 'house' ELSE 'unit' END AS by_strata, CASE WHEN p_size % 4 IN (0, 1) THEN 'house' ELSE 'unit' END AS by_code,
+    CASE WHEN p_size % 3 = 0 THEN p_size * 10000.0::DOUBLE WHEN p_size % 3 = 1 THEN CAST(p_size AS DOUBLE) END AS area_sqm FROM part""")
+def banding(spark: SparkSession, d: str) -> DataFrame:
+    size = F.col("p_size")
+    strata = F.when(size % 3 == 0, "").when(size % 3 == 1, " ").otherwise("SP1")
+    code = F.when(size % 4 == 0, " h").when(size % 4 == 1, "T ").when(size % 4 == 2, "F")
+    unit = F.when(size % 3 == 0, "H").when(size % 3 == 1, " m ").otherwise("")
+    return _read(spark, d, "part").select(
+        "p_partkey", repair.area_band(F.col("p_retailprice")).alias("area_band"), repair.count_band(F.when(size % 7 != 0, size % 7)).alias("bedroom_band"),
+        repair.dwelling_by_strata(strata).alias("by_strata"), repair.dwelling_by_code(code).alias("by_code"), repair.area_sqm(size.cast("string"), unit).alias("area_sqm"),
+    )
+
+
+_TITLE = "array_to_string(list_transform(string_split(lower(trim({0})), ' '), lambda w: upper(w[1]) || w[2:]), ' ')"
+
+
+@_query(f"""SELECT p_partkey, {_TITLE.format("p_name")} AS by_space, {_TITLE.format("p_type")} AS type_by_space,
+    array_to_string(list_transform(regexp_extract_all(lower(trim(p_type || '-' || p_brand)), '[a-z0-9]+|[^a-z0-9]+'), lambda w: upper(w[1]) || w[2:]), '') AS by_run FROM part""")
+def title_case(spark: SparkSession, d: str) -> DataFrame:
+    return _read(spark, d, "part").select(
+        "p_partkey", repair.title_by_space(F.col("p_name")).alias("by_space"), repair.title_by_space(F.col("p_type")).alias("type_by_space"), repair.title_by_run(F.concat_ws("-", "p_type", "p_brand")).alias("by_run")
+    )
+
+
+@_query("""SELECT event_id, lpad(CAST(event_id // 60 AS VARCHAR), CAST(greatest(2, length(CAST(event_id // 60 AS VARCHAR))) AS INTEGER), '0') || ':' || lpad(CAST(event_id % 60 AS VARCHAR), 2, '0') AS clock,
+    'kind' || CAST(event_id % 3 AS VARCHAR) AS kind, CAST(date_trunc('month', ts) AS DATE) AS month FROM events""")
+def clocks_and_kinds(spark: SparkSession, d: str) -> DataFrame:
+    name = F.concat(F.lit("runs/kind"), (F.col("event_id") % 3).cast("string"), F.when(F.col("event_id") % 2 == 0, "-2026.json").otherwise(".json"))
+    return _read(spark, d, "events").select("event_id", repair.clock(F.concat(F.col("event_id").cast("string"), F.lit(".7"))).alias("clock"), repair.kind_from_name(name).alias("kind"), repair.month_of(F.col("ts")).alias("month"))
+
+
+@_query("""WITH k AS (SELECT o_orderkey, substr(sha256(CAST(o_custkey AS VARCHAR) || '|' || coalesce(CAST(NULL AS VARCHAR), '') || '|' || o_orderpriority), 1, 16) AS h FROM orders)
+    SELECT o_orderkey, h || '-' || CAST(row_number() OVER (PARTITION BY h ORDER BY o_orderkey) AS VARCHAR) AS sale_id FROM k""")
+def surrogate_keys(spark: SparkSession, d: str) -> DataFrame:
+    key = repair.business_hash([F.col("o_custkey"), F.lit(None).cast("string"), F.col("o_orderpriority")])
+    return versions.numbered_keys(_read(spark, d, "orders"), key, ["o_orderkey"], "sale_id").select("o_orderkey", "sale_id")
+
+
+# Quality
+
+
+def _flagged(spark, d):
+    rows = _read(spark, d, "orders").select(
+        "o_orderkey", repair.month_of(F.col("o_orderdate")).alias("month"), F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderdate").cast("date")).alias("sale_date"),
+        F.when(F.col("o_orderkey") % 13 != 0, F.col("o_totalprice")).alias("sale_price"), F.when(F.col("o_orderstatus") == "P", F.lit(None)).when(F.col("o_orderstatus") == "F", "COMMERCIAL").otherwise("RESIDENCE").alias("purpose"),
+        F.when(F.col("o_orderkey") % 17 == 0, " ").otherwise("X").alias("locality"), F.when(F.col("o_orderkey") % 19 != 0, "2000").alias("postcode"),
+    )
+    return quality.flag(rows, quality.sale_rules(1996, 20_000, 400_000))
+
+
+_FLAGS = """f AS (SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, list_filter([
+    CASE WHEN o_orderkey % 11 = 0 THEN 'unparseable_contract_date' END, CASE WHEN o_orderkey % 11 <> 0 AND year(o_orderdate) < 1996 THEN 'pre_2010_sale' END,
+    CASE WHEN o_orderkey % 13 = 0 THEN 'unparseable_price' END, CASE WHEN o_orderkey % 13 <> 0 AND o_totalprice < 20000 THEN 'non_arms_length_price' END,
+    CASE WHEN o_orderkey % 13 <> 0 AND o_totalprice > 400000 THEN 'price_above_cap' END, CASE WHEN o_orderstatus = 'F' THEN 'not_residence' END,
+    CASE WHEN o_orderkey % 17 = 0 THEN 'blank_locality' END, CASE WHEN o_orderkey % 19 = 0 THEN 'bad_postcode' END], lambda x: x IS NOT NULL) AS q FROM orders)"""
+
+
+@_query(f"WITH {_FLAGS} SELECT o_orderkey, array_to_string(q, ',') AS reasons, len(q) = 0 AS is_valid FROM f")
+def quality_flags(spark: SparkSession, d: str) -> DataFrame:
+    return _flagged(spark, d).select("o_orderkey", F.array_join("_quality", ",").alias("reasons"), F.col("_is_valid").alias("is_valid"))
+
+
+@_query(f"WITH {_FLAGS}, x AS (SELECT month, unnest(CASE WHEN len(q) = 0 THEN ['ok'] ELSE q END) AS reason FROM f) SELECT month, reason, count(*) AS rows FROM x GROUP BY ALL")
+def quality_summary(spark: SparkSession, d: str) -> DataFrame:
+    return quality.summary(_flagged(spark, d), "month")
+
+
+@_query(f"""WITH {_FLAGS}, x AS (SELECT unnest(CASE WHEN len(q) = 0 THEN ['ok'] ELSE q END) AS reason FROM f), g AS (SELECT reason, count(*) AS rows FROM x GROUP BY ALL)
+    SELECT * FROM (SELECT reason, rows, 100.0::DOUBLE * rows / (SELECT sum(rows) FROM g) AS pct FROM g) WHERE reason <> 'ok'""")
+def quality_share(spark: SparkSession, d: str) -> DataFrame:
+    return quality.share(quality.summary(_flagged(spark, d), "month"))
+
+
+@_query(f"WITH {_FLAGS} SELECT len(q) = 0 AS is_valid, count(*) AS rows FROM f GROUP BY ALL")
+def quality_profile(spark: SparkSession, d: str) -> DataFrame:
+    return quality.profile(_flagged(spark, d)).select(F.col("_is_valid").alias("is_valid"), "rows")
+
+
+@_query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def grain_check(spark: SparkSession, d: str) -> DataFrame:
+    return quality.duplicate_keys(_read(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@_query("""SELECT 'orders' AS "check", count(*) AS rows, count(*) - count(DISTINCT o_orderkey) AS duplicate_keys FROM orders
+    UNION ALL SELECT 'lineitem', count(*), count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) FROM lineitem""")
+def grain_report(spark: SparkSession, d: str) -> DataFrame:
+    return quality.grain_report("orders", _read(spark, d, "orders"), ["o_orderkey"]).unionByName(quality.grain_report("lineitem", _read(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"]))
+
+
+@_query("SELECT count(DISTINCT o_custkey) AS n, CAST(5000 AS BIGINT) AS floor, CAST(greatest(0, 5000 - count(DISTINCT o_custkey)) AS BIGINT) AS shortfall FROM orders")
+def coverage_check(spark: SparkSession, d: str) -> DataFrame:
+    return quality.coverage(_read(spark, d, "orders"), "o_custkey", 5000)
+
+
+@_query(f"WITH {_YIELD.format(floor=1)} SELECT postcode, property_type, month, gross_yield_pct FROM y WHERE NOT gross_yield_pct BETWEEN 200 AND 25000")
+def plausibility_check(spark: SparkSession, d: str) -> DataFrame:
+    return quality.out_of_band(_yield(spark, d, 1), "gross_yield_pct", 200, 25_000).select("postcode", "property_type", "month", "gross_yield_pct")
+
+
+# Versions and snapshots
+
+
+def _landed(spark, d):
+    o = _read(spark, d, "orders")
+    label = F.date_format("o_orderdate", "yyyy")
+    sha = F.when(F.col("o_orderkey") % 3 == 0, "0000000a").when(F.col("o_orderkey") % 3 == 1, "0000000b").otherwise("zz")
+    at = F.when((F.col("o_orderkey") % 3 == 0) & (F.year("o_orderdate") % 2 == 0), F.to_timestamp(F.lit("2026-02-01"))).otherwise(F.to_timestamp(F.lit("2026-01-01")))
+    return o.select("o_orderkey", F.concat(F.lit("/in/year="), label, F.lit("_"), sha, F.lit(".parquet")).alias("_source_file"), at.alias("_ingested_at"))
+
+
+@_query("""SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = CASE WHEN year(o_orderdate) % 2 = 0 THEN 0 ELSE 1 END""")
+def resolve_versions(spark: SparkSession, d: str) -> DataFrame:
+    return versions.resolve_versions(_landed(spark, d)).select("o_orderkey")
+
+
+@_query("""SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN c_name ELSE upper(c_name) END AS c_name, c_custkey % 5 <> 0 AS is_current,
+    CASE WHEN c_custkey % 5 = 0 THEN DATE '2026-01-01' ELSE DATE '2026-02-01' END AS synced FROM customer""")
+def snapshot_reconcile(spark: SparkSession, d: str) -> DataFrame:
+    c = _read(spark, d, "customer").select("c_custkey", "c_name")
+    state = c.where("c_custkey % 7 <> 1 OR c_custkey % 5 = 0").withColumns({"is_current": F.col("c_custkey") % 2 == 0, "_synced_at": F.to_timestamp(F.lit("2026-01-01"))})
+    shot = c.where("c_custkey % 5 <> 0").withColumn("c_name", F.upper("c_name"))
+    out = versions.reconcile(state, shot, ["c_custkey"], ["c_name"], F.to_timestamp(F.lit("2026-02-01")))
+    return out.select("c_custkey", "c_name", "is_current", F.col("_synced_at").cast("date").alias("synced"))
+
+
+@_query("""SELECT o_orderkey FROM orders WHERE o_orderkey % 4 = (SELECT max(o_orderkey % 4) FROM orders)""")
+def newest_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("o_orderkey") % 4
+    rows = _read(spark, d, "orders").select("o_orderkey", F.to_timestamp(F.lit("2026-01-01")).alias("_ingested_at"), F.concat(F.lit("f"), k.cast("string")).alias("_source_file"))
+    return versions.newest_snapshot(rows).select("o_orderkey")
+
+
+# Features, split, model data
+
+
+_FEATURES = f"""{_RENTS},
+    r0 AS ({_mart_sql("rents", "postcode, property_type, month", "weekly_rent", *_R)}),
+    r1 AS (SELECT *, year(month) * 12 + month(month) AS mi FROM r0),
+    r2 AS (SELECT *, avg(avg_weekly_rent) OVER w AS rent_mean_3, avg(n_rented) OVER w AS volume_mean_3 FROM r1 WINDOW w AS (PARTITION BY postcode, property_type ORDER BY month ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)),
+    p AS (SELECT property_type, CAST(month + INTERVAL 1 MONTH AS DATE) AS month, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS price_lag_1 FROM sales GROUP BY property_type, month),
+    feats AS (SELECT a.postcode, a.property_type, a.month, b.median_weekly_rent AS rent_lag_1, c.median_weekly_rent AS rent_lag_3, e.median_weekly_rent AS rent_lag_12,
+        round(a.rent_mean_3, 9) AS rent_mean_3, round(a.volume_mean_3, 9) AS volume_mean_3, price_lag_1, CAST(month(a.month) AS INTEGER) AS month_of_year, a.median_weekly_rent
+        FROM r2 a JOIN r1 b ON a.postcode = b.postcode AND a.property_type = b.property_type AND b.mi = a.mi - 1
+        LEFT JOIN r1 c ON a.postcode = c.postcode AND a.property_type = c.property_type AND c.mi = a.mi - 3
+        LEFT JOIN r1 e ON a.postcode = e.postcode AND a.property_type = e.property_type AND e.mi = a.mi - 12
+        LEFT JOIN p ON a.property_type = p.property_type AND a.month = p.month)"""
+
+
+def _features(spark, d):
+    keys = ("postcode", "property_type")
+    out = features.build(_rent_mart(spark, d, (*keys, "month")), _sales_mart(spark, d), keys, ["property_type"])
+    return out.withColumns({c: F.round(c, 9) for c in ("rent_mean_3", "volume_mean_3")})
+
+
+@_query(f"WITH {_FEATURES} SELECT * FROM feats")
+def calendar_lag_features(spark: SparkSession, d: str) -> DataFrame:
+    return _features(spark, d)
+
+
+@_query(f"""WITH {_FEATURES}, cut AS (SELECT CAST(max(month) - INTERVAL 6 MONTH AS DATE) AS c FROM feats)
+    SELECT 'train' AS part, count(*) AS n FROM feats, cut WHERE month <= c UNION ALL SELECT 'test', count(*) FROM feats, cut WHERE month > c""")
+def time_split_counts(spark: SparkSession, d: str) -> DataFrame:
+    train, test = features.split_by_month(_features(spark, d), "month", 6)
+    count = lambda df, name: df.agg(F.lit(name).alias("part"), F.count("*").alias("n"))
+    return count(train, "train").unionByName(count(test, "test"))
+
+
+@_query(f"WITH {_FEATURES} SELECT count(*) AS n, round(avg(abs(rent_lag_1 - median_weekly_rent)), 4) AS mae FROM feats")
+def naive_mae(spark: SparkSession, d: str) -> DataFrame:
+    from tessera.operators.model import naive_mae as mae
+
+    return mae(_features(spark, d), "median_weekly_rent", "rent_lag_1").withColumn("mae", F.round("mae", 4))
+
+
+@_query(f"WITH {_FEATURES} SELECT month, count(*) AS n_scored, round(avg(abs(rent_lag_12 - median_weekly_rent)), 3) AS mae FROM feats WHERE rent_lag_12 IS NOT NULL GROUP BY month")
+def accuracy_by_month(spark: SparkSession, d: str) -> DataFrame:
+    return monitor.accuracy(_features(spark, d), ["month"], "rent_lag_12", "median_weekly_rent", 3)
+
+
+_PSI = ("l_quantity", "l_extendedprice", "l_discount")
+_PSI_SQL = " UNION ALL ".join(
+    f"""SELECT '{f}' AS feature, round(sum((c - r) * ln(c / r)), 6) AS psi FROM (
+        SELECT greatest(coalesce(rr, 0) / (SELECT count(*)::DOUBLE FROM ref), 1e-4) AS r, greatest(coalesce(cc, 0) / (SELECT count(*)::DOUBLE FROM cur), 1e-4) AS c FROM (
+            SELECT b, sum(CASE WHEN side = 0 THEN 1 END) AS rr, sum(CASE WHEN side = 1 THEN 1 END) AS cc FROM (
+                SELECT side, len(list_filter(e[2:len(e) - 1], lambda q: q <= {f})) AS b
+                FROM (SELECT 0 AS side, {f} FROM ref UNION ALL SELECT 1, {f} FROM cur), (
+                    SELECT list_sort(list_distinct(list_transform(quantile_cont({f}, [0.0,0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9,1.0]), lambda q: round(q, 4)))) AS e FROM ref)) GROUP BY b))"""
+    for f in _PSI
+)
+
+
+@_query(f"""WITH ref AS (SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '1999-01-01'), cur AS (SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1999-01-01'),
+    p AS ({_PSI_SQL}) SELECT feature, psi, CASE WHEN psi > 0.25 THEN 'shifted' WHEN psi > 0.1 THEN 'drifting' ELSE 'stable' END AS status FROM p""")
+def psi_by_feature(spark: SparkSession, d: str) -> DataFrame:
+    li = _read(spark, d, "lineitem")
+    early = F.col("l_shipdate") < F.to_timestamp(F.lit("1999-01-01"))
+    return monitor.psi(li.where(early), li.where(~early), _PSI, 4).withColumn("psi", F.round("psi", 6))
+
+
+# Forecasts
+
+
+_SERIES = f"""{_SALES}, series AS (SELECT property_type, month, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS y FROM sales WHERE month < (SELECT max(month) FROM sales) GROUP BY ALL)"""
+
+
+def _series(spark, d):
+    s = _sales(spark, d)
+    last = F.broadcast(s.agg(F.max("month").alias("_m")))  # one row
+    rows = marts.legs(s.join(last, F.col("month") < F.col("_m"), "left_semi"), ("property_type", "month"), "price", *_S)
+    return rows.select("property_type", "month", (F.col("total_sale_value") / F.col("n_sold").cast("double")).alias("y"))
+
+
+def _trend_sql(history: str, horizon: int) -> str:
+    return f"""h0 AS (SELECT property_type, month, y, CAST(year(month) * 12 + month(month) AS DOUBLE) AS t, month(month) AS moy FROM {history}),
+    cell AS (SELECT property_type, moy, avg(t) AS mt, avg(y) AS my FROM h0 GROUP BY ALL),
+    slope AS (SELECT property_type, sum((t - mt) * (y - my)) / sum((t - mt) * (t - mt)) AS b FROM h0 JOIN cell USING (property_type, moy) GROUP BY ALL),
+    ends AS (SELECT property_type, max(month) AS last, count(*) AS n FROM {history} GROUP BY ALL HAVING count(*) >= 36),
+    fut AS (SELECT property_type, CAST(last + to_months(CAST(k AS INTEGER)) AS DATE) AS month FROM ends, range(1, {horizon + 1}) r(k)),
+    trend AS (SELECT property_type, month, my + b * (year(month) * 12 + month(month) - mt) AS yhat FROM fut JOIN slope USING (property_type) JOIN cell ON cell.property_type = fut.property_type AND cell.moy = month(fut.month)),
+    naive AS (SELECT fut.property_type, fut.month, p.y AS yhat FROM fut LEFT JOIN {history} p ON p.property_type = fut.property_type AND p.month = CAST(fut.month - INTERVAL 12 MONTH AS DATE))"""
+
+
+@_query(f"WITH {_SERIES}, {_trend_sql('series', 6)} SELECT property_type, month, round(yhat, 3) AS yhat FROM trend")
+def forecast_trend_season(spark: SparkSession, d: str) -> DataFrame:
+    return forecast.trend_seasonal(_series(spark, d), ["property_type"], "month", "y", 6).withColumn("yhat", F.round("yhat", 3))
+
+
+@_query(f"WITH {_SERIES}, {_trend_sql('series', 6)} SELECT property_type, month, yhat FROM naive")
+def forecast_naive(spark: SparkSession, d: str) -> DataFrame:
+    return forecast.seasonal_naive(_series(spark, d), ["property_type"], "month", "y", 6)
+
+
+@_query(f"""WITH {_SERIES}, cut AS (SELECT CAST(max(month) - INTERVAL 6 MONTH AS DATE) AS c FROM series), hist AS (SELECT series.* FROM series, cut WHERE month <= c), {_trend_sql('hist', 6)},
+    m AS (SELECT 'trend_seasonal' AS method, * FROM trend UNION ALL SELECT 'seasonal_naive', * FROM naive)
+    SELECT method, CAST((year(month) - year(c)) * 12 + month(month) - month(c) AS INTEGER) AS horizon, count(*) AS n, round(avg(abs(yhat - y)), 3) AS mae
+    FROM m JOIN series USING (property_type, month), cut GROUP BY ALL""")
+def forecast_backtest(spark: SparkSession, d: str) -> DataFrame:
+    return forecast.backtest(_series(spark, d), ["property_type"], "month", "y", 6).withColumn("mae", F.round("mae", 3))
+
+
+@_query()
+def group_map_forecast(spark: SparkSession, d: str) -> DataFrame:
+    return forecast.damped_holt(_series(spark, d), ["property_type"], "month", "y", 6, "property_type string, month date, yhat double")
+
+
+@_query()
+def gbt_score(spark: SparkSession, d: str) -> DataFrame:
+    from tessera.operators import model
+
+    numeric = ["rent_lag_1", "rent_lag_3", "rent_lag_12", "rent_mean_3", "volume_mean_3", "price_lag_1", "month_of_year"]
+    train, test = features.split_by_month(_features(spark, d), "month", 6)
+    fitted = model.fit(train, ["property_type"], numeric, "median_weekly_rent", rounds=5)
+    return model.score(fitted, test, numeric, "predicted_weekly_rent").select("postcode", "property_type", "month", "predicted_weekly_rent", "median_weekly_rent")
+
+
+# Corpus
+
+
+@_query("""WITH c AS (SELECT source AS video_id, CAST(doc_id AS INTEGER) AS chunk_index, CASE WHEN doc_id % 2 = 0 THEN lang || chr(10) || text ELSE text END AS body, text FROM documents)
+    SELECT video_id || ':' || CAST(chunk_index AS VARCHAR) AS chunk_key, video_id, chunk_index, substr(sha256(body), 1, 16) AS text_sha, length(body) AS n FROM c""")
+def chunk_rows(spark: SparkSession, d: str) -> DataFrame:
+    return _chunks(spark, d).select("chunk_key", "video_id", "chunk_index", "text_sha", F.char_length("embedding_text").cast("long").alias("n"))
+
+
+def _chunks(spark, d):
+    rows = _read(spark, d, "documents").select(F.col("source").alias("video_id"), F.col("doc_id").alias("chunk_index"), F.when(F.col("doc_id") % 2 == 0, F.col("lang")).alias("context_header"), F.lit(None).cast("string").alias("title"), "text")
+    return corpus.chunk_rows(rows)
+
+
+_DOCS = """v AS (SELECT CAST(conv_id AS VARCHAR) AS video_id, list({'text': text, 'offset_ms': turn * 1000, 'start_seconds': turn * 1.0} ORDER BY turn) AS segs, list(DISTINCT role ORDER BY role) AS roles FROM conversations GROUP BY conv_id)"""
+
+
+def _records(spark, d):
+    c = _read(spark, d, "conversations")
+    seg = F.array_sort(F.collect_list(F.struct("turn", "text")))
+    segs = F.transform(seg, lambda x: F.struct(x["text"].alias("text"), (x["turn"] * 1000).alias("offset_ms"), x["turn"].cast("double").alias("start_seconds")))
+    doc = c.groupBy("conv_id").agg(segs.alias("segments"), F.array_sort(F.collect_set("role")).alias("tags"))
+    body = F.to_json(F.struct(F.when(F.col("conv_id") % 2 == 0, F.concat(F.lit("body "), F.col("conv_id").cast("string"))).alias("description"), "tags", "segments"))
+    return doc.select(F.col("conv_id").cast("string").alias("video_id"), body.alias("document"), F.lit("meta").alias("description"))
+
+
+@_query(f"""WITH {_DOCS} SELECT video_id, CASE WHEN CAST(video_id AS BIGINT) % 2 = 0 THEN 'body ' || video_id ELSE 'meta' END AS description, array_to_string(roles, ',') AS tags, CAST(len(segs) AS INTEGER) AS n_segments FROM v""")
+def blob_unpack(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.transcript_rows(_records(spark, d)).select("video_id", "description", F.array_join("tags", ",").alias("tags"), "n_segments")
+
+
+@_query("""SELECT CAST(conv_id AS VARCHAR) AS video_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS segment_index, text, turn * 1000 AS offset_ms, CAST(turn AS DOUBLE) AS start_seconds FROM conversations""")
+def segment_rows(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.segment_rows(_records(spark, d))
+
+
+@_query()
+def frame_hash(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.frame_sha(_read(spark, d, "documents"))
+
+
+# Joins that find what is missing
+
+
+@_query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def anti_join_pending(spark: SparkSession, d: str) -> DataFrame:
+    key = lambda name: _read(spark, d, name).select(F.col("doc_id").cast("string").alias("chunk_key"), F.lit("x").alias("text_sha"))
+    return retrieval.pending(key("documents"), key("labels")).select(F.col("chunk_key").cast("long").alias("doc_id"))
+
+
+@_query("SELECT CAST(doc_id AS VARCHAR) AS chunk_key FROM documents WHERE doc_id % 3 <> 0 OR doc_id % 2 = 1")
+def stale_keys(spark: SparkSession, d: str) -> DataFrame:
+    docs = _read(spark, d, "documents").select(F.col("doc_id").cast("string").alias("chunk_key"), "doc_id")
+    state = docs.select(F.lit("idx").alias("index_name"), "chunk_key", F.lit("x").alias("text_sha"))
+    return retrieval.stale(state, docs.where("doc_id % 3 = 0").withColumn("is_current", F.col("doc_id") % 2 == 0), "idx")
+
+
+@_query("SELECT doc_id FROM documents WHERE doc_id % 3 = 0 AND doc_id % 2 = 0")
+def retire_state(spark: SparkSession, d: str) -> DataFrame:
+    docs = _read(spark, d, "documents").select(F.col("doc_id").cast("string").alias("chunk_key"), "doc_id")
+    state = docs.select(F.lit("idx").alias("index_name"), "chunk_key", F.lit("x").alias("text_sha"))
+    return retrieval.retire(state, docs.where("doc_id % 3 = 0").withColumn("is_current", F.col("doc_id") % 2 == 0), "idx").select(F.col("chunk_key").cast("long").alias("doc_id"))
+
+
+@_query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 5)")
+def orphan_check(spark: SparkSession, d: str) -> DataFrame:
+    li, p = _read(spark, d, "lineitem"), _read(spark, d, "part").where("p_size > 5")
+    return li.join(p, li.l_partkey == p.p_partkey, "left_anti").select("l_orderkey", "l_linenumber")
+
+
+# Retrieval
+
+
+_KNN = """q AS (SELECT vec_id AS qid, embedding AS e FROM embeddings WHERE vec_id % 20 = 0),
+    hits AS (SELECT qid, vec_id, list_dot_product(e::DOUBLE[], embedding::DOUBLE[]) / (sqrt(list_dot_product(e::DOUBLE[], e::DOUBLE[])) * sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]))) AS score FROM q, embeddings WHERE qid <> vec_id),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id) AS rank FROM hits)"""
+
+
+def _knn(spark, d, k=10):
+    e = _read(spark, d, "embeddings")
+    return retrieval.top_k(e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("qid"), "embedding"), e, k, "qid", "vec_id", exclude_self=True)
+
+
+@_query(f"WITH {_KNN} SELECT qid, vec_id, CAST(rank AS INTEGER) AS rank, round(score, 5) AS score FROM ranked WHERE rank <= 10")
+def knn_topk(spark: SparkSession, d: str) -> DataFrame:
+    return _knn(spark, d).select("qid", "vec_id", "rank", F.round("score", 5).alias("score"))
+
+
+def _cases(spark, d):
+    e = _read(spark, d, "embeddings")
+    ranked = _knn(spark, d).groupBy("qid").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "vec_id"))), lambda x: x["vec_id"]).alias("ranked"))
+    label = e.groupBy("label").agg(F.array_sort(F.collect_set("vec_id")).alias("relevant"))
+    return ranked.join(e.select(F.col("vec_id").alias("qid"), "label"), "qid").join(label, "label").select(F.col("qid").alias("case_id"), "ranked", "relevant")
+
+
+_IR = f"""{_KNN}, rel AS (SELECT a.vec_id AS qid, b.vec_id AS vid FROM embeddings a JOIN embeddings b USING (label) WHERE a.vec_id % 20 = 0),
+    nrel AS (SELECT qid, count(*) AS n FROM rel GROUP BY qid),
+    j AS (SELECT ranked.qid AS qid, rank FROM ranked JOIN rel ON ranked.qid = rel.qid AND vec_id = vid WHERE rank <= 10),
+    m AS (SELECT nrel.qid AS case_id, count(rank) / CAST(n AS DOUBLE) AS recall, coalesce(1.0 / min(rank), 0) AS mrr,
+        coalesce(sum(1 / log2(rank + 1)), 0) / (SELECT sum(1 / log2(i + 1)) FROM range(1, 1 + least(n, 10)) t(i)) AS ndcg FROM nrel LEFT JOIN j ON j.qid = nrel.qid GROUP BY nrel.qid, n)"""
+
+
+@_query(f"WITH {_IR} SELECT case_id, round(recall, 6) AS recall, round(mrr::DOUBLE, 6) AS mrr, round(ndcg, 6) AS ndcg FROM m")
+def ir_metrics(spark: SparkSession, d: str) -> DataFrame:
+    out = retrieval.ir_metrics(_cases(spark, d), 10)
+    return out.select("case_id", *[F.round(c, 6).alias(c) for c in ("recall", "mrr", "ndcg")])
+
+
+@_query(f"WITH {_IR} SELECT count(*) AS n, round(avg(recall), 6) AS recall, round(avg(mrr)::DOUBLE, 6) AS mrr, round(avg(ndcg), 6) AS ndcg FROM m")
+def ir_aggregate(spark: SparkSession, d: str) -> DataFrame:
+    out = retrieval.mean_missing_zero(retrieval.ir_metrics(_cases(spark, d), 10), ("recall", "mrr", "ndcg"))
+    return out.select("n", *[F.round(c, 6).alias(c) for c in ("recall", "mrr", "ndcg")])
+
+
+@_query("""SELECT conv_id, array_to_string(list(text ORDER BY turn)[1:3], '|') AS contexts FROM conversations GROUP BY conv_id""")
+def context_collect(spark: SparkSession, d: str) -> DataFrame:
+    c = _read(spark, d, "conversations").select("conv_id", "turn", F.concat_ws(":", "conv_id", "turn").alias("chunk_key"), "text")
+    refs = c.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "chunk_key"))), lambda x: x["chunk_key"]).alias("chunk_keys"))
+    return retrieval.collect_context(refs, c, ["conv_id"], 3).select("conv_id", F.array_join("context_texts", "|").alias("contexts"))
+
+
+@_query("""SELECT doc_id AS case_id, CAST(doc_id AS VARCHAR) AS chunk_id, CASE WHEN doc_id % 2 = 0 THEN 'k' || (SELECT CAST(max(doc_id) AS VARCHAR) FROM documents e WHERE e.text = documents.text AND length(CAST(e.doc_id AS VARCHAR)) = length(CAST(documents.doc_id AS VARCHAR))) END AS chunk_key
+    FROM documents WHERE doc_id BETWEEN 100 AND 199""")
+def reanchor_chunks(spark: SparkSession, d: str) -> DataFrame:
+    docs = _read(spark, d, "documents").where("doc_id BETWEEN 100 AND 199").select("doc_id", F.sha2("text", 256).alias("text_sha"))
+    full = _read(spark, d, "documents").where("length(cast(doc_id AS string)) = 3").select("doc_id", F.sha2("text", 256).alias("text_sha"))
+    landed = docs.where("doc_id % 2 = 0").select(F.col("doc_id").cast("string").alias("chunk_id"), "text_sha")
+    current = full.select("text_sha", F.concat(F.lit("k"), F.col("doc_id").cast("string")).alias("chunk_key"))
+    return retrieval.reanchor(docs.select(F.col("doc_id").alias("case_id"), F.col("doc_id").cast("string").alias("chunk_id")), landed, current)
+
+
+# Graders and gates
+
+
+@_query("SELECT doc_id, len(n) AS found, coalesce(round(list_sum(list_transform(n, lambda x: length(x))), 1), 0) AS digits FROM (SELECT doc_id, regexp_extract_all(text, '-?[0-9][0-9,]*(?:\\.[0-9]+)?') AS n FROM documents)")
+def extract_numbers(spark: SparkSession, d: str) -> DataFrame:
+    docs = _read(spark, d, "documents")
+    raw = F.regexp_extract_all("text", F.lit(r"-?[0-9][0-9,]*(?:\.[0-9]+)?"), F.lit(0))
+    return docs.select("doc_id", F.size(text.extract_numbers(F.col("text"))).cast("long").alias("found"), F.aggregate(raw, F.lit(0.0), lambda a, x: a + F.length(x)).alias("digits"))
+
+
+@_query("SELECT o_orderkey, abs(o_totalprice * 1.04 - o_totalprice) <= o_totalprice * 5.0 / 100 AS near, false AS far FROM orders")
+def value_grade(spark: SparkSession, d: str) -> DataFrame:
+    o, price = _read(spark, d, "orders"), F.col("o_totalprice")
+    said = lambda f: F.concat(F.lit("About $"), F.format_number(price * f, 2), F.lit(" in all"))
+    return o.select("o_orderkey", text.value_grade(said(1.04), price).alias("near"), text.value_grade(said(1.06), price).alias("far"))
+
+
+@_query("""SELECT doc_id, len(list_filter(['the', 'que', 'der', 'de'], lambda k: regexp_matches(regexp_replace(text, '[^\\x00-\\x7F]', 'é', 'g'), '(^|[^A-Za-z0-9_é])' || k || '($|[^A-Za-z0-9_é])'))) >= 2 AS hit FROM documents""")
+def topk_grade(spark: SparkSession, d: str) -> DataFrame:
+    keys = F.array(*map(F.lit, ("the", "que", "der", "de")))
+    return _read(spark, d, "documents").select("doc_id", text.topk_grade(F.col("text"), keys, 2).alias("hit"))
+
+
+@_query("SELECT c_custkey, c_custkey % 4 = 0 OR c_custkey % 4 = 1 AS refused FROM customer")
+def refusal_grade(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("c_custkey") % 4
+    said = F.when(k == 0, "I CANNOT ANSWER that").when(k == 1, "That is out of scope.").when(k == 2, "It is 42.")
+    return _read(spark, d, "customer").select("c_custkey", text.refusal_grade(said).alias("refused"))
+
+
+def _answers(spark, d):
+    dd, la = _read(spark, d, "documents"), _read(spark, d, "labels")
+    score = lambda m: F.when(F.col("doc_id") % m != 0, (F.col("doc_id") % 11) / 16.0)
+    rows = dd.join(la, "doc_id", "left").select("doc_id", F.when(F.col("doc_id") % 2 == 0, "broad").otherwise("narrow").alias("tier"), (F.col("doc_id") % 7).cast("int").alias("hops"), "lang", "toxic", F.coalesce(F.col("quality") == 1, F.lit(False)).alias("passed"), F.when(F.col("toxic") == 1, "boom").otherwise("").alias("error"), *[score(3 + i).alias(n) for i, n in enumerate(evaluate.WEIGHTS)])
+    return evaluate.with_composite(rows)
+
+
+_ANSWERS = """a0 AS (SELECT d.doc_id, lang, CASE WHEN d.doc_id % 2 = 0 THEN 'broad' ELSE 'narrow' END AS tier, CAST(d.doc_id % 7 AS INTEGER) AS hops, coalesce(quality = 1, false) AS passed,
+    CASE WHEN toxic = 1 THEN 'boom' ELSE '' END AS error, (d.doc_id % 11) / 16.0::DOUBLE AS s FROM documents d LEFT JOIN labels USING (doc_id)),
+    ans AS (SELECT *, round(0.25::DOUBLE * (CASE WHEN doc_id % 3 <> 0 THEN s ELSE 0 END) + 0.15::DOUBLE * (CASE WHEN doc_id % 4 <> 0 THEN s ELSE 0 END) + 0.2::DOUBLE * (CASE WHEN doc_id % 5 <> 0 THEN s ELSE 0 END)
+    + 0.1::DOUBLE * (CASE WHEN doc_id % 6 <> 0 THEN s ELSE 0 END) + 0.1::DOUBLE * (CASE WHEN doc_id % 7 <> 0 THEN s ELSE 0 END) + 0.15::DOUBLE * (CASE WHEN doc_id % 8 <> 0 THEN s ELSE 0 END) + 0.05::DOUBLE * (CASE WHEN doc_id % 9 <> 0 THEN s ELSE 0 END), 4) AS composite FROM a0)"""
+
+
+@_query(f"WITH {_ANSWERS} SELECT doc_id, round(composite, 3) AS composite, CASE WHEN doc_id % 3 <> 0 THEN s ELSE 0 END < 0.6 AS floor_breach FROM ans")
+def judge_composite(spark: SparkSession, d: str) -> DataFrame:
+    return _answers(spark, d).select("doc_id", F.round("composite", 3).alias("composite"), "floor_breach")
+
+
+@_query(f"WITH {_ANSWERS} SELECT tier, count(*) AS n, round(avg(CASE WHEN doc_id % 3 <> 0 THEN s END), 4) AS mean_groundedness, round(avg(hops), 4) AS mean_hops FROM ans GROUP BY tier")
+def gate_means(spark: SparkSession, d: str) -> DataFrame:
+    return evaluate.strata_means(_answers(spark, d), ["tier"], ["groundedness", "hops"])
+
+
+@_query(f"""WITH {_ANSWERS} SELECT count(*) FILTER (tier = 'broad' AND error <> '') AS broad_failures, round(avg(CASE WHEN tier = 'broad' THEN hops END), 6) AS broad_hops,
+    count(*) FILTER (tier = 'broad' AND error <> '') = 0 AND avg(CASE WHEN tier = 'broad' THEN hops END) > 1.5 AS passed FROM ans""")
+def behaviour_gate(spark: SparkSession, d: str) -> DataFrame:
+    return evaluate.behaviour_gate(_answers(spark, d)).withColumn("broad_hops", F.round("broad_hops", 6))
+
+
+@_query(f"""WITH {_ANSWERS} SELECT b.h >= 3 AS hops_ok, b.c >= g.c * 0.95 AS broad_ok, n.c >= w.c - 0.05 AS narrow_ok FROM
+    (SELECT avg(hops) AS h, avg(composite) AS c FROM ans WHERE tier = 'broad' AND lang = 'en') b, (SELECT avg(composite) AS c FROM ans WHERE tier = 'narrow' AND lang = 'en') n,
+    (SELECT avg(composite) AS c FROM ans WHERE tier = 'broad' AND lang = 'fr') g, (SELECT avg(composite) AS c FROM ans WHERE tier = 'narrow' AND lang = 'de') w""")
+def gate_verdict(spark: SparkSession, d: str) -> DataFrame:
+    a = _answers(spark, d).withColumn("category", F.col("tier"))
+    by = lambda lang: a.where(F.col("lang") == lang)
+    return evaluate.verdict(by("en"), by("fr"), by("de")).select("hops_ok", "broad_ok", "narrow_ok")
+
+
+@_query("""SELECT o_orderpriority AS variant, o_orderkey FROM orders o WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders i WHERE i.o_orderpriority = o.o_orderpriority)""")
+def latest_run(spark: SparkSession, d: str) -> DataFrame:
+    o = _read(spark, d, "orders").select(F.col("o_orderpriority").alias("variant"), "o_orderkey", F.col("o_orderdate").alias("run_at"))
+    return evaluate.latest_run(o, ["variant"]).select("variant", "o_orderkey")
+
+
+@_query(f"WITH {_ANSWERS} SELECT tier, count(*) AS cases, round(avg(CASE WHEN passed THEN 100.0 ELSE 0.0 END), 6) AS pass_pct, CAST(sum(CASE WHEN error <> '' THEN 1 ELSE 0 END) AS BIGINT) AS errors FROM ans GROUP BY tier")
+def benchmark_summary(spark: SparkSession, d: str) -> DataFrame:
+    return evaluate.benchmark_summary(_answers(spark, d), ["tier"]).withColumn("pass_pct", F.round("pass_pct", 6))
+
+
+# Streaming
+
+
+@_query("SELECT event_id, event_type, value FROM events")
+def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
+    import tempfile
+
+    from tessera.streaming.ingest import ingest
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tessera-stream-")
+    at = f"{base}/stream-{spark.sparkContext.applicationId}-{abs(hash(d))}"
+    ingest(spark, f"{d}/events.parquet", f"{at}/bronze", f"{at}/checkpoint")
+    return spark.read.parquet(f"{at}/bronze").select("event_id", "event_type", "value")

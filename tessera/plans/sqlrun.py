@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 ROWS = 50
 #: Words that write.
-WRITES = "insert update delete merge drop alter create truncate grant replace".split()
+WRITES = "insert update delete merge drop alter create grant revoke truncate".split()
 _WRITES = re.compile(r"\b(" + "|".join(WRITES) + r")\b", re.I)
 
 
