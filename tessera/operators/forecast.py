@@ -73,7 +73,7 @@ def damped_holt(history: DataFrame, keys: Sequence[str], month: str, value: str,
         y = pdf[value].astype(float).tolist()
         names = [*keys, "month", "yhat"]
         if len(y) < MIN_NAIVE:
-            return pd.DataFrame({n: [] for n in names})
+            return pdf.iloc[:0][[*keys, month]].set_axis(names[:-1], axis=1).assign(yhat=pd.Series(dtype="float64"))
         level, trend, phi = y[0], 0.0, 0.9
         for v in y[1:]:
             before = level

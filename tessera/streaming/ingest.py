@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tessera.sources.landing import exists
 
+#: Files of one micro-batch, each with a schema of its own.
+MAX_FILES = 200
+
 
 def ingest(spark: SparkSession, source: str, target: str, checkpoints: str, ddl: str | None = None, version: str = "v1") -> int:
     """Appends new files of a folder to a Parquet table, then stops; returns the rows of the table.
@@ -16,7 +19,7 @@ def ingest(spark: SparkSession, source: str, target: str, checkpoints: str, ddl:
     """
     if not exists(spark, source):
         return 0
-    schema = ddl or spark.read.parquet(source).schema
+    schema = ddl or spark.read.option("recursiveFileLookup", "true").parquet(source).schema
     rows = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(source)
     rows = rows.select("*", F.col("_metadata.file_path").alias("_source_file"), F.col("_metadata.file_modification_time").alias("_file_time"), F.current_timestamp().alias("_ingested_at"))
     query = rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", f"{checkpoints}_{version}").trigger(availableNow=True).start()
@@ -50,9 +53,6 @@ def ingest_rescued(spark: SparkSession, source: str, target: str, checkpoints: s
         if out is not None:
             out.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
-    files = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", MAX_FILES).option("recursiveFileLookup", "true").load(source).select("path")
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", MAX_FILES).option("recursiveFileLookup", "true").load(source).select("path")
     files.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoints}_{version}").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(target).count() if exists(spark, target) else 0
-
-
-MAX_FILES = 200
