@@ -123,5 +123,5 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without those that hold an item: all of its columns."""
     bad = matches(docs, benchmark).select(F.coalesce("doc_id", F.lit(-1)).alias("_id"), F.col("text_hash").alias("_h")).distinct()
-    keyed = docs.withColumns({"_id": F.coalesce("doc_id", F.lit(-1)), "_h": F.xxhash64(whole_text())})
-    return keyed.join(bad, ["_id", "_h"], "left_anti").select(*docs.columns)
+    keyed = docs.select(F.struct(*docs.columns).alias("_row"), F.coalesce("doc_id", F.lit(-1)).alias("_id"), F.xxhash64(whole_text()).alias("_h"))
+    return keyed.join(bad, ["_id", "_h"], "left_anti").select("_row.*")

@@ -32,8 +32,9 @@ GROWTH = 16
 def radix_groups(docs: DataFrame, carry: dict) -> DataFrame:
     """One row per document: the carried columns, then keep_id, group_size and kept.
 
-    carry: {name: Column over docs}; "text" among them is the unchanged text.
+    carry: {name: Column over docs}; text_sha256 is added to them if it is not there.
     """
+    carry = {"text_sha256": F.sha2(ascii_lower(whole_text()), 256)} | carry
     rows = docs.select(
         F.struct(*[c.alias(n) for n, c in carry.items()]).alias("_r_row"),
         F.col("doc_id").alias("_r_id"),
@@ -66,7 +67,7 @@ def _decide(done: DataFrame) -> DataFrame:
     stays = F.col("_r_id").eqNullSafe(F.col("_r_keep"))
     goes = many.where(~stays).select("_r_row.*", F.col("_r_keep").alias("keep_id"), F.col("_r_n").alias("group_size"), F.lit(False).alias("kept"))
     # Usually one row a group; repeated rows are told apart here.
-    same = Window.partitionBy("_r_id", "_r_n", "_r_row").orderBy("_r_n")
+    same = Window.partitionBy("_r_id", "_r_n", "_r_row.text_sha256").orderBy("_r_n")
     top = many.where(stays).select("*", F.row_number().over(same).alias("_r_k"))
     top = top.select("_r_row.*", F.col("_r_keep").alias("keep_id"), F.col("_r_n").alias("group_size"), (F.col("_r_k") == 1).alias("kept"))
     return alone.unionByName(goes).unionByName(top)
@@ -74,12 +75,12 @@ def _decide(done: DataFrame) -> DataFrame:
 
 def exact_groups(docs: DataFrame) -> DataFrame:
     """The rows of the op6 query."""
-    return radix_groups(docs, {"doc_id": F.col("doc_id"), "text_sha256": F.sha2(ascii_lower(whole_text()), 256)}).select(
+    return radix_groups(docs, {"doc_id": F.col("doc_id")}).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256"
     )
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """docs without the copies: all of its columns, one row of each group."""
-    out = radix_groups(docs, {"row": F.struct(*docs.columns), "text_sha256": F.sha2(ascii_lower(whole_text()), 256)})
+    out = radix_groups(docs, {"row": F.struct(*docs.columns)})
     return out.where("kept").select("row.*")

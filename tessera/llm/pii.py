@@ -124,8 +124,8 @@ def candidates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.array_sort(F.concat(*marked)).alias("c"))
 
 
-def reliabilities(rows: list[tuple[tuple[int, ...], float]], rounds: int = 50) -> list[float]:
-    """Posteriors that the patterns of votes (0 or 1, with counts) are personal data, by EM.
+def reliabilities(rows: list[tuple[tuple[int | None, ...], float]], rounds: int = 50) -> list[float]:
+    """Posteriors that the patterns of votes (1, 0 or None for none, with counts) are personal data, by EM.
 
     It starts from labelers that are right in 8 of 10 cases; counts are smoothed by one.
     """
@@ -137,6 +137,8 @@ def reliabilities(rows: list[tuple[tuple[int, ...], float]], rounds: int = 50) -
         for votes, _count in rows:
             yes, no = math.log(prior), math.log(1 - prior)
             for v, h, f in zip(votes, hit, false, strict=True):
+                if v is None:
+                    continue
                 yes += math.log(h if v else 1 - h)
                 no += math.log(f if v else 1 - f)
             post.append(1 / (1 + math.exp(min(700, no - yes))))
@@ -144,10 +146,11 @@ def reliabilities(rows: list[tuple[tuple[int, ...], float]], rounds: int = 50) -
         mass = sum(p * c for p, (_, c) in zip(post, rows, strict=True))
         prior = min(0.99, max(0.01, (mass + 1) / (total + 2)))
         for j in range(n):
-            seen = sum(p * c for p, (v, c) in zip(post, rows, strict=True) if v[j])
-            other = sum((1 - p) * c for p, (v, c) in zip(post, rows, strict=True) if v[j])
-            hit[j] = min(0.99, max(0.5, (seen + 1) / (mass + 2)))
-            false[j] = min(0.5, max(0.01, (other + 1) / (total - mass + 2)))
+            voted = [(p, v[j], c) for p, (v, c) in zip(post, rows, strict=True) if v[j] is not None]
+            pos = sum(p * c for p, _, c in voted)
+            neg = sum((1 - p) * c for p, _, c in voted)
+            hit[j] = min(0.99, max(0.5, (sum(p * c for p, v, c in voted if v) + 1) / (pos + 2)))
+            false[j] = min(0.5, max(0.01, (sum((1 - p) * c for p, v, c in voted if v) + 1) / (neg + 2)))
     return post
 
 
@@ -173,7 +176,9 @@ def train(found: DataFrame) -> list[float] | None:
     got = counted.groupBy("k", *VOTES, *SHAPES).agg(F.count("*").alias("n")).collect()  # PATTERNS rows at most
     if not got:
         return None
-    post = reliabilities([(tuple(r[v] for v in VOTES), r.n) for r in got])
+    # The base patterns' own labelers have no say on looser shapes.
+    votes = lambda r: tuple(None if r["loose"] and v in ("valid", "shape") else r[v] for v in VOTES)
+    post = reliabilities([(votes(r), r.n) for r in got])
     return logistic([(tuple(r[v] for v in (*VOTES, *SHAPES)), p, r.n) for r, p in zip(got, post, strict=True)])
 
 
