@@ -36,7 +36,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import small_batches, whole_text
+from tessera.llm.shared import prepare_workers, whole_text
 
 CACHE = 500_000
 #: Longer words and stretches are not kept; longer words (in bytes) have a tree of their own.
@@ -367,7 +367,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
 
 def _apply(docs: DataFrame, path: str, schema: str, make) -> DataFrame:
-    small_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(load(path))
     names = [x.split()[0] for x in schema.split(", ")]
 

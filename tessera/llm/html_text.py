@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import materialise, small_batches
+from tessera.llm.shared import materialise, prepare_workers
 from tessera.llm.url_filter import host_of
 
 MIN_PAGES = 3
@@ -211,7 +211,7 @@ def templates(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """The rows of the op5 query: page_id, url, text, n_chars."""
     spark = pages.sparkSession
-    small_batches(spark)
+    prepare_workers(spark)
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host_of(F.col("url")).alias("host"))
     found = templates(rows.select("host", "html"))
 

@@ -5,16 +5,21 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tessera
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: Rows in an Arrow batch: with whole texts the default of 10,000 could be gigabytes.
 BATCH_ROWS = 256
 
 _folders: set[tuple[int, str]] = set()
+_shipped: set[str] = set()
 
 
 def ascii_lower(c: Column) -> Column:
@@ -28,9 +33,18 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole texts small."""
+def prepare_workers(spark: SparkSession) -> None:
+    """Ship this package to Python workers, and keep Arrow batches of whole texts small."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        _shipped.add(app)
+        root = Path(tessera.__file__).parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="tessera-code-")) / "tessera.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted((root / "tessera").rglob("*.py")):
+                z.write(f, f.relative_to(root))
+        spark.sparkContext.addPyFile(str(archive))  # the driver serves it to executors
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.components import components
-from tessera.llm.shared import materialise, small_batches, whole_text
+from tessera.llm.shared import materialise, prepare_workers, whole_text
 
 SHINGLE = 3
 SEED = 42
@@ -58,7 +58,7 @@ def _fingerprints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def with_fingerprint(docs: DataFrame, name: str) -> DataFrame:
-    small_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     return docs.withColumn(name, F.pandas_udf(_fingerprints, "long")(whole_text()))
 
 
@@ -140,6 +140,7 @@ def _parts(fp: Column, blocks: list[tuple[int, int]]) -> Column:
 def link_fingerprints(distinct: DataFrame) -> DataFrame:
     """(a, b) links that have the components of all links, from distinct fingerprints fp."""
     keyed = distinct.select("fp", F.explode(_parts(F.col("fp"), [(0, 16), (16, 16), (32, 16), (48, 16)])).alias("shard"))
+    prepare_workers(distinct.sparkSession)
     keyed = materialise(keyed, "shards")
     sizes = materialise(keyed.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1"), "shard-sizes")
     keyed = keyed.join(sizes, "shard")

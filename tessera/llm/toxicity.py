@@ -18,6 +18,7 @@ lexicon alone is used; an empty table gives no rows. Extra columns stay.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import small_batches, whole_text
+from tessera.llm.shared import prepare_workers, whole_text
 
 MAX_TOXIC = 2000
 MAX_CLEAN = 6000
@@ -101,7 +102,7 @@ def grammar() -> Transducer:
     insult = Transducer({0: {"*": ("*", 0)}})
     threat = _within("H", {"U": "X"}, 3, swallow=True)
     target = _within("U", {"I": "J"}, 4)
-    negation = _within("N", {"I": "z", "J": "z", "X": "z"}, 3)
+    negation = _within("N", {"I": "z", "J": "z", "X": "z"}, 2)
     reported = Transducer({0: {"*": ("*", 0), "R": ("O", 1)}, 1: {"*": ("*", 1), "I": ("q", 1), "J": ("q", 1), "X": ("q", 1)}})
     out = insult
     for part in (threat, target, negation, reported):
@@ -182,7 +183,11 @@ def stem_counts(train: DataFrame) -> DataFrame:
 
 
 def choose_stems(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[str, float]:
-    """Walks the trie of stems: the first good stem of each path, made longer while one child keeps nearly all of its words."""
+    """Walks the trie of stems: the first good stem of each path, made longer while one child keeps nearly all of its words.
+
+    A stem that clean documents have too gives way to longer ones that keep most of its toxic words.
+    A stem weighs its log odds, as a part of what they would be were it in no clean document.
+    """
 
     def good(s: str) -> bool:
         t, c = counts[s]
@@ -191,17 +196,22 @@ def choose_stems(counts: dict[str, tuple[int, int]], toxic: int, clean: int) ->
     children: dict[str, list[str]] = {}
     for s in counts:
         children.setdefault(s[:-1], []).append(s)
-    out: dict[str, float] = {}
-    todo = [s for s in counts if len(s) == STEM_MIN]
-    while todo:
-        s = todo.pop()
-        if not good(s):
-            todo += children.get(s, [])
-            continue
-        while longer := [x for x in children.get(s, []) if counts[x][0] >= 0.95 * counts[s][0]]:
-            s = longer[0]
-        out[s] = 1.0
-    return out
+
+    def weight(s: str) -> float:
+        t, c = counts[s]
+        most = math.log((t + 0.5) / (toxic + 1)) - math.log(0.5 / (clean + 1))
+        return max(0.05, 1 - math.log((c + 0.5) / 0.5) / most)
+
+    def walk(s: str) -> dict[str, float]:
+        if good(s):
+            while longer := [x for x in children.get(s, []) if counts[x][0] >= 0.95 * counts[s][0]]:
+                s = longer[0]
+        below = {k: w for x in children.get(s, []) for k, w in walk(x).items()} if not good(s) or counts[s][1] else {}
+        if good(s) and sum(counts[k][0] for k in below) < 0.6 * counts[s][0]:
+            return {s: weight(s)}
+        return below
+
+    return {k: w for s in counts if len(s) == STEM_MIN for k, w in walk(s).items()}
 
 
 @dataclass
@@ -224,7 +234,7 @@ def _evidence(train: DataFrame, lexicon: dict[str, float]) -> list[tuple[float,
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learns stems and the evidence that separates best, from the bounded sample."""
-    small_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     train = training_rows(docs, labels)
     sizes = {r.toxic: r.n for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
@@ -248,7 +258,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of docs, with tox_score and tox_predicted."""
     spark = docs.sparkSession
-    small_batches(spark)
+    prepare_workers(spark)
     shared = spark.sparkContext.broadcast((model.lexicon, model.half))
 
     @F.pandas_udf("double")

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import LOWER, UPPER
+from tessera.llm.shared import LOWER, UPPER, prepare_workers
 
 #: A trie of so many rules is some tens of MB.
 MAX_RULES = 100_000
@@ -84,6 +84,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule], url: str = "url") -> DataFra
 
 
 def _by_trie(out: DataFrame, rules: list[Rule]) -> DataFrame:
+    prepare_workers(out.sparkSession)
     shared = out.sparkSession.sparkContext.broadcast(rules)
 
     @F.pandas_udf("rule string, verdict string")
