@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,3 +26,14 @@ def measures(value: str = "total_sale_value", sold: str = "n_sold", rent: str =
         "bonds": F.sum(rented),
         "gross_yield_pct": yield_pct(rent, rented, value, sold),
     }
+
+
+def dashboard_filter(df: DataFrame, months: tuple[str | None, str | None] = (None, None), postcodes: Sequence[str] = (), property_type: str | None = None) -> DataFrame:
+    """A dashboard's filters: a range of months (inclusive), several postcodes, one property type; what is not given does not filter."""
+    if months[0]:
+        df = df.where(F.col("month") >= F.lit(months[0]).cast("date"))
+    if months[1]:
+        df = df.where(F.col("month") <= F.lit(months[1]).cast("date"))
+    if postcodes:
+        df = df.where(F.col("postcode").isin(*postcodes))
+    return df.where(F.col("property_type") == property_type) if property_type else df

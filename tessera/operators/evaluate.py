@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.repair import safe_double
+from tessera.functions.text import clamp_score, format_contexts, verdict_json
+
 #: Weights of the composite.
 WEIGHTS = {"groundedness": 0.25, "relevance": 0.15, "insight": 0.20, "specificity": 0.10, "coverage": 0.10, "breadth": 0.15, "calibration": 0.05}
 FLOOR, MIN_HOPS, COMPOSITE_TOLERANCE, NARROW_TOLERANCE = 0.6, 3.0, 0.05, 0.05
@@ -71,3 +75,30 @@ def benchmark_summary(rows: DataFrame, by: Sequence[str]) -> DataFrame:
 def unjudged(answers: DataFrame, judged: DataFrame, key: str = "question_id") -> DataFrame:
     """Answers that have no score yet: what a resumed judge run takes."""
     return answers.join(judged.select(key).distinct(), key, "left_anti")
+
+
+#: The three prompts' feedback fields.
+JUDGED = {"groundedness": ("score",), "relevance_correctness": ("relevance", "correctness"), "depth": ("insight", "specificity", "coverage", "breadth", "calibration")}
+
+
+def judge(answers: DataFrame, ask: Callable[[str, str], str]) -> DataFrame:
+    """(question_id, name, score): eight scores by a given judge, ask(prompt name, text) -> reply.
+
+    Answers have question_id, question, answer and context_texts. A reply without an
+    object, or a score that is no number, leaves that score NULL; the others stand.
+    """
+    said = F.concat_ws("\n\n", F.col("question"), F.col("answer"), format_contexts(F.col("context_texts")))
+
+    def go(parts):
+        for pdf in parts:
+            rows = [(q, prompt, ask(prompt, t)) for q, t in zip(pdf["question_id"], pdf["said"], strict=True) for prompt in JUDGED]
+            yield pd.DataFrame(rows, columns=["question_id", "prompt", "reply"])
+
+    replies = answers.select(F.col("question_id").cast("string").alias("question_id"), said.alias("said")).mapInPandas(go, "question_id string, prompt string, reply string")
+    fields = sorted({f for fs in JUDGED.values() for f in fs})
+    parsed = replies.withColumn("v", verdict_json(F.col("reply"), ", ".join(f"{f} string" for f in fields)))
+    wanted = F.create_map(*[x for p, fs in JUDGED.items() for x in (F.lit(p), F.array(*map(F.lit, fs)))])
+    one = parsed.select("question_id", "prompt", "v", F.explode(F.element_at(wanted, F.col("prompt"))).alias("field"))
+    raw = F.coalesce(*[F.when(F.col("field") == f, F.col(f"v.{f}")) for f in fields])
+    name = F.when(F.col("field") == "score", F.col("prompt")).otherwise(F.col("field"))
+    return one.select("question_id", name.alias("name"), clamp_score(safe_double(raw)).alias("score"))

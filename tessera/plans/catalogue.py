@@ -673,6 +673,105 @@ def benchmark_summary(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.benchmark_summary(_answers(spark, d), ["tier"]).withColumn("pass_pct", F.round("pass_pct", 6))
 
 
+# Further corpus entities, formatting and state
+
+
+def _extractions(spark, d):
+    b = _read(spark, d, "benchmark")
+    word = F.split("text", " ")
+    body = F.to_json(F.struct(
+        F.array(F.struct(word[0].alias("name"), F.lit("t").alias("type"))).alias("entities"),
+        F.array(F.struct(word[0].alias("source"), word[1].alias("target"), F.lit("r").alias("type"), (F.col("item_id") / 4.0).cast("double").alias("weight"))).alias("relations"),
+        F.array(F.struct(word[2].alias("text"), F.lit("+").alias("polarity"), F.when(F.col("item_id") % 2 == 0, word[0]).alias("subject"), word[1].alias("entity"))).alias("claims"),
+    ))
+    return b.select(F.col("item_id").cast("string").alias("chunk_sha"), body.alias("extraction"))
+
+
+_W = "b AS (SELECT CAST(item_id AS VARCHAR) AS chunk_sha, item_id, string_split(text, ' ') AS w FROM benchmark)"
+
+
+@_query(f"WITH {_W} SELECT chunk_sha, w[1] AS name, 't' AS entity_type FROM b")
+def graph_entities(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.graph_rows(_extractions(spark, d))["graph_entities"].drop("aliases")
+
+
+@_query(f"WITH {_W} SELECT chunk_sha, w[1] AS source, w[2] AS target, 'r' AS relation_type, item_id / 4.0::DOUBLE AS weight FROM b")
+def graph_relations(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.graph_rows(_extractions(spark, d))["graph_relations"]
+
+
+@_query(f"WITH {_W} SELECT chunk_sha, CAST(0 AS INTEGER) AS claim_index, w[3] AS text, '+' AS polarity, CASE WHEN item_id % 2 = 0 THEN w[1] ELSE w[2] END AS subject FROM b")
+def graph_claims(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.graph_rows(_extractions(spark, d))["graph_claims"]
+
+
+@_query("SELECT CAST(item_id AS VARCHAR) AS case_id, text AS question, '' AS reference_answer, 'general' AS domain, 'unanchored' AS anchor_status FROM benchmark")
+def golden_rows(spark: SparkSession, d: str) -> DataFrame:
+    entry = F.array(F.struct(F.col("item_id").cast("string").alias("id"), F.col("text").alias("question")))
+    payload = _read(spark, d, "benchmark").select(F.to_json(F.struct(entry.alias("entries"))).alias("payload"))
+    return corpus.golden_rows(payload).select("case_id", "question", "reference_answer", "domain", "anchor_status")
+
+
+@_query("SELECT CAST(item_id AS VARCHAR) AS theme_id, text AS label FROM benchmark")
+def theme_rows(spark: SparkSession, d: str) -> DataFrame:
+    bare = F.to_json(F.array(F.struct(F.col("item_id").cast("string").alias("id"), F.col("text").alias("label"))))
+    payload = F.when(F.col("item_id") % 2 == 0, bare).otherwise(F.concat(F.lit('{"themes":'), bare, F.lit("}")))
+    return corpus.theme_rows(_read(spark, d, "benchmark").select(payload.alias("payload"))).select("theme_id", "label")
+
+
+@_query("SELECT CAST(item_id AS VARCHAR) AS video_id, '' AS title, text AS summary, substr(sha256(text), 1, 16) AS text_sha FROM benchmark")
+def summary_rows(spark: SparkSession, d: str) -> DataFrame:
+    rows = _read(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("video_id"), F.lit(None).cast("string").alias("title"), F.col("text").alias("summary"))
+    return corpus.summary_rows(rows)
+
+
+@_query("SELECT conv_id, CAST(count(*) + 3 AS INTEGER) AS hops FROM conversations GROUP BY conv_id")
+def decision_log_hops(spark: SparkSession, d: str) -> DataFrame:
+    c = _read(spark, d, "conversations").groupBy("conv_id").agg(F.collect_list(F.concat(F.lit("search: "), F.col("turn").cast("string"))).alias("log"))
+    return c.select("conv_id", text.hops(F.concat("log", F.array(F.lit("retrieved across 3 calls"), F.lit("decide: answer")))).alias("hops"))
+
+
+@_query("""SELECT conv_id, array_to_string(list_transform(range(1, least(16, count(*)) + 1), lambda i: '[' || CAST(i AS VARCHAR) || '] ' || list(text ORDER BY turn)[i][1:800]), chr(10) || chr(10) || '---' || chr(10) || chr(10)) AS prompt FROM conversations GROUP BY conv_id""")
+def context_prompt(spark: SparkSession, d: str) -> DataFrame:
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"])
+    return _read(spark, d, "conversations").groupBy("conv_id").agg(listed.alias("c")).select("conv_id", text.format_contexts(F.col("c")).alias("prompt"))
+
+
+@_query("SELECT doc_id FROM documents WHERE doc_id % 4 <> 0 OR doc_id % 8 = 0")
+def index_to_sync(spark: SparkSession, d: str) -> DataFrame:
+    docs = _read(spark, d, "documents").select(F.col("doc_id").cast("string").alias("chunk_key"), "doc_id")
+    state = docs.where("doc_id % 4 = 0").select(F.lit("idx").alias("index_name"), "chunk_key", F.when(F.col("doc_id") % 8 == 0, "old").otherwise("new").alias("text_sha"))
+    return retrieval.to_sync(docs.withColumn("text_sha", F.lit("new")), state, "idx").select("doc_id")
+
+
+@_query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)")
+def unjudged_answers(spark: SparkSession, d: str) -> DataFrame:
+    key = lambda df: df.select(F.col("doc_id").alias("question_id"))
+    return evaluate.unjudged(key(_read(spark, d, "documents")), key(_read(spark, d, "labels").where("quality = 1"))).select(F.col("question_id").alias("doc_id"))
+
+
+@_query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')")
+def row_filter(spark: SparkSession, d: str) -> DataFrame:
+    from tessera.sources.sinks import row_filter as keep
+
+    return keep(spark, "tessera_allowed", "c_mktsegment", "string", "x IN ('BUILDING', 'MACHINERY')", _read(spark, d, "customer").select("c_custkey", "c_mktsegment"))
+
+
+@_query(f"""WITH {_SALES} SELECT month, count(*) AS n FROM sales WHERE month BETWEEN DATE '1996-01-01' AND DATE '1997-12-01' AND postcode IN ('1', '2', '3') AND property_type = 'BUILDING' GROUP BY month""")
+def dashboard_filters(spark: SparkSession, d: str) -> DataFrame:
+    from tessera.functions.metrics import dashboard_filter
+
+    return dashboard_filter(_sales(spark, d), ("1996-01-01", "1997-12-01"), ("1", "2", "3"), "BUILDING").groupBy("month").agg(F.count("*").alias("n"))
+
+
+@_query(f"WITH {_SERIES}, cut AS (SELECT CAST(max(month) - INTERVAL 6 MONTH AS DATE) AS c FROM series), hist AS (SELECT series.* FROM series, cut WHERE month <= c), {_trend_sql('hist', 6)}, " + """
+    m AS (SELECT 'trend_seasonal' AS method, * FROM trend UNION ALL SELECT 'seasonal_naive', * FROM naive),
+    e AS (SELECT method, month, avg(abs(yhat - y)) AS mae FROM m JOIN series USING (property_type, month) GROUP BY ALL), g AS (SELECT method, avg(mae) AS a FROM e GROUP BY method)
+    SELECT method, round(a, 3) AS avg_mae FROM g ORDER BY a, method LIMIT 1""")
+def forecast_best_method(spark: SparkSession, d: str) -> DataFrame:
+    return forecast.best_method(forecast.backtest(_series(spark, d), ["property_type"], "month", "y", 6)).withColumn("avg_mae", F.round("avg_mae", 3))
+
+
 # Streaming
 
 

@@ -209,3 +209,10 @@ def test_benchmark_rows_and_case_loader(spark, tmp_path):
     (tmp_path / "c.json").write_text('[{"id": "x", "question": "q"}]')
     with pytest.raises(ValueError, match="case x: missing kind"):
         load_cases(str(tmp_path / "c.json"))
+
+
+def test_judge_scores(spark):
+    replies = {"groundedness": 'fine {"score": 0.9}', "relevance_correctness": '{"relevance": 2, "correctness": "x"}', "depth": "no object"}
+    a = spark.createDataFrame([("1", "q", "a", ["c"])], "question_id string, question string, answer string, context_texts array<string>")
+    got = {r.name: r.score for r in evaluate.judge(a, lambda prompt, said: replies[prompt]).collect()}
+    assert len(got) == 8 and got["groundedness"] == 0.9 and got["relevance"] == 1.0 and got["correctness"] is None and got["insight"] is None
