@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm import bpe, decontamination, exact_dedup, html_text, license_scan, pii, quality, simhash, toxicity, url_filter
 from tessera.llm.shared import read
@@ -50,7 +51,8 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(read(spark, sf_dir, "documents"), license_scan.catalogue(spark))
+    out = license_scan.scan(read(spark, sf_dir, "documents"), license_scan.catalogue(spark))
+    return out.withColumn("notice_ids", F.array_join("notice_ids", ","))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +69,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def _canonical_sql(text: str) -> str:
+    out = f"regexp_replace(lower({text}), '(?m)^[ \\t*#/]*(?:copyright\\b|\\(c\\)|©)[^\\n]*$', '', 'g')"
+    for pattern, to in license_scan.SPELLINGS:
+        out = f"regexp_replace({out}, '{pattern}', '{to.replace('$', chr(92))}', 'g')"
+    return f"regexp_replace({out}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
+
+
+def _license_sql() -> str:
+    quote = lambda t: "'" + t.replace("'", "''") + "'"
+    known = [(i, t) for i, ts in license_scan.NOTICES.items() for t in ts] + list(license_scan.TEXTS.items())
+    whole = "trim(regexp_replace({}, '\\s+', ' ', 'g'))"
+    return f"""
+        WITH raw(id, t) AS (VALUES {", ".join(f"({quote(i)}, {quote(t)})" for i, t in known)}),
+        known AS (SELECT sha256({whole.format(_canonical_sql("t"))}) AS digest, min(id) AS id FROM raw GROUP BY ALL),
+        docs AS (SELECT doc_id, {_canonical_sql("coalesce(text, '')")} AS lines FROM documents),
+        hits AS (SELECT doc_id, list_sort(list_distinct(list(id))) AS ids FROM (SELECT doc_id, unnest(list_distinct(list_transform(string_split(lines, chr(10)), lambda x: sha256(trim(x))))) AS digest FROM docs)
+                 JOIN known USING (digest) GROUP BY doc_id)
+        SELECT doc_id, sha256({whole.format("lines")}) AS text_digest, known.id AS license_id, array_to_string(coalesce(ids, []), ',') AS notice_ids, CAST(len(coalesce(ids, [])) AS INTEGER) AS n_notices
+        FROM docs LEFT JOIN known ON known.digest = sha256({whole.format("lines")}) LEFT JOIN hits USING (doc_id)"""
+
+
 ORACLE: dict[str, str] = {
+    "op8_license_scan": _license_sql(),
     "op2_url_filter": f"""
         WITH u AS (
             SELECT page_id,
