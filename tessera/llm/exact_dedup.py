@@ -29,58 +29,61 @@ FIRST = 256
 GROWTH = 16
 
 
-def radix_groups(docs: DataFrame, carry: dict) -> DataFrame:
-    """One row per document: the carried columns, then keep_id, group_size and kept.
+def radix_groups(docs: DataFrame, carry: list[str], with_text: bool) -> DataFrame:
+    """One row per document: the carried columns, text if asked for, keep_id, group_size, kept and text_sha256.
 
-    carry: {name: Column over docs}; text_sha256 is added to them if it is not there.
+    Text is moved once in each round; with_text keeps it in the rows that are done.
     """
-    carry = {"text_sha256": F.sha2(ascii_lower(whole_text()), 256)} | carry
+    text = F.coalesce(F.col("_r_text"), F.lit(""))
     rows = docs.select(
-        F.struct(*[c.alias(n) for n, c in carry.items()]).alias("_r_row"),
+        F.struct(*carry, F.sha2(ascii_lower(whole_text()), 256).alias("_r_sha")).alias("_r_row"),
         F.col("doc_id").alias("_r_id"),
-        whole_text().alias("_r_text"),
+        F.col("text").cast("string").alias("_r_text"),
     )
     done, width = [], FIRST
     while True:
-        keyed = rows.select("*", F.substring(ascii_lower(F.col("_r_text")), 1, width).alias("_r_key"))
+        keyed = rows.select("*", F.substring(ascii_lower(text), 1, width).alias("_r_key"))
         groups = materialise(
             keyed.groupBy("_r_key").agg(F.count("*").alias("_r_n"), F.max("_r_id").alias("_r_keep")).where("_r_n > 1"),
             "radix-groups",
         )
-        ended = F.col("_r_n").isNull() | (F.char_length("_r_text") < width)
-        joined = keyed.join(groups, "_r_key", "left").select(
-            "_r_row", "_r_id", F.when(~ended, F.col("_r_text")).alias("_r_text"), "_r_n", "_r_keep"
+        ended = F.col("_r_n").isNull() | (F.char_length(text) < width)
+        kept = F.col("_r_text") if with_text else F.when(~ended, F.col("_r_text"))
+        split = materialise(
+            keyed.join(groups, "_r_key", "left").select("_r_row", "_r_id", kept.alias("_r_text"), ended.alias("_r_done"), "_r_n", "_r_keep"),
+            "radix-split",
         )
-        split = materialise(joined, "radix-split")
-        done.append(split.where(F.col("_r_text").isNull()).drop("_r_text"))
-        rows = split.where(F.col("_r_text").isNotNull()).select("_r_row", "_r_id", "_r_text")
+        done.append(split.where("_r_done").drop("_r_done"))
+        rows = split.where("NOT _r_done").select("_r_row", "_r_id", "_r_text")
         if rows.isEmpty():
             break
         width *= GROWTH
-    return _decide(reduce(DataFrame.unionByName, done))
+    return _decide(reduce(DataFrame.unionByName, done), carry, with_text)
 
 
-def _decide(done: DataFrame) -> DataFrame:
-    size = F.coalesce("_r_n", F.lit(1))
-    alone = done.where(size == 1).select("_r_row.*", F.col("_r_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
-    many = done.where(size > 1)
-    stays = F.col("_r_id").eqNullSafe(F.col("_r_keep"))
-    goes = many.where(~stays).select("_r_row.*", F.col("_r_keep").alias("keep_id"), F.col("_r_n").alias("group_size"), F.lit(False).alias("kept"))
+def _decide(done: DataFrame, carry: list[str], with_text: bool) -> DataFrame:
+    size, stays = F.coalesce("_r_n", F.lit(1)), F.col("_r_id").eqNullSafe(F.col("_r_keep"))
+    out = lambda df, keep, kept: df.select(
+        *[F.col(f"_r_row.{c}").alias(c) for c in carry], *([F.col("_r_text").alias("text")] if with_text else []),
+        keep.alias("keep_id"), size.cast("long").alias("group_size"), kept.alias("kept"), F.col("_r_row._r_sha").alias("text_sha256"),
+    )
+    alone, many = done.where(size == 1), done.where(size > 1)
     # Usually one row a group; repeated rows are told apart here.
-    same = Window.partitionBy("_r_id", "_r_n", "_r_row.text_sha256").orderBy("_r_n")
-    top = many.where(stays).select("*", F.row_number().over(same).alias("_r_k"))
-    top = top.select("_r_row.*", F.col("_r_keep").alias("keep_id"), F.col("_r_n").alias("group_size"), (F.col("_r_k") == 1).alias("kept"))
-    return alone.unionByName(goes).unionByName(top)
+    same = Window.partitionBy("_r_id", "_r_n", "_r_row._r_sha").orderBy("_r_n")
+    top = many.where(stays).withColumn("_r_k", F.row_number().over(same))
+    keep = F.col("_r_keep")
+    return out(alone, F.col("_r_id"), F.lit(True)).unionByName(out(many.where(~stays), keep, F.lit(False))).unionByName(out(top, keep, F.col("_r_k") == 1))
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:
     """The rows of the op6 query."""
-    return radix_groups(docs, {"doc_id": F.col("doc_id")}).select(
-        "doc_id", "keep_id", "group_size", "kept", "text_sha256"
-    )
+    return radix_groups(docs, ["doc_id"], False)
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """docs without the copies: all of its columns, one row of each group."""
-    out = radix_groups(docs, {"row": F.struct(*docs.columns)})
-    return out.where("kept").select("row.*")
+    other = [c for c in docs.columns if c not in ("text", "keep_id", "group_size", "kept", "text_sha256")]
+    clash = [c for c in docs.columns if c != "text" and c not in other]
+    renamed = docs.withColumnsRenamed({c: f"_c_{c}" for c in clash})
+    out = radix_groups(renamed, [*other, *[f"_c_{c}" for c in clash]], True).where("kept")
+    return out.select(*[F.col(f"_c_{c}" if c in clash else c).alias(c) for c in docs.columns])
