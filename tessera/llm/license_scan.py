@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import whole_text
+from tessera.llm.shared import materialise, whole_text
 
 MAX_KNOWN = 100_000
 
@@ -46,22 +46,28 @@ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLI
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
     "WTFPL": "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE Version 2, December 2004. Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed. TERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION 0. You just DO WHAT THE FUCK YOU WANT TO.",
 }
-#: Equivalent spellings: pattern, replacement; on lower-case text.
+#: Equivalent spellings: pattern, replacement, what every match holds; on lower-case text.
 SPELLINGS = (
-    (r"\b(sub)?-?licen[cs](e[sd]?|ing)\b", "$1licens$2"),
-    (r"\bnon-?\s?commercial", "noncommercial"),
-    (r"\bnon-?infringement", "noninfringement"),
-    (r"https?://(www\.)?", ""),
+    (r"\b(sub)?-?licen[cs](e[sd]?|ing)\b", "$1licens$2", "licen"),
+    (r"\bnon-?\s?commercial", "noncommercial", "commercial"),
+    (r"\bnon-?infringement", "noninfringement", "infringement"),
+    (r"https?://(www\.)?", "", "://"),
 )
+COPYRIGHT = r"(?m)^[\x20\t*#/]*+(?:copyright\b|\(c\)|©)[^\n]*$"
 
 
-def canonical_lines(text: Column) -> Column:
-    """The canonical form, its lines kept apart."""
-    out = F.lower(text)
-    out = F.regexp_replace(out, r"(?m)^[\x20\t*#/]*+(?:copyright\b|\(c\)|©)[^\n]*$", "")
-    for pattern, to in SPELLINGS:
-        out = F.regexp_replace(out, pattern, to)
-    return F.regexp_replace(out, r"[^\p{L}\p{N}\n]+", " ")
+def with_lines(df: DataFrame, text: Column) -> DataFrame:
+    """df with lines, the canonical form of a text, its lines kept apart.
+
+    Each step is a projection of its own, and runs a pattern only where the text holds
+    what all of its matches hold.
+    """
+    out, x = df.withColumn("lines", F.lower(text)), F.col("lines")
+    marked = x.contains("copyright") | x.contains("(c)") | x.contains("©")
+    out = out.withColumn("lines", F.when(marked, F.regexp_replace(x, COPYRIGHT, "")).otherwise(x))
+    for pattern, to, held in SPELLINGS:
+        out = out.withColumn("lines", F.when(x.contains(held), F.regexp_replace(x, pattern, to)).otherwise(x))
+    return out.withColumn("lines", F.regexp_replace(x, r"[^\p{L}\p{N}\n]+", " "))
 
 
 def canonical(lines: Column) -> Column:
@@ -76,14 +82,15 @@ def catalogue(spark: SparkSession) -> DataFrame:
 
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     """One row per document: doc_id, text_digest, license_id, notice_ids (sorted), n_notices."""
-    known = known.select("id", canonical(canonical_lines(F.col("text"))).alias("t")).where("t <> ''")
+    known = with_lines(known, F.col("text")).select("id", canonical(F.col("lines")).alias("t")).where("t <> ''")
     known = known.groupBy(F.sha2("t", 256).alias("digest")).agg(F.min("id").alias("id"), F.min(F.length("t")).alias("len"))
     lengths = known.agg(F.count("*").alias("n"), F.collect_set("len").alias("len")).first()
-    keyed = docs.select("doc_id", canonical_lines(whole_text()).alias("lines"))
+    keyed = with_lines(docs.select("doc_id", whole_text().alias("text")), F.col("text"))
     keyed = keyed.select("doc_id", canonical(F.col("lines")).alias("whole"), F.split("lines", "\n").alias("lines"))
     fits = lambda c: F.length(c).isin(lengths["len"] or [-1])
     lines = F.filter(F.transform("lines", lambda x: F.trim(x)), fits)
     keyed = keyed.select("doc_id", F.sha2("whole", 256).alias("text_digest"), F.array_sort(F.transform(F.array_distinct(lines), lambda x: F.sha2(x, 256))).alias("found"))
+    keyed = materialise(keyed, "digests")  # texts are read once; both branches below start here
     side = F.broadcast(known) if lengths["n"] <= MAX_KNOWN else known
     keyed = keyed.join(side.select(F.col("digest").alias("text_digest"), F.col("id").alias("license_id")), "text_digest", "left")
     none = keyed.where(F.size("found") == 0).select("doc_id", "text_digest", "license_id", F.array().cast("array<string>").alias("notice_ids"))

@@ -72,8 +72,8 @@ _ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrs
 
 
 def _canonical_sql(text: str) -> str:
-    out = f"regexp_replace(lower({text}), '(?m)^[ \\t*#/]*(?:copyright\\b|\\(c\\)|©)[^\\n]*$', '', 'g')"
-    for pattern, to in license_scan.SPELLINGS:
+    out = f"regexp_replace(lower({text}), '{license_scan.COPYRIGHT.replace('*+', '*')}', '', 'g')"
+    for pattern, to, _ in license_scan.SPELLINGS:
         out = f"regexp_replace({out}, '{pattern}', '{to.replace('$', chr(92))}', 'g')"
     return f"regexp_replace({out}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
 
