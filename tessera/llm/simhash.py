@@ -26,10 +26,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.components import components
+from tessera.llm.near_copies import keep_one as keep_one
 from tessera.llm.shared import materialise, prepare_workers, whole_text
 
 SHINGLE = 3
@@ -170,18 +171,3 @@ def near_groups(docs: DataFrame) -> DataFrame:
     rows = materialise(with_fingerprint(docs.select("doc_id", "text"), "fp").select("doc_id", "fp"), "prints")
     out = rows.join(group_fingerprints(rows), "fp")
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """docs with one row of each component: the least doc_id, then the least hash of the text; all columns."""
-    hashed = with_fingerprint(docs.select("doc_id", "text", F.xxhash64(whole_text()).alias("_h")), "fp")
-    rows = materialise(hashed.select("doc_id", "fp", "_h"), "prints")
-    groups = group_fingerprints(rows)
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_h")
-    first = rows.join(groups, "fp").groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("_n")).agg(F.min(order).alias("_o"))
-    keep = first.select(F.coalesce("_o.doc_id", F.lit(-1)).alias("_k"), F.col("_o._h").alias("_h")).distinct()
-    out = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text").withColumns({"_h": F.xxhash64(whole_text()), "_k": F.coalesce("doc_id", F.lit(-1))})
-    # Repeated rows have the same key; one of them stays.
-    same = Window.partitionBy("_k", "_h").orderBy("_k")
-    out = out.join(keep, ["_k", "_h"], "left_semi").withColumn("_n", F.row_number().over(same))
-    return out.where("_n = 1").select("_row.*")

@@ -382,3 +382,39 @@ def test_leaks_in_odd_rows(spark):
     assert {(r.doc_id, r.item_id) for r in decontamination.find_leaks(d, b).collect()} == {(5, 1), (4, None)}
     assert decontamination.drop_leaks(d, b).count() == len(ODD) - 3 and decontamination.drop_leaks(d, b).columns == d.columns
     assert decontamination.drop_leaks(docs(spark, ["same text here"], [None]).where(F.lit(True)), b).count() == 0
+
+
+# near copies of the pipeline
+
+
+def brute_near(texts):
+    def cut(t):
+        w = (t or "").lower().split()
+        n = min(5, len(w))
+        return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if w else set()
+
+    sets, label = [cut(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both, either = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+            if (10 * both >= 8 * either) and label[i] != label[j]:
+                a, b = label[i], label[j]
+                label = [min(a, b) if x in (a, b) else x for x in label]
+    return label
+
+
+def test_near_copies_of_more_than_two_bits_are_dropped(spark):
+    rng = random.Random(29)
+    texts = [None, "", "one two", "One  two", "one two three"]
+    for b in range(12):
+        base = [f"w{b}x{rng.randrange(40)}" for _ in range(120)]
+        texts.append(" ".join(base))
+        for edits in (1, 2, 3, 5, 8):
+            w = list(base)
+            for _ in range(edits):
+                w[rng.randrange(120)] = "changed"
+            texts.append(" ".join(w))
+    label = brute_near(texts)
+    assert any(label[i] != i and (simhash.fingerprint(t) ^ simhash.fingerprint(texts[label[i]])).bit_count() > 2 for i, t in enumerate(texts) if t)
+    got = {r.doc_id for r in simhash.keep_one(docs(spark, texts)).collect()}
+    assert got == set(label) and len(got) < len(texts) - 20
