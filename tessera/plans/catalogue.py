@@ -587,10 +587,10 @@ def context_collect(spark: SparkSession, d: str) -> DataFrame:
 @_query("""SELECT doc_id AS case_id, CAST(doc_id AS VARCHAR) AS chunk_id, CASE WHEN doc_id % 2 = 0 THEN 'k' || (SELECT CAST(max(doc_id) AS VARCHAR) FROM documents e WHERE e.text = documents.text AND length(CAST(e.doc_id AS VARCHAR)) = length(CAST(documents.doc_id AS VARCHAR))) END AS chunk_key
     FROM documents WHERE doc_id BETWEEN 100 AND 199""")
 def reanchor_chunks(spark: SparkSession, d: str) -> DataFrame:
-    docs = _read(spark, d, "documents").where("doc_id BETWEEN 100 AND 199").select("doc_id", F.sha2("text", 256).alias("text_sha"))
-    full = _read(spark, d, "documents").where("length(cast(doc_id AS string)) = 3").select("doc_id", F.sha2("text", 256).alias("text_sha"))
+    docs = _read(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("text_sha"))
     landed = docs.where("doc_id % 2 = 0").select(F.col("doc_id").cast("string").alias("chunk_id"), "text_sha")
-    current = full.select("text_sha", F.concat(F.lit("k"), F.col("doc_id").cast("string")).alias("chunk_key"))
+    # Of equal texts the largest number, not the largest string, gives the key.
+    current = docs.groupBy("text_sha").agg(F.concat(F.lit("k"), F.max("doc_id").cast("string")).alias("chunk_key"))
     return retrieval.reanchor(docs.select(F.col("doc_id").alias("case_id"), F.col("doc_id").cast("string").alias("chunk_id")), landed, current)
 
 

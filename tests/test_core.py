@@ -216,3 +216,12 @@ def test_judge_scores(spark):
     a = spark.createDataFrame([("1", "q", "a", ["c"])], "question_id string, question string, answer string, context_texts array<string>")
     got = {r.name: r.score for r in evaluate.judge(a, lambda prompt, said: replies[prompt]).collect()}
     assert len(got) == 8 and got["groundedness"] == 0.9 and got["relevance"] == 1.0 and got["correctness"] is None and got["insight"] is None
+
+
+def test_reanchor_covers_all_documents(spark, tmp_path):
+    from tessera.plans import catalogue
+
+    rows = [(5, "a"), (8, "b"), (12, "a"), (100, "c"), (150, "b"), (998, "d"), (1000, "d"), (20000, "b"), (30001, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.case_id: r.chunk_key for r in catalogue.queries()["reanchor_chunks"](spark, str(tmp_path)).collect()}
+    assert got == {5: None, 8: "k20000", 12: "k12", 100: "k100", 150: "k20000", 998: "k1000", 1000: "k1000", 20000: "k20000", 30001: None}
