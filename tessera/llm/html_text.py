@@ -1,10 +1,12 @@
 """Main text of web pages: recurring element subtrees are deleted per host.
 
 Each page's element subtrees are hashed (tag, text and children); Spark counts on how
-many pages of a host each hash occurs. A subtree on at least MIN_PAGES pages and
-MIN_SHARE of the host's pages is template and is deleted, so a host has at most
-(subtrees per page) / MIN_SHARE of them. Paragraphs, headings and other text blocks of
-an article are never template: articles may quote the same passage. What the markup
+many distinct pages of a host each hash occurs: copies of a page count once. A subtree
+on at least MIN_PAGES pages and MIN_SHARE of the host's pages is template and is
+deleted; MANY_PAGES are enough on a host of any size. Paragraphs, headings and other
+text blocks of an article are never template: articles may quote the same passage.
+Neither is an element around an article, or one inside it with half or more of its
+text: it is what the page is about, even if copies of it recur. What the markup
 itself calls a menu, header, footer, sidebar, notice, advert, form, script, style or
 comment goes too. What is left of the article elements (else of main, else of the
 body) is the text.
@@ -35,6 +37,7 @@ from tessera.llm.url_filter import host_of
 
 MIN_PAGES = 3
 MIN_SHARE = 0.05
+MANY_PAGES = 20
 MAX_BROADCAST = 200_000
 
 # Element names.
@@ -61,10 +64,11 @@ SPLIT = re.compile(r"[^a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("attributes", "children", "hash", "tag")
+    __slots__ = ("attributes", "children", "framed", "hash", "size", "tag")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.attributes, self.children, self.hash = tag, attributes, [], 0
+        self.size, self.framed = 0, False  # characters that are not white or dropped; whether it is or holds an article
 
 
 def parse(page: str) -> Node:
@@ -124,7 +128,7 @@ def dropped(node: Node) -> bool:
 
 
 def digest(root: Node) -> None:
-    """Sets the hash of each node, children first."""
+    """Sets the hash, size and framed of each node, children first."""
     order, todo = [], [root]
     while todo:
         node = todo.pop()
@@ -133,21 +137,33 @@ def digest(root: Node) -> None:
     for node in reversed(order):
         h = xxhash.xxh64(node.tag.encode(), seed=7)
         for c in node.children:
-            h.update(c.hash.to_bytes(8, "little") if isinstance(c, Node) else b"\0" + " ".join(c.split()).encode("utf-8", "replace"))
+            if isinstance(c, Node):
+                h.update(c.hash.to_bytes(8, "little"))
+                node.framed |= c.framed
+                node.size += c.size
+            else:
+                words = c.split()
+                h.update(b"\0" + " ".join(words).encode("utf-8", "replace"))
+                node.size += sum(map(len, words))
         node.hash = h.intdigest()
+        if dropped(node):
+            node.size, node.framed = 0, False
+        elif node.tag in ("article", "main"):
+            node.framed = True
 
 
 def subtrees(root: Node) -> set[int]:
-    """Hashes of the subtrees that may be template: elements that are neither a frame of the page nor a text block of an article."""
-    out, todo = set(), [(root, False)]
+    """Hashes of the subtrees that may be template: elements that are neither a frame of the page or around one, nor a text block or the bulk of an article."""
+    out, todo = set(), [(root, 0, False)]
     while todo:
-        node, inside = todo.pop()
-        frame = node.tag in ("", "html", "head", "body", "article", "main")
-        if not frame and node.children and node.tag in BLOCK and not (inside and node.tag in TEXT_BLOCKS):
+        node, most, inside = todo.pop()
+        bulk = inside and 0 < most <= 2 * node.size
+        if not node.framed and not bulk and node.tag not in ("", "html", "head", "body") and node.children and node.tag in BLOCK and not (inside and node.tag in TEXT_BLOCKS):
             out.add(node.hash)
-        inside = inside or node.tag in ("article", "main")
+        if node.tag in ("article", "main") and not (inside and node.tag == "main"):
+            most, inside = node.size, True
         if not (inside and node.tag in TEXT_BLOCKS):
-            todo += [(c, inside) for c in node.children if isinstance(c, Node)]
+            todo += [(c, most, inside) for c in node.children if isinstance(c, Node)]
     return out
 
 
@@ -193,19 +209,20 @@ def templates(pages: DataFrame) -> DataFrame:
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hosts, hashes = [], []
+            hosts, hashes, own = [], [], []
             for host, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
                 root = parse(page)
                 digest(root)
                 found = [0, *subtrees(root)]  # 0 counts the page
                 hosts += [host] * len(found)
                 hashes += [h - (1 << 64) if h >> 63 else h for h in found]
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], ["host", "hash"])
+                own += [root.hash - (1 << 63)] * len(found)
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(own, pa.int64())], ["host", "hash", "page"])
 
-    counts = pages.mapInArrow(go, "host string, hash long").groupBy("host", "hash").agg(F.count("*").alias("n"))
+    counts = pages.mapInArrow(go, "host string, hash long, page long").distinct().groupBy("host", "hash").agg(F.count("*").alias("n"))
     counts = materialise(counts.where(f"hash = 0 OR n >= {MIN_PAGES}"), "subtrees")
     total = counts.where("hash = 0").select("host", F.col("n").alias("pages"))
-    return materialise(counts.where("hash <> 0").join(total, "host").where(F.col("n") >= MIN_SHARE * F.col("pages")).select("host", "hash"), "templates")
+    return materialise(counts.where("hash <> 0").join(total, "host").where(F.col("n") >= F.least(MIN_SHARE * F.col("pages"), F.lit(MANY_PAGES))).select("host", "hash"), "templates")
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -418,3 +418,15 @@ def test_near_copies_of_more_than_two_bits_are_dropped(spark):
     assert any(label[i] != i and (simhash.fingerprint(t) ^ simhash.fingerprint(texts[label[i]])).bit_count() > 2 for i, t in enumerate(texts) if t)
     got = {r.doc_id for r in simhash.keep_one(docs(spark, texts)).collect()}
     assert got == set(label) and len(got) < len(texts) - 20
+
+
+def test_templates_by_distinct_pages_and_around_articles(spark):
+    block = "<div><ul><li>one unmarked block</li></ul></div>"
+    rows = [(i, "http://big.org/", f"<body>{block if i < 30 else ''}<p>text {i}</p></body>") for i in range(900)]
+    copy = "<body><div><p>menu</p><article><div><div>the article of all copies</div></div><div>by me</div></article></div><p>{}</p></body>"
+    rows += [(1000 + i, "http://a.org/", copy.format(i)) for i in range(5)]  # differ outside the article
+    rows += [(2000 + i, "http://b.org/", "<body><div><ul><li>whole page</li></ul></div></body>") for i in range(5)]  # one page, five times
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(900)] == [f"text {i}" for i in range(900)]
+    assert all("the article of all copies" in got[1000 + i] for i in range(5))
+    assert all(got[2000 + i] == "whole page" for i in range(5))
