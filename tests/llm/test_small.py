@@ -430,3 +430,9 @@ def test_templates_by_distinct_pages_and_around_articles(spark):
     assert [got[i] for i in range(900)] == [f"text {i}" for i in range(900)]
     assert all("the article of all copies" in got[1000 + i] for i in range(5))
     assert all(got[2000 + i] == "whole page" for i in range(5))
+
+
+def test_one_id_on_two_texts_does_not_join_components(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    got = rows(simhash.keep_one(docs(spark, [a, b, a + " x", b + " x"], [1, 1, 2, 3])).select("doc_id", "text"))
+    assert sorted(got) == sorted([(1, a), (1, b)])
