@@ -459,7 +459,7 @@ def gbt_score(spark: SparkSession, d: str) -> DataFrame:
 
     numeric = ["rent_lag_1", "rent_lag_3", "rent_lag_12", "rent_mean_3", "volume_mean_3", "price_lag_1", "month_of_year"]
     train, test = features.split_by_month(_features(spark, d), "month", 6)
-    fitted = model.fit(train, ["property_type"], numeric, "median_weekly_rent", rounds=5)
+    fitted = model.fit(train, ["property_type"], numeric, "median_weekly_rent")
     return model.score(fitted, test, numeric, "predicted_weekly_rent").select("postcode", "property_type", "month", "predicted_weekly_rent", "median_weekly_rent")
 
 
@@ -581,7 +581,7 @@ def ir_aggregate(spark: SparkSession, d: str) -> DataFrame:
 def context_collect(spark: SparkSession, d: str) -> DataFrame:
     c = _read(spark, d, "conversations").select("conv_id", "turn", F.concat_ws(":", "conv_id", "turn").alias("chunk_key"), "text")
     refs = c.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "chunk_key"))), lambda x: x["chunk_key"]).alias("chunk_keys"))
-    return retrieval.collect_context(refs, c, ["conv_id"], 3).select("conv_id", F.array_join("context_texts", "|").alias("contexts"))
+    return retrieval.collect_context(refs, c, ["conv_id"]).select("conv_id", F.array_join("context_texts", "|").alias("contexts"))
 
 
 @_query("""SELECT doc_id AS case_id, CAST(doc_id AS VARCHAR) AS chunk_id, CASE WHEN doc_id % 2 = 0 THEN 'k' || (SELECT CAST(max(doc_id) AS VARCHAR) FROM documents e WHERE e.text = documents.text AND length(CAST(e.doc_id AS VARCHAR)) = length(CAST(documents.doc_id AS VARCHAR))) END AS chunk_key

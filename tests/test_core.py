@@ -225,3 +225,21 @@ def test_reanchor_covers_all_documents(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.case_id: r.chunk_key for r in catalogue.queries()["reanchor_chunks"](spark, str(tmp_path)).collect()}
     assert got == {5: None, 8: "k20000", 12: "k12", 100: "k100", 150: "k20000", 998: "k1000", 1000: "k1000", 20000: "k20000", 30001: None}
+
+
+def test_contexts_and_boosting_use_the_defaults(spark, tmp_path, monkeypatch):
+    import os
+
+    from tessera.operators import model
+    from tessera.plans import catalogue
+
+    rows = [(1, t, "user", f"t{t}") for t in range(20)] + [(2, t, "user", f"u{t}") for t in range(5)]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r.conv_id: r.contexts for r in catalogue.queries()["context_collect"](spark, str(tmp_path)).collect()}
+    assert got == {1: "|".join(f"t{t}" for t in range(16)), 2: "u0|u1|u2|u3|u4"}
+    if os.path.isdir(sf := "/root/testdata/sf0.001"):
+        seen = []
+        monkeypatch.setattr(model, "fit", lambda *a, **k: seen.append((len(a), k)))
+        monkeypatch.setattr(model, "score", lambda fitted, test, *a: test.select("postcode", "property_type", "month", "median_weekly_rent").withColumn("predicted_weekly_rent", F.lit(0.0)))
+        catalogue.queries()["gbt_score"](spark, sf)
+        assert seen == [(4, {})]
