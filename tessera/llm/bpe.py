@@ -10,12 +10,15 @@ Text is cut at added tokens, then at white space; a stretch without white space
 same ids wherever it stands, so a worker keeps those it has seen, up to CACHE of them.
 The vocabulary (a file of fixed size) is read by the driver and broadcast.
 
-Letters that Unicode added lately may be cut otherwise than by a library built with an
-older version of it.
+Which characters are letters, numbers or white, and what lower-casing and composing do to
+them, depends on a version of Unicode. Below PLAIN all versions agree, and Python's own
+functions are used; stretches with other characters go through the normaliser and the
+pre-tokenizer that the library makes of the same file, so its own classes count.
 
 Defined results: null and empty texts have no ids and decode to the empty text; texts
 of any length and runs without white space are encoded whole; repeated rows are encoded
-one by one; extra columns stay; an empty table gives no rows.
+one by one; extra columns stay, those that have the name of a result are replaced by it;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tessera.llm.shared import prepare_workers, whole_text
 
@@ -43,6 +47,8 @@ CACHE = 500_000
 LONGEST_KEPT = 64
 NONE = sys.maxsize
 NO_RANK = 2**31 - 1
+#: Latin letters, whose classes are the same in all versions of Unicode.
+PLAIN = re.compile("[\x00-\u024f]*")
 # Python's split() also cuts at these, which are not white space in Unicode.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
@@ -145,6 +151,9 @@ class Bpe:
         self.letters_sizes = np.array([len(t) for t in spaced], np.int64)
         self.words = regex.compile(split["pattern"]["Regex"])
         self.letters = byte_letters()
+        self.bytes = {c: b for b, c in self.letters.items()}
+        library = Tokenizer.from_str(spec)
+        self.normalise, self.pre_tokenise = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.white = regex.compile(r"\p{White_Space}+")
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.pairs = PairTable(self.merges)
@@ -155,7 +164,7 @@ class Bpe:
         self.last = np.array([self.vocab.get(self.letters[b] + self.suffix, -1) for b in range(256)], np.int32)
         self.marks = {" " + t: i.to_bytes(4, "little") for t, i in self.added.items()}
         self.stretches: dict[str, bytes] = dict(self.marks)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
     def merge(self, ids: list[int]) -> list[int]:
         """Merges until no pair can be merged: always the leftmost of the lowest rank."""
@@ -265,22 +274,28 @@ class Bpe:
             flat[base + i] = np.minimum(flat[under], flat[under + 1])
             leaves //= 2
 
+    def _words(self, stretch: str) -> tuple[bytes, ...]:
+        """The pre-tokens of a stretch by the library's classes, in UTF-8."""
+        return tuple(bytes(self.bytes[c] for c in piece) for piece, _ in self.pre_tokenise(self.normalise(stretch)))
+
     def _learn(self, stretches: list[str]) -> dict[str, bytes]:
         """The packed ids of stretches without white space."""
         if not stretches:
             return {}
+        plain = [s for s in stretches if PLAIN.fullmatch(s)]
         # Each letter is lowered for itself: no final sigma.
-        low = unicodedata.normalize("NFC", "\n".join(stretches)).replace("Σ", "σ").lower().split("\n")
-        cut = [(x,) if x.isalpha() else self.words.findall(x) for x in low]
+        low = unicodedata.normalize("NFC", "\n".join(plain)).lower().split("\n") if plain else []
+        cut = {s: (x.encode(),) if x.isalpha() else tuple(w.encode() for w in self.words.findall(x)) for s, x in zip(plain, low, strict=True)}
+        cut |= {s: self._words(s) for s in stretches if s not in cut}
         if len(self.known) > CACHE:
             self.known.clear()
-        known, new = self.known, [(w, w.encode()) for w in set().union(*cut) - self.known.keys()]
-        short = [x for x in new if len(x[1]) <= LONGEST_KEPT]
-        known.update(zip([w for w, _ in short], self.merge_many([b for _, b in short]), strict=True))
-        long = [x for x in new if len(x[1]) > LONGEST_KEPT]
-        known.update((w, np.asarray(self.word(b), "<u4").tobytes()) for w, b in long)
-        out = {s: known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws]) for s, ws in zip(stretches, cut, strict=True)}
-        for w, _ in long:
+        known, new = self.known, list(set().union(*cut.values()) - self.known.keys())
+        short = [w for w in new if len(w) <= LONGEST_KEPT]
+        known.update(zip(short, self.merge_many(short), strict=True))
+        long = [w for w in new if len(w) > LONGEST_KEPT]
+        known.update((w, np.asarray(self.word(w), "<u4").tobytes()) for w in long)
+        out = {s: known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws]) for s, ws in cut.items()}
+        for w in long:
             del known[w]
         return out
 
@@ -377,4 +392,6 @@ def _apply(docs: DataFrame, path: str, schema: str, make) -> DataFrame:
         for s in texts:
             yield pd.DataFrame([make(bpe, p) for p in bpe.encode_batch(s.tolist())], columns=names)
 
-    return docs.withColumn("_bpe", go(whole_text())).select(*docs.columns, *[F.col(f"_bpe.{n}").alias(n) for n in names])
+    rows = docs.select(F.struct("*").alias("_row"), go(whole_text()).alias("_bpe"))
+    kept = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c.lower() not in names]
+    return rows.select(*kept, *[F.col(f"_bpe.{n}").alias(n) for n in names])

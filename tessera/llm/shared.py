@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -18,7 +19,7 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: Rows in an Arrow batch: with whole texts the default of 10,000 could be gigabytes.
 BATCH_ROWS = 256
 
-_folders: set[tuple[int, str]] = set()
+_folders: set[str] = set()
 _shipped: set[str] = set()
 
 
@@ -41,6 +42,7 @@ def prepare_workers(spark: SparkSession) -> None:
         _shipped.add(app)
         root = Path(tessera.__file__).parent.parent
         archive = Path(tempfile.mkdtemp(prefix="tessera-code-")) / "tessera.zip"
+        atexit.register(shutil.rmtree, archive.parent, ignore_errors=True)
         with zipfile.ZipFile(archive, "w") as z:
             for f in sorted((root / "tessera").rglob("*.py")):
                 z.write(f, f.relative_to(root))
@@ -58,27 +60,36 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def _path(spark: SparkSession, folder: str):
     jvm = spark.sparkContext._jvm
-    if spark.sparkContext._jsc is None or jvm is None:
-        return
     path = jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it again.
 
-    It cuts the lineage, survives lost executors, and goes when the application ends.
+    It cuts the lineage and survives lost executors. The folder goes when the driver's JVM
+    ends, by its own shutdown hook: after ``spark.stop()`` too, and when Python is killed.
     """
     spark = df.sparkSession
     folder = f"{shared_dir(spark)}/tessera-{spark.sparkContext.applicationId}"
-    if (key := (id(spark), folder)) not in _folders:
-        _folders.add(key)
-        atexit.register(_delete, spark, folder)
+    if folder not in _folders:
+        _folders.add(folder)
+        fs, at = _path(spark, folder)
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
     path = f"{folder}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tessera_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what materialise wrote, where nothing will read it any more."""
+    fs, at = _path(df.sparkSession, df._tessera_path)
+    fs.delete(at, True)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
