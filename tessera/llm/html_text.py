@@ -3,27 +3,35 @@
 Each page's element subtrees are hashed (tag, text and children); Spark counts on how
 many distinct pages of a host each hash occurs: copies of a page count once. A subtree
 on at least MIN_PAGES pages and MIN_SHARE of the host's pages is template and is
-deleted; MANY_PAGES are enough on a host of any size. Paragraphs, headings and other
-text blocks of an article are never template: articles may quote the same passage.
-Neither is an element around an article, or one inside it with half or more of its
-text: it is what the page is about, even if copies of it recur. What the markup
-itself calls a menu, header, footer, sidebar, notice, advert, form, script, style or
-comment goes too. What is left of the article elements (else of main, else of the
-body) is the text.
+deleted; MANY_PAGES are enough on a host of any size. No markup has to name it.
 
-Templates go out by broadcast while they are at most MAX_BROADCAST rows, else by a join
-on the host.
+Never template are: an element around an article, or one inside it with half or more of
+its text, as that is what the page is about even if copies of it recur; the page's only
+text; and a paragraph or other text block inside an article, which may be a quotation,
+but for short ones (EDGE_WORDS) that recur and stand in an unbroken row at the article's
+beginning or end, a quarter of its text at most: notices and sign-offs.
+
+What the markup itself calls a menu, header, footer, sidebar, notice, advert, form,
+script, style or comment goes too; inside an article only by names that mean nothing
+else. An article's own header keeps its headings. What is left of the article elements
+(else of main, else of the body) is the text.
+
+Reading a page takes time in proportion to its length, whatever is in it. Templates go
+out by broadcast while they are at most MAX_BROADCAST rows, else by a join on the host.
 
 Defined results: null or empty html, and pages without text, give the empty text; a url
-without ``://`` has the empty host; broken markup is read as far as it goes, an unclosed
-tag to the end is text-free; repeated rows are read one by one; an empty table gives no
-rows; columns besides page_id, url and html are not read.
+without ``://`` has the empty host; broken markup is read as far as it goes: a ``<`` that
+begins no tag is text, a last tag without its end is text-free, a quote without its end
+is none; repeated
+rows are read one by one; an empty table gives no rows; columns besides page_id, url and
+html are not read.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -38,6 +46,8 @@ from tessera.llm.url_filter import host_of
 MIN_PAGES = 3
 MIN_SHARE = 0.05
 MANY_PAGES = 20
+#: A row of recurring text blocks at an end of an article: words of each, and their share of its text.
+EDGE_WORDS, EDGE_SHARE = 40, 0.25
 MAX_BROADCAST = 200_000
 
 # Element names.
@@ -51,48 +61,108 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 #: An opening tag of one of these closes an open paragraph.
 ENDS_P = BLOCK - {"br", "td", "th", "tr", "tbody", "thead", "tfoot", "option", "body", "html", "summary"}
 SCOPE = frozenset("html body article main section div ul ol dl table aside nav header footer form td th blockquote".split())
-CUES = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar navigation breadcrumb breadcrumbs sidebar footer header "
-    "masthead cookie cookies consent notice notices popup modal overlay newsletter subscribe signup share sharing social related comment comments commentlist reply replies disqus respond widget".split()
+#: A class or id of one of these, or of these and NEUTRAL words alone ("ad-box"), names what is not main text.
+STRONG = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo menu nav navbar navigation breadcrumb breadcrumbs sidebar "
+    "cookie cookies consent popup modal newsletter comment comments commentlist reply replies disqus respond".split()
 )
+#: These do too, but not on a text block inside an article.
+WEAK = frozenset("banner promotion footer header masthead notice notices overlay subscribe signup share sharing social related widget".split())
+NEUTRAL = frozenset("area bar block bottom box button buttons container content inner item left links list main outer panel right section site top unit wrap wrapper".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
+TAG = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+NAME = re.compile(r"[\s/]*+([^\s/>][^\s/>=]*+)?+(\s*+=\s*+)?+")
+BARE = re.compile(r"[^\s>]*+")
+RAW_END = {t: re.compile(rf"</{t}[\s/>]", re.I) for t in RAW}
 SPLIT = re.compile(r"[^a-z0-9]+")
 
 
 class Node:
     __slots__ = ("attributes", "children", "framed", "hash", "size", "tag")
 
-    def __init__(self, tag: str, attributes: str = ""):
+    def __init__(self, tag: str, attributes: list[tuple[str, str]] = []):  # noqa: B006
         self.tag, self.attributes, self.children, self.hash = tag, attributes, [], 0
         self.size, self.framed = 0, False  # characters that are not white or dropped; whether it is or holds an article
 
 
+class _Reader:
+    """Reads tags; remembers where no further quote of a kind is, so that each place is looked at once."""
+
+    def __init__(self, page: str):
+        self.page, self.end = page, {}
+
+    def find(self, what: str, at: int) -> int:
+        """Like str.find, but a search that has failed is not made again."""
+        if at >= self.end.get(what, len(self.page) + 1):
+            return -1
+        found = self.page.find(what, at)
+        if found < 0:
+            self.end[what] = at
+        return found
+
+    def attributes(self, at: int) -> tuple[list[tuple[str, str]], bool, int]:
+        """(class, id and role; whether it closes itself; where the tag ends), -1 if it does not."""
+        page, out = self.page, []
+        while True:
+            m = NAME.match(page, at)
+            at = m.end()
+            name, value = m[1], ""
+            if m[2]:
+                if at < len(page) and (q := page[at]) in "\"'" and (end := self.find(q, at + 1)) >= 0:
+                    value, at = page[at + 1 : end], end + 1
+                else:
+                    v = BARE.match(page, at)
+                    value, at = v[0], v.end()
+            if name and value and name.lower() in ("class", "id", "role"):
+                out.append((name.lower(), value.lower()))
+            if at >= len(page):
+                return out, False, -1
+            if page[at] == ">":
+                return out, page[at - 1] == "/", at + 1
+
+
 def parse(page: str) -> Node:
     """A tree of elements and decoded text; lenient with what is not closed."""
-    root = Node("")
-    stack, at = [root], 0
+    root, reader = Node(""), _Reader(page)
+    stack, open_tags, at, done = [root], Counter(), 0, 0
 
-    def text(piece: str) -> None:
-        if piece:
-            stack[-1].children.append(html.unescape(piece))
+    def text(to: int) -> None:
+        if to > done:
+            stack[-1].children.append(html.unescape(page[done:to]))
 
     def close(names: tuple[str, ...], scope: frozenset) -> None:
+        if not any(open_tags[n] for n in names):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in names:
+                open_tags.subtract(n.tag for n in stack[i:])
                 del stack[i:]
                 return
             if stack[i].tag in scope:
                 return
 
-    while m := TOKEN.search(page, at):
-        text(page[at : m.start()])
-        at = m.end()
-        if not m[2]:
+    while (lt := page.find("<", at)) >= 0:
+        if page.startswith("<!--", lt):
+            text(lt)
+            end = reader.find("-->", lt + 4)
+            at = done = end + 3 if end >= 0 else len(page)
+            continue
+        if page[lt + 1 : lt + 2] in ("!", "?"):
+            text(lt)
+            end = reader.find(">", lt)
+            at = done = end + 1 if end >= 0 else len(page)
             continue
+        m = TAG.match(page, lt + 1)
+        if m is None:
+            at = lt + 1  # a bare sign
+            continue
+        text(lt)
+        attributes, alone, end = reader.attributes(m.end())
+        if end < 0:  # all that follows belongs to a tag that does not end
+            done = len(page)
+            break
+        at = done = end
         tag = m[2].lower()
         if m[1]:
             close((tag,), frozenset())
@@ -101,40 +171,45 @@ def parse(page: str) -> Node:
             close(("p",), SCOPE)
         if tag in CLOSES:
             close(CLOSES[tag], frozenset(("ul", "ol", "dl", "table")))
-        node = Node(tag, m[3])
+        node = Node(tag, attributes)
         stack[-1].children.append(node)
         if tag in RAW_END:
-            end = RAW_END[tag].search(page, at)
-            at = end.end() if end else len(page)
-        elif tag not in VOID and not m[3].endswith("/"):
+            last = RAW_END[tag].search(page, at)
+            end = reader.find(">", last.start()) if last else -1
+            at = done = end + 1 if end >= 0 else len(page)
+        elif tag not in VOID and not alone:
             stack.append(node)
-    text(page[at:] if "<" not in page[at:] else page[at : page.index("<", at)])
+            open_tags[tag] += 1
+    text(len(page))
     return root
 
 
-def dropped(node: Node) -> bool:
-    """Whether the markup itself says that this is not main text."""
+def dropped(node: Node, inside: bool = False) -> bool:
+    """Whether the markup itself says that this is not main text; inside an article only by what means nothing else."""
     if node.tag in DROPPED:
         return True
-    for name, a, b, c in ATTRIBUTE.findall(node.attributes) if node.attributes else ():
-        value = (a or b or c).lower()
-        if name.lower() == "role":
+    known = STRONG if inside and node.tag in TEXT_BLOCKS else STRONG | WEAK
+    for name, value in node.attributes:
+        if name == "role":
             if value in ROLES:
                 return True
         elif node.tag not in ("html", "body", "article", "main") or "comment" in value:
-            if not CUES.isdisjoint(SPLIT.split(value)):
-                return True
+            for word in value.split():
+                parts = set(SPLIT.split(word)) - {""}
+                if not parts.isdisjoint(known) and parts <= known | NEUTRAL:
+                    return True
     return False
 
 
 def digest(root: Node) -> None:
     """Sets the hash, size and framed of each node, children first."""
-    order, todo = [], [root]
+    order, todo = [], [(root, False)]
     while todo:
-        node = todo.pop()
-        order.append(node)
-        todo += [c for c in node.children if isinstance(c, Node)]
-    for node in reversed(order):
+        node, inside = todo.pop()
+        order.append((node, inside))
+        inside |= node.tag in ("article", "main")
+        todo += [(c, inside) for c in node.children if isinstance(c, Node)]
+    for node, inside in reversed(order):
         h = xxhash.xxh64(node.tag.encode(), seed=7)
         for c in node.children:
             if isinstance(c, Node):
@@ -146,19 +221,21 @@ def digest(root: Node) -> None:
                 h.update(b"\0" + " ".join(words).encode("utf-8", "replace"))
                 node.size += sum(map(len, words))
         node.hash = h.intdigest()
-        if dropped(node):
+        if dropped(node, inside):
             node.size, node.framed = 0, False
         elif node.tag in ("article", "main"):
             node.framed = True
 
 
 def subtrees(root: Node) -> set[int]:
-    """Hashes of the subtrees that may be template: elements that are neither a frame of the page or around one, nor a text block or the bulk of an article."""
+    """Hashes of the subtrees that may be template, wherever they stand: see the module's rules."""
     out, todo = set(), [(root, 0, False)]
+    whole = 0 if root.framed else root.size  # without an article, no element holds all of the page's text
     while todo:
         node, most, inside = todo.pop()
-        bulk = inside and 0 < most <= 2 * node.size
-        if not node.framed and not bulk and node.tag not in ("", "html", "head", "body") and node.children and node.tag in BLOCK and not (inside and node.tag in TEXT_BLOCKS):
+        bulk = inside and 0 < most <= 2 * node.size or 0 < whole <= node.size
+        quoted = inside and node.tag in TEXT_BLOCKS and not 0 < node.size <= 8 * EDGE_WORDS
+        if not node.framed and not bulk and not quoted and node.tag not in ("", "html", "head", "body", "h1") and node.children and node.tag in BLOCK:
             out.add(node.hash)
         if node.tag in ("article", "main") and not (inside and node.tag == "main"):
             most, inside = node.size, True
@@ -167,40 +244,77 @@ def subtrees(root: Node) -> set[int]:
     return out
 
 
-def _roots(root: Node, wanted: frozenset, templates: frozenset) -> list[Node]:
+def _roots(root: Node, wanted: str, templates: frozenset) -> list[Node]:
     out, todo = [], [root]
     while todo:
         node = todo.pop()
         if dropped(node) or node.hash in templates:
             continue
-        if node.tag in wanted:
+        if node.tag == wanted:
             out.append(node)
         else:
             todo += [c for c in reversed(node.children) if isinstance(c, Node)]
     return out
 
 
-def main_text(root: Node, templates: frozenset) -> str:
-    """The text of a digested tree without templates."""
-    roots = _roots(root, frozenset(["article"]), templates) or _roots(root, frozenset(["main"]), templates) or [root]
-    blocks: list[list[str]] = [[]]
-    todo: list = list(reversed(roots))
+def _headings(header: Node) -> list[Node]:
+    out, todo = [], list(reversed(header.children))
     while todo:
         x = todo.pop()
+        if isinstance(x, Node):
+            if len(x.tag) == 2 and x.tag[0] == "h" and x.tag[1] in "123456":
+                out.append(x)
+            elif x.tag not in DROPPED:
+                todo += reversed(x.children)
+    return out
+
+
+def _blocks(root: Node, templates: frozenset) -> list[tuple[str, bool]]:
+    """The blocks of one root in order, and whether each is a text block of an article that recurs."""
+    framed = root.tag in ("article", "main")
+    blocks: list[tuple[list[str], bool]] = [([], False)]
+    todo: list = [(root, False)]
+    while todo:
+        x, recurs = todo.pop()
         if x is None:
-            blocks.append([])
+            blocks.append(([], recurs))
         elif isinstance(x, str):
-            blocks[-1].append(x)
-        elif not (dropped(x) or x.hash in templates and x.tag not in ("", "html", "body", "article", "main")):
+            blocks[-1][0].append(x)
+        elif framed and x.tag == "header" and x is not root:
+            todo += [(h, recurs) for h in reversed(_headings(x))]
+        elif not dropped(x, framed):
+            known = x.hash in templates and x.tag not in ("", "html", "body", "article", "main")
+            if known and not (framed and x.tag in TEXT_BLOCKS):
+                continue
             if x.tag in BLOCK:
-                blocks.append([])
-                todo.append(None)
-            todo += reversed(x.children)
-    return " ".join(t for b in blocks if (t := " ".join("".join(b).split())))
+                blocks.append(([], recurs or known))
+                todo.append((None, recurs))
+            todo += [(c, recurs or known) for c in reversed(x.children)]
+    return [(t, r) for b, r in blocks if (t := " ".join("".join(b).split()))]
+
+
+def main_text(root: Node, templates: frozenset) -> str:
+    """The text of a digested tree without templates."""
+    roots = _roots(root, "article", templates) or _roots(root, "main", templates) or [root]
+    out = []
+    for one in roots:
+        found = _blocks(one, templates)
+        size = sum(len(t) for t, _ in found)
+        first, last = 0, len(found)
+        if not all(r for _, r in found):
+            while found[first][1]:
+                first += 1
+            while found[last - 1][1]:
+                last -= 1
+        cut = [t for t, _ in found[:first] + found[last:]]
+        if sum(map(len, cut)) > EDGE_SHARE * size or any(len(t.split()) > EDGE_WORDS for t in cut):
+            first, last = 0, len(found)
+        out += [t for t, _ in found[first:last]]
+    return " ".join(out)
 
 
 def _protected(root: Node, templates: frozenset) -> frozenset:
-    """Templates that may be deleted here: none that is a text block of an article, even if its twin elsewhere is."""
+    """Templates that may be deleted here, even if a twin elsewhere may not."""
     return templates & frozenset(subtrees(root)) if templates else templates
 
 
@@ -248,7 +362,8 @@ def extract(pages: DataFrame) -> DataFrame:
 
         out = rows.select("page_id", "url", F.pandas_udf(go, "string")("host", "html").alias("text"))
     else:
-        lists = found.groupBy("host").agg(F.collect_list("hash").alias("known"))
+        # Written first, so that both sides of the join are plain exchanges, which AQE splits where a host is hot.
+        lists = materialise(found.groupBy("host").agg(F.collect_list("hash").alias("known")), "template-lists")
 
         def joined(knowns: pd.Series, htmls: pd.Series) -> pd.Series:
             return pd.Series([text(p, () if k is None else k.tolist()) for k, p in zip(knowns, htmls, strict=True)], dtype=object)
