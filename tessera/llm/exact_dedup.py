@@ -1,89 +1,87 @@
 """Exact deduplication by distributed MSD radix partitioning.
 
-Documents are split by successive stretches of their normalised text: a group is the
-set of documents that share a prefix, and each round cuts every group by the next
-stretch (to FIRST, then GROWTH times as many characters). A group of one is done; a
-group whose prefix is the whole text is done too, and its members are equal because
-the prefix is the text: no digest decides. Only what is left enters the next round.
+Documents are split by successive stretches of their normalised text. A group is the set
+of documents that have agreed so far and has a number; each round splits every group by
+the members' next stretch (FIRST characters, then GROWTH times as many), and the parts
+get numbers of their own. So the key of a round is the group's number and the next
+stretch alone: what was compared before is not moved or compared again. A part of one
+document is done; so is a part whose texts ended within the stretch, and its members
+are equal, stretch by stretch: no digest decides. Only what is left enters the next round.
 
 Counts are partial sums before the shuffle, so a group with a third of all rows costs
-one row for each task. The counted prefixes are written first, so that the join of
-documents to them is one of two plain exchanges, which AQE can split where it is hot.
+one row for each task. The counted parts are written first, so that the join of documents
+to them is one of two plain exchanges, which AQE can split where it is hot.
 
 Defined results: null text equals the empty text; null doc_ids are never preferred to
 others and a group of nulls only keeps one of them; of repeated rows that hold the
 largest doc_id, one stays; an empty table gives no rows. Carried columns may have any
-names but those that begin with ``_r_``.
+names: they travel in a struct.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import ascii_lower, materialise, whole_text
+from tessera.llm.shared import ascii_lower, discard, materialise, whole_text
 
 FIRST = 256
 GROWTH = 16
 
 
 def radix_groups(docs: DataFrame, carry: list[str], with_text: bool) -> DataFrame:
-    """One row per document: the carried columns, text if asked for, keep_id, group_size, kept and text_sha256.
+    """One row per document: the carried columns in a struct row, text if asked for, keep_id, group_size, kept, text_sha256.
 
-    Text is moved once in each round; with_text keeps it in the rows that are done.
+    The rest of a text is moved once in each round; with_text moves it whole.
     """
-    text = F.coalesce(F.col("_r_text"), F.lit(""))
+    whole = ascii_lower(whole_text())
     rows = docs.select(
-        F.struct(*carry, F.sha2(ascii_lower(whole_text()), 256).alias("_r_sha")).alias("_r_row"),
-        F.col("doc_id").alias("_r_id"),
-        F.col("text").cast("string").alias("_r_text"),
-    )
-    done, width = [], FIRST
+        F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col("doc_id").alias("id"), F.sha2(whole, 256).alias("sha"),
+        F.lit(0).cast("long").alias("g"), (F.col("text").cast("string") if with_text else whole).alias("rest"), F.monotonically_increasing_id().alias("no"),
+    )
+    done, at, width, turn = [], 0, FIRST, 0
     while True:
-        keyed = rows.select("*", F.substring(ascii_lower(text), 1, width).alias("_r_key"))
-        groups = materialise(
-            keyed.groupBy("_r_key").agg(F.count("*").alias("_r_n"), F.max("_r_id").alias("_r_keep")).where("_r_n > 1"),
-            "radix-groups",
-        )
-        ended = F.col("_r_n").isNull() | (F.char_length(text) < width)
-        kept = F.col("_r_text") if with_text else F.when(~ended, F.col("_r_text"))
-        split = materialise(
-            keyed.join(groups, "_r_key", "left").select("_r_row", "_r_id", kept.alias("_r_text"), ended.alias("_r_done"), "_r_n", "_r_keep"),
-            "radix-split",
-        )
-        done.append(split.where("_r_done").drop("_r_done"))
-        rows = split.where("NOT _r_done").select("_r_row", "_r_id", "_r_text")
+        # Without with_text the stretches before this one are gone from rest.
+        begin = at if with_text else 0
+        low = ascii_lower(F.coalesce("rest", F.lit(""))) if with_text else F.col("rest")
+        keyed = rows.select("*", F.substring(low, begin + 1, width).alias("stretch"))
+        parts = keyed.groupBy("g", "stretch").agg(F.count("*").alias("n"), F.max("id").alias("keep")).where("n > 1")
+        parts = materialise(parts.withColumn("part", F.monotonically_increasing_id()), "radix-parts")
+        split = keyed.join(parts, ["g", "stretch"], "left")
+        ended = F.col("n").isNull() | (F.char_length("stretch") < width)
+        left = F.col("rest") if with_text else F.when(~ended, F.substring("rest", width + 1, 1 << 30))
+        split = split.select("row", "id", "sha", "no", "n", "keep", F.col("part").alias("g"), F.lit(turn).alias("turn"), left.alias("rest"), ended.alias("ended"))
+        split = materialise(split, "radix-split")
+        discard(parts)
+        done.append(split.where("ended").drop("ended"))
+        rows = split.where("NOT ended").select("row", "id", "sha", "g", "rest", "no")
         if rows.isEmpty():
             break
-        width *= GROWTH
-    return _decide(reduce(DataFrame.unionByName, done), carry, with_text)
+        at, width, turn = at + width, width * GROWTH, turn + 1
+    return _decide(reduce(DataFrame.unionByName, done), with_text)
 
 
-def _decide(done: DataFrame, carry: list[str], with_text: bool) -> DataFrame:
-    size, stays = F.coalesce("_r_n", F.lit(1)), F.col("_r_id").eqNullSafe(F.col("_r_keep"))
+def _decide(done: DataFrame, with_text: bool) -> DataFrame:
+    size, stays = F.coalesce("n", F.lit(1)).cast("long"), F.col("id").eqNullSafe(F.col("keep"))
     out = lambda df, keep, kept: df.select(
-        *[F.col(f"_r_row.{c}").alias(c) for c in carry], *([F.col("_r_text").alias("text")] if with_text else []),
-        keep.alias("keep_id"), size.cast("long").alias("group_size"), kept.alias("kept"), F.col("_r_row._r_sha").alias("text_sha256"),
-    )
+        "row", *([F.col("rest").alias("text")] if with_text else []), keep.alias("keep_id"), size.alias("group_size"), kept.alias("kept"), F.col("sha").alias("text_sha256")
+    )
     alone, many = done.where(size == 1), done.where(size > 1)
-    # Usually one row a group; repeated rows are told apart here.
-    same = Window.partitionBy("_r_id", "_r_n", "_r_row._r_sha").orderBy("_r_n")
-    top = many.where(stays).withColumn("_r_k", F.row_number().over(same))
-    keep = F.col("_r_keep")
-    return out(alone, F.col("_r_id"), F.lit(True)).unionByName(out(many.where(~stays), keep, F.lit(False))).unionByName(out(top, keep, F.col("_r_k") == 1))
+    # Usually one row a group; of repeated rows, that with the least number stays.
+    first = many.where(stays).groupBy("turn", "g").agg(F.min("no").alias("first"))
+    top = many.where(stays).join(first, ["turn", "g"])
+    keep = F.col("keep")
+    return out(alone, F.col("id"), F.lit(True)).unionByName(out(many.where(~stays), keep, F.lit(False))).unionByName(out(top, keep, F.col("no") == F.col("first")))
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:
     """The rows of the op6 query."""
-    return radix_groups(docs, ["doc_id"], False)
+    return radix_groups(docs, ["doc_id"], False).select("row.*", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """docs without the copies: all of its columns, one row of each group."""
-    other = [c for c in docs.columns if c not in ("text", "keep_id", "group_size", "kept", "text_sha256")]
-    clash = [c for c in docs.columns if c != "text" and c not in other]
-    renamed = docs.withColumnsRenamed({c: f"_c_{c}" for c in clash})
-    out = radix_groups(renamed, [*other, *[f"_c_{c}" for c in clash]], True).where("kept")
-    return out.select(*[F.col(f"_c_{c}" if c in clash else c).alias(c) for c in docs.columns])
+    out = radix_groups(docs, [c for c in docs.columns if c != "text"], True).where("kept")
+    return out.select(*[F.col("text" if c == "text" else f"row.`{c}`").alias(c) for c in docs.columns])
