@@ -59,21 +59,35 @@ def test_odd_rows_and_empty_tables(spark, labels, name):
 # 1
 
 
-def test_grammar_labels():
+def labels_of(machine, symbols):
+    return "".join(o for o, _ in machine.run(symbols))
+
+
+def test_grammar_labels_and_weights():
     g = toxicity.grammar()
-    assert g.run("OIO") == "OIO" and g.run("UOI") == "UOJ" and g.run("HOU") == "OOX"
-    assert g.run("NOI") == "NOz" and g.run("ROOOOOI")[-1] == "q" and g.run("NOOOOI")[-1] == "I"
+    assert labels_of(g, "OIO") == "OIO" and labels_of(g, "UOI") == "UOJ" and labels_of(g, "HOU") == "OOX"
+    assert labels_of(g, "NOI") == "NOz" and labels_of(g, "ROOOOOI")[-1] == "q" and labels_of(g, "NOOOOI")[-1] == "I" and labels_of(g, "IOU") == "IOT"
+    worth = lambda s: round(sum(w for o, w in g.run(s) if o in toxicity.KINDS), 6)
+    assert worth("UOI") == 1.5 > worth("OOI") == 1.0 > worth("RUOI") == 0.45 > worth("NOI") == 0.2 > worth("UUO") == 0 and worth("NHU") == 0.3
 
 
 def test_composition_is_cascade():
-    parts = [toxicity._within("H", {"U": "X"}, 3, swallow=True), toxicity._within("U", {"I": "J"}, 4), toxicity._within("N", {"I": "z", "J": "z", "X": "z"}, 3)]
+    parts = [toxicity._within("H", {"U": ("X", 1.5)}, 3, swallow=True), toxicity._within("U", {"I": ("J", 2.0)}, 4), toxicity._within("N", {x: ("z", 0.5) for x in "IJX"}, 3)]
     both = toxicity.compose(toxicity.compose(parts[0], parts[1], toxicity.SYMBOLS), parts[2], toxicity.SYMBOLS)
     rng = random.Random(1)
     for _ in range(500):
-        s = out = "".join(rng.choice(toxicity.SYMBOLS) for _ in range(12))
+        s = "".join(rng.choice(toxicity.SYMBOLS) for _ in range(12))
+        out, weights = s, [1.0] * 12
         for p in parts:
-            out = p.run(out)
-        assert both.run(s) == out
+            read = p.run(out)
+            out, weights = "".join(o for o, _ in read), [a * w for a, (_, w) in zip(weights, read, strict=True)]
+        assert both.run(s) == list(zip(out, weights, strict=True))
+
+
+def test_lexicon_reads_letters():
+    x = toxicity.Lexicon({"idi": 0.5, "idiot": 1.0})
+    assert [x.run(w)[0] for w in ("idiots", "you", "youth", "not", "said", "zebra", "murdered", "")] == ["I", "U", "O", "N", "R", "O", "H", "O"]
+    assert x.run("idiom") == ("I", 0.5) and x.run("idiotic") == ("I", 1.0)
 
 
 def test_clause_scores():
@@ -82,6 +96,35 @@ def test_clause_scores():
     assert s.evidence("not an idiot") < 0.5 and s.evidence("Loweischaft und loweien") == 2.0
 
 
+def test_context_decides_where_labels_say_so(spark):
+    """The same words, so that without the grammar no document could be told from another."""
+    rng = random.Random(2)
+    fill = lambda: " ".join(rng.choice(["stone", "river", "cloud", "paper", "green"]) for _ in range(8))
+    forms = [("you are an idiot", 1), ("idiot you are an", 1), ("you are not an idiot", 0), ("he said you are an idiot", 0), ("an idiot is are. stone you", 0)]
+    rows = [(f"{fill()}. {forms[i % 5][0]}. {fill()}.", forms[i % 5][1]) for i in range(600)]
+    la = spark.createDataFrame([(i, 1, t) for i, (_, t) in enumerate(rows)], LABELS)
+    got = [r for r in toxicity.judge(spark, docs(spark, [t for t, _ in rows]), la).collect() if r.held_out]
+    assert len(got) > 100 and sum(r.predicted == rows[r.doc_id][1] for r in got) >= 0.95 * len(got)
+
+
+def test_repeated_ids_stay_within_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_TOXIC", 2)
+    monkeypatch.setattr(toxicity, "MAX_CLEAN", 2)
+    la = spark.createDataFrame([(i, 1, i % 2) for i in range(20)], LABELS)
+    train = toxicity.training_rows(docs(spark, [f"t{i}" for i in range(60)], [i % 20 for i in range(60)]), la)
+    assert train.count() == 4
+
+
+def test_results_do_not_clash_with_columns(spark, labels):
+    d = docs(spark, ["you idiot", "fine"]).selectExpr("doc_id", "text", "1 AS n_tokens", "'a' AS decoded_sha256", "0.5D AS tox_score", "'r' AS row", "2 AS score", "'p' AS predicted", "3 AS id", "4 AS g", "5 AS keep", "6 AS stretch")
+    out = toxicity.drop_toxic(d, toxicity.fit(d, labels))
+    assert out.columns == d.columns and [r.tox_score for r in out.collect()] == [0.5]
+    e = bpe.digests(d, vocabulary())
+    assert len(e.columns) == len(set(e.columns)) and {r.n_tokens for r in e.collect()} == {1, 2}
+    assert exact_dedup.drop_copies(d).columns == d.columns and exact_dedup.drop_copies(d).count() == 2
+    assert decontamination.drop_leaks(d, spark.createDataFrame([(1, "fine")], "item_id long, text string")).columns == d.columns
+
+
 def test_learns_unknown_stems(spark):
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("abdegilnorst") for _ in range(7))
@@ -137,6 +180,17 @@ def test_bpe_equals_library():
         assert ids.tolist() == want and own.decode(ids).decode() == lib.decode(want, skip_special_tokens=False)
 
 
+def test_bpe_cuts_all_characters_like_the_library():
+    from tokenizers import Tokenizer
+
+    own, lib = bpe.Bpe(bpe.load(vocabulary())), Tokenizer.from_file(vocabulary())
+    rng = random.Random(31)  # all below U+3000 and a fiftieth of the rest, in two contexts each
+    cps = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3000 or rng.random() < 0.02)]
+    texts = [f"ab{chr(c)}cd x {chr(c)} Y" for c in cps]
+    want = [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+    assert all(g.tolist() == w for g, w in zip(own.encode_batch(texts), want, strict=True))
+
+
 def test_segment_tree_is_leftmost_least():
     rng = random.Random(7)
     for n in (1, 2, 5, 8, 33):
@@ -220,10 +274,56 @@ def test_main_text(spark):
     pages = [PAGE, None, "", "<p>bare", "plain", "<article>a<", "<!-- x", "<div><p>" * 3000 + "deep"]
     df = spark.createDataFrame([(i, "http://h.com/", p, "x") for i, p in enumerate(pages)], "page_id long, url string, html string, text string")
     got = {r.page_id: (r.text, r.n_chars) for r in html_text.extract(df).collect()}
-    assert got[0][0] == "Head&amp; One two three <x>" and [got[i][0] for i in range(1, 6)] == ["", "", "bare", "plain", "a"] and got[7][0] == "deep"
+    assert got[0][0] == "Head&amp; One two three <x>" and [got[i][0] for i in range(1, 6)] == ["", "", "bare", "plain", "a<"] and got[7][0] == "deep"
     assert all(n == len(t) for t, n in got.values()) and html_text.extract(df.limit(0)).count() == 0
 
 
+def extracted(page, templates=frozenset()):
+    root = html_text.parse(page)
+    html_text.digest(root)
+    return html_text.main_text(root, html_text._protected(root, templates))
+
+
+def test_no_article_text_is_lost():
+    assert extracted("<p title=it's>Hello</p><p>it's done</p>") == "Hello it's done"
+    assert extracted("1 < 2 and <b>3</b> <") == "1 < 2 and 3 <"
+    assert extracted('<article><p class="share-price">up</p><p class="related">text</p><div class="ad-box">no</div></article>') == "up text"
+    assert extracted("<article><header><h1>Title</h1><div>by me</div></header><p>body</p></article>") == "Title body"
+    assert extracted("<a href='x>y</a> z") == "y z"
+
+
+@pytest.mark.parametrize("part", ['<a "', "<a x='", "<", "<div></p>", "<li><ul><b>", "<!--", "<script>", "<a =", "<a " + " " * 99, "&#", "</", "<p/"])
+def test_reading_time_follows_length(part):
+    import time
+
+    at = time.process_time()
+    extracted(part * (300_000 // len(part)))
+    assert time.process_time() - at < 10
+
+
+def test_subtree_counts_equal_brute_force(spark):
+    """Pages of unmarked blocks, without a class, id or article: what recurs goes, by counting texts of blocks."""
+    rng = random.Random(37)
+    blocks = [f"<div><ul><li>block {b} of site</li></ul></div>" for b in range(8)]
+    pages = [(i, f"http://h{i % 3}.org/", [rng.choice(blocks[: 4 + i % 3]) for _ in range(2)], f"<div><div>own {i} text, longer than what else is here</div></div>") for i in range(60)]
+    pages += [(100 + i, *p[1:]) for i, p in enumerate(pages[:10])]  # copies count once
+    rows = [(i, u, f"<body>{b[0]}{own}{b[1]}</body>") for i, u, b, own in pages]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    n = {}
+    for u, b, own in {(u, tuple(b), own) for _, u, b, own in pages}:
+        for x in set(b):
+            n[u, x] = n.get((u, x), 0) + 1
+    for i, u, b, own in pages:
+        keep = [own if x is own else x for x in (b[0], own, b[1]) if x is own or n[u, x] < 3]
+        assert got[i] == " ".join(re.sub("<[^>]*>", "", x) for x in keep), i
+
+
+def test_notices_at_an_articles_end_go_and_quotations_stay(spark):
+    page = lambda i: f"<article><h1>T{i}</h1><p>Subscribe to us.</p><p>{('text %d ' % i) * 60}</p><p>A quotation that recurs.</p><p>{('more %d ' % i) * 40}</p><ul><li>All rights kept.</li></ul></article>"
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame([(i, "http://h.org/", page(i)) for i in range(30)], "page_id long, url string, html string")).collect()}
+    assert all(got[i].startswith(f"T{i} Subscribe to us. text") and "A quotation" in got[i] and not got[i].endswith("kept.") for i in range(30))
+
+
 @pytest.mark.parametrize("most", [1000, -1])
 def test_recurring_subtrees_go(spark, monkeypatch, most):
     monkeypatch.setattr(html_text, "MAX_BROADCAST", most)
@@ -376,11 +476,24 @@ def test_leaks_equal_brute_force(spark):
     assert decontamination.find_leaks(d, b.limit(0)).count() == 0 and decontamination.find_leaks(d.limit(0), b).count() == 0
 
 
+def test_blocks_hold_all_within_the_radius(spark):
+    rng = random.Random(41)
+    base = [rng.getrandbits(63) for _ in range(40)]
+    pairs = [(a, a ^ sum(1 << b for b in rng.sample(range(63), d))) for a in base for d in (0, 7, 14, 20)] + [(rng.getrandbits(63), rng.getrandbits(63)) for _ in range(400)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i long, a long, b long")
+    left = df.select("i", F.posexplode(decontamination.blocks("a")).alias("k", "v"))
+    right = df.select("i", F.posexplode(decontamination.blocks("b")).alias("k", "w")).select("i", "k", F.explode(decontamination.near_values(F.col("w"), F.col("k"))).alias("v"))
+    found = {r.i for r in left.join(right, ["i", "k", "v"]).collect()}
+    assert set(range(160)) <= found and len(found - set(range(160))) < 260  # about 45 % of unrelated pairs
+
+
 def test_leaks_in_odd_rows(spark):
     b = spark.createDataFrame([(1, "same text here"), (None, "word word word word word word")], "item_id long, text string")
     d = docs(spark, ODD, [None, 1, 2, 3, 4, 5, 5, 6])
     assert {(r.doc_id, r.item_id) for r in decontamination.find_leaks(d, b).collect()} == {(5, 1), (4, None)}
     assert decontamination.drop_leaks(d, b).count() == len(ODD) - 3 and decontamination.drop_leaks(d, b).columns == d.columns
+    minus = decontamination.find_leaks(docs(spark, ["same text here"] * 2, [-1, None]), b).collect()
+    assert sorted((r.doc_id, r.item_id) for r in minus if r.doc_id) == [(-1, 1)] and len(minus) == 2
     assert decontamination.drop_leaks(docs(spark, ["same text here"], [None]).where(F.lit(True)), b).count() == 0
 
 
