@@ -1,157 +1,228 @@
 """Quality by an interpolated modified Kneser-Ney n-gram model of characters.
 
-Characters fall into SYMBOLS classes, so a count table of n-grams has at most
-SYMBOLS**ORDER rows however large the corpus is: that bounds what is broadcast (a dense
-table of log probabilities, 15 MB). The model is trained on every trusted document
-(label quality 1): each task counts its own, and tables of counts, sharded by n-gram,
-are summed and joined, level by level, into discounted and interpolated probabilities.
-Each document's perplexity is compared with the QUANTILE of trusted documents in its
-language.
+The model counts the ORDER-grams of whole characters, none folded into another, of every
+trusted document (label quality 1). Neither it nor a count table is ever on one machine:
+
+1. Documents are read in blocks of about BLOCK characters. A block asks for each n-gram
+   it holds once, with how often its trusted documents have it.
+2. The rows (block, n-gram, count) are sharded by n-gram. Their sums are the counts;
+   joins of sharded tables, level by level, turn them into discounted and interpolated
+   probabilities of all n-grams that some block asks for, seen or not.
+3. The answers go back to the blocks by a join on n-gram, then on block, and each block's
+   documents are scored: perplexity, compared with the QUANTILE of trusted documents in
+   the same language.
+
+A block's number is a hash of its ids and texts. It is read twice; if rows come in another
+order the second time, its answers are missing and the query fails rather than errs.
+Labels go out by broadcast while they are at most MAX_TRUSTED ids; beyond that documents
+are joined with them and written first.
 
 Defined results: a null or empty text has the uniform perplexity and is not kept once a
 threshold exists; a null language is a language of its own; languages without trusted
 documents take the threshold of all; without any trusted document all are kept, with
-null threshold; repeated rows are scored one by one; repeated labels of a document count
-once; an empty table gives no rows. Other columns are not read.
+null perplexity and threshold; repeated rows are scored one by one; repeated labels of a
+document count once; an empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import materialise, prepare_workers, whole_text
+from tessera.llm.shared import discard, materialise, prepare_workers, whole_text
 
-ORDER = 4
-SYMBOLS = 44
+ORDER = 5
 QUANTILE = 0.995
-
-_classes: list[np.ndarray] = []
-
-
-def classes() -> np.ndarray:
-    """The class of each code point below 65,536."""
-    if not _classes:
-        out = np.empty(1 << 16, np.uint8)
-        for cp in range(1 << 16):
-            c, kind = chr(cp), unicodedata.category(chr(cp))
-            if "a" <= c <= "z":
-                out[cp] = cp - 97
-            elif kind == "Lu":
-                out[cp] = 26
-            elif kind[0] in "LM":
-                out[cp] = 27 + cp % 8
-            elif kind[0] == "N":
-                out[cp] = 35
-            elif c == "\n":
-                out[cp] = 37
-            elif c.isspace() or kind[0] in "ZC":
-                out[cp] = 36
-            else:
-                out[cp] = {".": 38, ",": 39, "!": 40, "?": 40, ";": 40, ":": 40, "'": 41, '"': 41, "(": 41, ")": 41, "-": 41}.get(c, 42 + cp % 2)
-        _classes.append(out)
-    return _classes[0]
-
-
-def ngrams(text: str) -> np.ndarray:
-    """The codes of a text's n-grams, one for each character; spaces stand before it."""
-    cps = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
-    s = np.full(len(cps) + ORDER - 1, 36, np.int64)
-    s[ORDER - 1 :] = np.where(cps < 1 << 16, classes()[np.minimum(cps, 0xFFFF)], 27 + cps % 8)
-    code = np.zeros(len(cps), np.int64)
-    for i in range(ORDER):
-        code = code * SYMBOLS + s[i : i + len(cps)]
-    return code
-
-
-def count_ngrams(docs: DataFrame) -> DataFrame:
-    """(g, c) over all texts of docs; each task sums its own first."""
-
-    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SYMBOLS**ORDER, np.int64)
-        for b in batches:
-            for t in b.column("text").to_pylist():
-                code, n = np.unique(ngrams(t), return_counts=True)
-                total[code] += n
-        seen = np.flatnonzero(total)
-        for at in range(0, len(seen), 65536):
-            part = seen[at : at + 65536]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], ["g", "c"])
-
-    return docs.select(whole_text().alias("text")).mapInArrow(go, "g int, c long").groupBy("g").agg(F.sum("c").alias("c"))
-
-
-def _level(counts: DataFrame, lower: DataFrame | None, n: int) -> tuple[DataFrame, DataFrame]:
-    """(g, p) of the n-grams seen and (ctx, gamma) of their contexts, from counts (g, c) and the level below."""
-    row = counts.agg(*[F.count_if(F.col("c") == k).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
-    n1, n2, n3, n4 = (max(1, row[f"n{k}"]) for k in (1, 2, 3, 4))
-    y = n1 / (n1 + 2 * n2)
-    d = [min(k, max(0.1, k - (k + 1) * y * a / b)) for k, a, b in ((1, n2, n1), (2, n3, n2), (3, n4, n3))]
-    discount = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
-    with_ctx = counts.select("g", "c", (F.col("g") / SYMBOLS).cast("int").alias("ctx"), discount.alias("d"))
-    ctx = with_ctx.groupBy("ctx").agg(F.sum("c").alias("total"), F.sum("d").alias("mass"))
-    out = with_ctx.join(ctx, "ctx").withColumn("gamma", F.col("mass") / F.col("total"))
-    base = (F.col("c") - F.col("d")) / F.col("total")
-    if lower is None:
-        probabilities = out.select("g", (base + F.col("gamma") / SYMBOLS).alias("p"))
-    else:
-        below = lower.select(F.col("g").alias("s"), F.col("p").alias("q"))
-        out = out.withColumn("s", F.col("g") % (SYMBOLS ** (n - 1)))
-        probabilities = out.join(below, "s").select("g", (base + F.col("gamma") * F.col("q")).alias("p"))
-    return materialise(probabilities, "level"), ctx.select("ctx", (F.col("mass") / F.col("total")).alias("gamma"))
-
-
-def train(trusted: DataFrame) -> np.ndarray | None:
-    """Natural log probabilities of all SYMBOLS**ORDER n-grams, or None without text."""
-    tables = {ORDER: materialise(count_ngrams(trusted), "counts")}
-    for n in range(ORDER - 1, 0, -1):  # continuation counts: how many different symbols stand before
-        tables[n] = materialise(tables[n + 1].groupBy((F.col("g") % (SYMBOLS**n)).alias("g")).agg(F.count("*").alias("c")), "counts")
-    if tables[1].isEmpty():
-        return None
-    dense, lower = np.full(1, 1.0 / SYMBOLS), None
+BLOCK = 32_000_000
+#: Characters in a piece of a block, and positions looked at together.
+PIECE = 1_000_000
+MAX_TRUSTED = 2_000_000
+#: Stands before each text.
+PAD = "\x02" * (ORDER - 1)
+LEVEL = 6
+PACKED = "block long, ids array<long>, langs array<string>, trusted array<boolean>, sizes array<array<int>>, pieces array<binary>"
+
+
+def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, lang, text, trusted) as blocks, one row each: columns as arrays, texts in compressed pieces."""
+    squeeze = zstandard.ZstdCompressor(level=LEVEL)
+    fresh = lambda: ([], [], [], [], [], xxhash.xxh64())
+    ids, langs, trusted, sizes, pieces, name = fresh()
+    open_texts, held, total = [], 0, 0
+
+    def shut() -> None:
+        nonlocal open_texts, held
+        if open_texts:
+            sizes.append([len(t) for t in open_texts])
+            raw = "".join(open_texts).encode("utf-8", "replace")
+            name.update(raw)
+            pieces.append(squeeze.compress(raw))
+            open_texts, held = [], 0
+
+    def block() -> pa.RecordBatch:
+        shut()
+        name.update(repr(ids).encode())
+        key = name.intdigest() - (1 << 63)
+        columns = zip(([key], [ids], [langs], [trusted], [sizes], [pieces]), PACK_TYPES, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns], PACK_NAMES)
+
+    for b in batches:
+        for i, la, t, known in zip(*(b.column(c).to_pylist() for c in ("doc_id", "lang", "text", "trusted")), strict=True):
+            ids.append(i)
+            langs.append(la)
+            trusted.append(known)
+            open_texts.append(t)
+            held, total = held + len(t), total + len(t)
+            if held >= PIECE:
+                shut()
+            if total >= BLOCK:
+                yield block()
+                ids, langs, trusted, sizes, pieces, name = fresh()
+                total = 0
+    if ids:
+        yield block()
+
+
+PACK_NAMES = [c.split()[0] for c in PACKED.split(", ")]
+PACK_TYPES = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.bool_()), pa.list_(pa.list_(pa.int32())), pa.list_(pa.binary())]
+
+
+def _mixed(cps: np.ndarray) -> np.ndarray:
+    x = (cps.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
+
+
+def positions(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, str]]:
+    """(hashes, text numbers, starts, string) of the n-grams that end at each character, PIECE at most at a time."""
+    joined = "".join(PAD + t for t in texts)
+    cps = np.frombuffer(joined.encode("utf-32-le", "replace"), "<u4")
+    sizes = np.array([len(t) for t in texts], np.int64)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    starts = np.arange(len(owner)) + owner * len(PAD)
+    for at in range(0, len(owner), PIECE):
+        start = starts[at : at + PIECE]
+        x = _mixed(cps[start[0] : start[-1] + ORDER])
+        h = np.zeros(len(x) - ORDER + 1, np.uint64)
+        for k in range(ORDER):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + x[k : k + len(h)]
+        yield h[start - start[0]], owner[at : at + PIECE], start, joined
+
+
+def _texts(sizes: list[int], piece: bytes) -> list[str]:
+    whole, at, out = zstandard.ZstdDecompressor().decompress(piece).decode("utf-8"), 0, []
+    for n in sizes:
+        out.append(whole[at : at + n])
+        at += n
+    return out
+
+
+def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks to rows (block, h, g, c): the n-grams of each, and how often its trusted documents have them."""
+    for b in batches:
+        for key, trusted, sizes, pieces in zip(*(b.column(c).to_pylist() for c in ("block", "trusted", "sizes", "pieces")), strict=True):
+            known, grams, counts, at = np.empty(0, np.uint64), np.empty(0, object), np.empty(0, np.int64), 0
+            for size, piece in zip(sizes, pieces, strict=True):
+                flags = np.array(trusted[at : at + len(size)], bool)
+                at += len(size)
+                for h, owner, start, joined in positions(_texts(size, piece)):
+                    j = np.searchsorted(known, h)
+                    new = np.flatnonzero(known[np.minimum(j, len(known) - 1)] != h) if len(known) else np.arange(len(h))
+                    if len(new):
+                        fresh, first = np.unique(h[new], return_index=True)
+                        strings = np.empty(len(fresh), object)
+                        strings[:] = [joined[p : p + ORDER] for p in start[new[first]].tolist()]
+                        to = np.searchsorted(known, fresh)
+                        known, grams, counts = np.insert(known, to, fresh), np.insert(grams, to, strings), np.insert(counts, to, 0)
+                    good = h[flags[owner]]
+                    if len(good):
+                        counts += np.bincount(np.searchsorted(known, good), minlength=len(known))
+            for lo in range(0, len(known), 65536):
+                part = slice(lo, lo + 65536)
+                n = len(known[part])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, key)), pa.array(known[part].view(np.int64)), pa.array(grams[part], pa.string()), pa.array(counts[part])], ["block", "h", "g", "c"])
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks with their answers to rows (doc_id, lang, trusted, score): the mean log probability, null without text."""
+    for b in batches:
+        for row in b.to_pylist():
+            h, p = np.array([a["h"] for a in row["answers"]], np.int64).view(np.uint64), np.array([a["p"] for a in row["answers"]], np.float64)
+            order = np.argsort(h)
+            h, p = h[order], p[order]
+            score: list[float | None] = []
+            for size, piece in zip(row["sizes"], row["pieces"], strict=True):
+                total = np.zeros(len(size))
+                for own, owner, _, _ in positions(_texts(size, piece)):
+                    total += np.bincount(owner, p[np.searchsorted(h, own)], len(size))
+                score += [t / n if n else None for t, n in zip(total.tolist(), size, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row["ids"], pa.int64()), pa.array(row["langs"], pa.string()), pa.array(row["trusted"], pa.bool_()), pa.array(score, pa.float64())], ["doc_id", "lang", "trusted", "score"]
+            )
+
+
+def _ctx(n: int) -> Column:
+    return F.substring("g", 1, n - 1)
+
+
+def probabilities(asked: DataFrame) -> tuple[DataFrame, int]:
+    """(g, p) for each n-gram asked for, from rows (g, c) with its count in trusted text, 0 if it is not there; and the size of the alphabet.
+
+    An n-gram's own level comes first; where its beginning is unknown the shorter one counts.
+    """
+    wanted, counts = {ORDER: asked}, {ORDER: asked.where("c > 0")}
+    for n in range(ORDER - 1, 0, -1):
+        short = F.expr("substring(g, 2)").alias("g")
+        wanted[n] = materialise(wanted[n + 1].select(short).distinct(), "wanted")
+        # Continuation counts: how many different characters stand before.
+        counts[n] = materialise(counts[n + 1].groupBy(short).agg(F.count("*").alias("c")), "counts")
+    alphabet, lower = counts[1].count() + 1, None
     for n in range(1, ORDER + 1):
-        lower, gammas = _level(tables[n], lower, n)
-        known, weight = lower.toPandas(), gammas.toPandas()  # SYMBOLS**n rows at most
-        gamma = np.ones(SYMBOLS ** (n - 1))
-        gamma[weight["ctx"]] = weight["gamma"]
-        size = SYMBOLS ** (n - 1) if n > 1 else 1
-        below = np.resize(dense, SYMBOLS**n) if n > 1 else np.full(SYMBOLS, dense[0])
-        dense = np.repeat(gamma, SYMBOLS) * below if size else below
-        dense[known["g"]] = known["p"]
-    return np.log(dense).astype(np.float32)
-
-
-def perplexity(docs: DataFrame, model: np.ndarray) -> DataFrame:
-    """docs with perplexity; the model is a broadcast table of fixed size."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def go(texts: pd.Series) -> pd.Series:
-        table = shared.value
-        return pd.Series([float(np.exp(-table[ngrams(t)].mean(dtype=np.float64))) if t else float(SYMBOLS) for t in texts], dtype="float64")
-
-    return docs.withColumn("perplexity", F.pandas_udf(go, "double")(whole_text()))
+        row = counts[n].agg(*[F.count_if(F.col("c") == k).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
+        n1, n2, n3, n4 = (max(1, row[f"n{k}"]) for k in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2)
+        d = [min(k, max(0.1, k - (k + 1) * y * a / b)) for k, a, b in ((1, n2, n1), (2, n3, n2), (3, n4, n3))]
+        seen = counts[n].select("g", "c", F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2]).alias("d"))
+        ctx = seen.groupBy(_ctx(n).alias("ctx")).agg(F.sum("c").alias("total"), F.sum("d").alias("mass"))
+        rows = wanted[n].select("g", _ctx(n).alias("ctx"), F.expr("substring(g, 2)").alias("s"))
+        rows = rows.join(seen, "g", "left").join(ctx, "ctx", "left")
+        rows = rows.withColumn("q", F.lit(1.0 / alphabet)) if lower is None else rows.join(lower.select(F.col("g").alias("s"), F.col("p").alias("q")), "s")
+        own = F.coalesce((F.col("c") - F.col("d")) / F.col("total"), F.lit(0.0)) + F.col("mass") / F.col("total") * F.col("q")
+        lower = materialise(rows.select("g", F.coalesce(own, "q").alias("p")), "probabilities")
+    return lower, alphabet
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of the op9 query: doc_id, lang, perplexity, threshold, kept."""
     prepare_workers(docs.sparkSession)
-    trusted = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    docs = docs.select("doc_id", "lang", "text")
-    # A merge join at every size: the text of trusted documents moves once, in proportion to the input.
-    model = train(docs.join(trusted.hint("merge"), "doc_id", "left_semi"))
-    if model is None:
+    trusted = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long")).distinct().withColumn("trusted", F.lit(True))
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), whole_text().alias("text"))
+    few = trusted.count() <= MAX_TRUSTED
+    rows = rows.join(F.broadcast(trusted) if few else trusted, "doc_id", "left").select("doc_id", "lang", "text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    if not few:
+        rows = materialise(rows, "flagged")
+    grams = materialise(rows.mapInArrow(pack, PACKED).mapInArrow(ask, "block long, h long, g string, c long"), "grams")
+    asked = materialise(grams.groupBy("g").agg(F.sum("c").alias("c")), "asked")
+    if asked.where("c > 0").isEmpty():
         return docs.select("doc_id", "lang", F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), F.lit(True).alias("kept"))
-    scored = materialise(perplexity(docs, model).drop("text"), "perplexities")
-    good = scored.join(trusted, "doc_id", "left_semi")
+    known, alphabet = probabilities(asked)
+    answers = grams.join(known, "g").groupBy("block").agg(F.collect_list(F.struct("h", F.log("p").cast("float").alias("p"))).alias("answers"))
+    blocks = rows.mapInArrow(pack, PACKED).join(answers, "block", "left")
+    # A block without text asks for nothing.
+    lost = F.col("answers").isNull() & F.exists("sizes", lambda s: F.exists(s, lambda n: n > 0))
+    blocks = blocks.withColumn("answers", F.when(lost, F.raise_error(F.lit("rows came in another order: write the documents to a table first"))).otherwise(F.coalesce("answers", F.expr("array()").cast("array<struct<h:long,p:float>>"))))
+    scored = materialise(blocks.mapInArrow(_answered, "doc_id long, lang string, trusted boolean, score double").select("doc_id", "lang", "trusted", F.coalesce(F.exp(-F.col("score")), F.lit(float(alphabet))).alias("perplexity")), "perplexities")
+    discard(grams)
     cut = F.percentile_approx("perplexity", F.lit(QUANTILE), F.lit(10_000))
-    by_lang = materialise(good.groupBy("lang").agg(cut.alias("threshold")), "thresholds")
-    overall = good.agg(cut.alias("t")).first()["t"]
+    by_lang = materialise(scored.where("trusted").groupBy("lang").agg(cut.alias("threshold")), "thresholds")
+    overall = scored.where("trusted").agg(cut.alias("t")).first()["t"]
     out = scored.join(by_lang.withColumnRenamed("lang", "_lang"), F.col("lang").eqNullSafe(F.col("_lang")), "left")
     out = out.withColumn("threshold", F.coalesce("threshold", F.lit(overall)))
     return out.select("doc_id", "lang", "perplexity", "threshold", (F.col("perplexity") <= F.col("threshold")).alias("kept"))

@@ -420,10 +420,52 @@ def test_licence_texts_and_notices(spark):
 # 9
 
 
-def test_kneser_ney_sums_to_one(spark):
-    model = np.exp(quality.train(docs(spark, ["the cat sat on the mat. " * 3, "a dog sat on the log, too"])).astype(np.float64))
-    sums = model.reshape(-1, quality.SYMBOLS).sum(1)
-    assert np.allclose(sums, 1, atol=1e-4)
+def brute_kneser_ney(texts, order):
+    """(probability of a character after what stands before it, alphabet) by the textbook's recursion."""
+    from collections import Counter
+
+    counts = {order: Counter(x[i : i + order] for t in texts for x in [quality.PAD + t] for i in range(len(t)))}
+    for n in range(order - 1, 0, -1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    alphabet = len(counts[1]) + 1
+
+    def p(g):
+        if not g:
+            return 1 / alphabet
+        n = len(g)
+        have = Counter(counts[n].values())
+        n1, n2, n3, n4 = (max(1, have[k]) for k in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2)
+        d = [min(k, max(0.1, k - (k + 1) * y * a / b)) for k, a, b in ((1, n2, n1), (2, n3, n2), (3, n4, n3))]
+        off = lambda c: d[min(c, 3) - 1]
+        same = {h: c for h, c in counts[n].items() if h[:-1] == g[:-1]}
+        if not same:
+            return p(g[1:])
+        total = sum(same.values())
+        return (max(0, same[g] - off(same[g])) if g in same else 0) / total + sum(map(off, same.values())) / total * p(g[1:])
+
+    return p, alphabet
+
+
+def test_perplexities_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(quality, "PIECE", 40)
+    monkeypatch.setattr(quality, "BLOCK", 90)
+    texts = ["the cat sat on the mat. the cat", "a dog sat on the log", "Größe, die zählt 😀", None, "", "the cat sat on a log", "zzzqqq \x02\x02 é", "the dog" * 30]
+    la = spark.createDataFrame([(0, 1, 0), (1, 1, 0), (2, 1, 0), (1, 1, 0), (5, 0, 0)], LABELS)
+    p, alphabet = brute_kneser_ney([t for t in texts[:3]], quality.ORDER)
+    got = {r.doc_id: r.perplexity for r in quality.judge(docs(spark, texts), la).collect()}
+    for i, t in enumerate(texts):
+        x = quality.PAD + (t or "")
+        want = np.exp(-np.mean([np.log(p(x[k : k + quality.ORDER])) for k in range(len(t))])) if t else alphabet
+        assert got[i] == pytest.approx(want, rel=1e-5), t
+    assert sum(p("the " + c) for c in {*"".join(texts[:3]), "\x00"}) == pytest.approx(1)
+
+
+def test_labels_beyond_the_broadcast(spark, monkeypatch):
+    d, la = docs(spark, ["some words here", "other words", "x"]), spark.createDataFrame([(0, 1, 0), (1, 1, 0)], LABELS)
+    few = rows(quality.judge(d, la))
+    monkeypatch.setattr(quality, "MAX_TRUSTED", 0)
+    assert rows(quality.judge(d, la)) == few
 
 
 def test_junk_is_not_kept(spark):
