@@ -37,3 +37,8 @@ def dashboard_filter(df: DataFrame, months: tuple[str | None, str | None] = (Non
     if postcodes:
         df = df.where(F.col("postcode").isin(*postcodes))
     return df.where(F.col("property_type") == property_type) if property_type else df
+
+
+def recent(c: Column, days: int = 365, today: Column | None = None) -> Column:
+    """True for dates after today less so many days."""
+    return c > F.date_sub(today if today is not None else F.current_date(), days)

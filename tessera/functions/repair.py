@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: A plain number; try_cast alone would also take NaN, Infinity and 1d.
+#: Fixed value: a plain number; try_cast alone would also take NaN, Infinity and 1d.
 NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -66,6 +66,7 @@ def band(c: Column, edges: Sequence[float], names: Sequence[str]) -> Column:
 
 
 def area_band(c: Column) -> Column:
+    # Edges and names.
     return band(c, (400, 700, 1000, 5000), ("<400", "400-700", "700-1000", "1000-5000", "5000+"))
 
 
@@ -91,6 +92,16 @@ def business_hash(parts: Sequence[Column], length: int = 16) -> Column:
     return F.substring(F.sha2(joined, 256), 1, length)
 
 
+def series_id(*parts: Column) -> Column:
+    """The name of a series: its keys joined by ``|``."""
+    return F.concat_ws("|", *parts)
+
+
+def series_key(c: Column, n: int) -> Column:
+    """The n-th key of a series' name, from 1; empty beyond the last."""
+    return F.split_part(c, F.lit("|"), F.lit(n))
+
+
 def as_list(c: Column) -> Column:
     """An array of strings without NULL items; NULL as the empty array."""
     return F.coalesce(F.array_compact(c), F.array().cast("array<string>"))

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tessera.operators.features import month_index
 
 MIN_TREND, MIN_NAIVE = 36, 12
+#: January 2010, as months since year 0.
+ORIGIN = 2010 * 12 + 1
 
 
 def _future(history: DataFrame, keys: Sequence[str], month: str, horizon: int, least: int) -> DataFrame:
@@ -26,7 +28,9 @@ def trend_seasonal(history: DataFrame, keys: Sequence[str], month: str, value: s
     mean of y - slope * t. A month of year that a series never had takes the series' own
     mean level. Series with fewer than 36 rows have no forecast.
     """
-    rows = history.select(*keys, month_index(month).alias("t"), F.month(month).alias("moy"), F.col(value).cast("double").alias("y")).where("y IS NOT NULL")
+    # Months count from a fixed one near the data, so that squares of t lose no digits.
+    near = month_index(month) - ORIGIN
+    rows = history.select(*keys, near.alias("t"), F.month(month).alias("moy"), F.col(value).cast("double").alias("y")).where("y IS NOT NULL")
     cell = rows.groupBy(*keys, "moy").agg(F.count("*").alias("n"), F.avg("t").alias("mt"), F.avg("y").alias("my"), F.sum(F.col("t").cast("double") * F.col("t")).alias("tt"), F.sum(F.col("t") * F.col("y")).alias("ty"))
     fit = cell.groupBy(*keys).agg(
         (F.sum(F.col("ty") - F.col("n") * F.col("mt") * F.col("my")) / F.nullif(F.sum(F.col("tt") - F.col("n") * F.col("mt") * F.col("mt")), F.lit(0.0))).alias("slope"),
@@ -35,7 +39,7 @@ def trend_seasonal(history: DataFrame, keys: Sequence[str], month: str, value: s
     out = _future(history, keys, month, horizon, MIN_TREND).withColumn("moy", F.month("month")).join(fit, list(keys)).join(cell.select(*keys, "moy", "mt", "my"), [*keys, "moy"], "left")
     slope = F.coalesce("slope", F.lit(0.0))
     season = F.coalesce(F.col("my") - slope * F.col("mt"), F.col("level") - slope * F.col("at"))
-    return out.select(*keys, "month", (season + slope * F.col("mi")).alias("yhat"))
+    return out.select(*keys, "month", (season + slope * (F.col("mi") - ORIGIN)).alias("yhat"))
 
 
 def seasonal_naive(history: DataFrame, keys: Sequence[str], month: str, value: str, horizon: int) -> DataFrame:

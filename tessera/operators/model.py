@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MARGIN = 0.02
@@ -37,6 +37,16 @@ def score(model: PipelineModel, df: DataFrame, numeric: Sequence[str], name: str
     return out.select(*df.columns, F.col("predicted").alias(name))
 
 
+def batch_score(model: PipelineModel, df: DataFrame, numeric: Sequence[str], month: str, version: int, scored_at: Column, path: str, name: str = "predicted") -> DataFrame:
+    """Scores the last month, stamps version and time, and replaces just that month's partition of a Parquet table; the same call twice leaves the same rows."""
+    from tessera.operators.marts import latest
+    from tessera.sources.sinks import replace_partitions
+
+    out = score(model, latest(df, month), numeric, name).withColumns({"model_version": F.lit(version), "scored_at": scored_at})
+    replace_partitions(out, path, month)
+    return out
+
+
 def evaluate(scored: DataFrame, predicted: str, actual: str) -> DataFrame:
     """One row: n, mae, r2. NULLs on either side are left out."""
     good = scored.where(F.col(predicted).isNotNull() & F.col(actual).isNotNull())

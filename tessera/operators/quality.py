@@ -24,6 +24,9 @@ def flag(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.withColumn("_quality", reasons).withColumn("_is_valid", F.size("_quality") == 0)
 
 
+# The reasons below.
+
+
 def sale_rules(year_from: int = 2010, floor: float = 10_000, cap: float = 8_000_000) -> list[Rule]:
     """Rules for sales with columns sale_date, sale_price, purpose, locality and postcode."""
     c = F.col
@@ -91,6 +94,21 @@ def out_of_band(df: DataFrame, column: str, low: float, high: float) -> DataFram
     return df.where(~F.col(column).between(low, high))
 
 
+def wrong_shape(df: DataFrame, column: str, size: int) -> DataFrame:
+    """Rows whose vector is missing or of another dimension."""
+    return df.where(F.col(column).isNull() | (F.size(column) != size))
+
+
+def blank(df: DataFrame, column: str) -> DataFrame:
+    """Rows whose text is missing or white."""
+    return df.where(F.trim(F.coalesce(column, F.lit(""))) == "")
+
+
+def too_few(df: DataFrame, floor: int) -> DataFrame:
+    """One row if there are fewer rows than the floor, else none."""
+    return df.agg(F.count("*").alias("rows")).where(F.col("rows") < floor)
+
+
 class CheckFailed(AssertionError):
     """Raised once, with all failed checks."""
 

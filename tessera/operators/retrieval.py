@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Queries are broadcast in blocks of so many.
-BLOCK = 512
+#: Vectors in a block, and queries in one.
+BLOCK, ASKED = 2048, 512
+#: Blocks of queries are broadcast while all queries together are at most so many numbers (64 MB).
+MAX_NUMBERS = 8_000_000
 
 
 def pending(chunks: DataFrame, cache: DataFrame) -> DataFrame:
@@ -29,6 +31,11 @@ def embed(chunks: DataFrame, embedder: Callable[[list[str]], list[list[float]]],
     return chunks.select(*keys, "embedding_text").mapInPandas(go, ", ".join(f"{k} string" for k in keys) + ", embedding array<float>")
 
 
+def embed_pending(chunks: DataFrame, cache: DataFrame, embedder: Callable[[list[str]], list[list[float]]], batch: int = 200) -> DataFrame:
+    """The cache with what was missing: only chunks whose content it lacks are embedded."""
+    return cache.unionByName(embed(pending(chunks, cache), embedder, batch=batch).select(*cache.columns))
+
+
 def hash_embedder(dims: int = 16) -> Callable[[list[str]], list[list[float]]]:
     """A deterministic stand-in for a model, for tests: signed counts of hashed words."""
     import hashlib
@@ -59,6 +66,34 @@ def after_sync(state: DataFrame, pushed: DataFrame, index_name: str) -> DataFram
     return kept.unionByName(pushed.select(F.lit(index_name).alias("index_name"), "chunk_key", "text_sha"))
 
 
+class PushFailed(RuntimeError):
+    """Raised when an index refuses keys; the state is not changed then, and the push may be repeated."""
+
+
+def push(vectors: DataFrame, state: DataFrame, index_name: str, upsert: Callable[[list[dict]], list[str]], log: str, batch: int = 200) -> DataFrame:
+    """Sends vectors that an index lacks in batches and returns the state after it.
+
+    ``upsert(rows)`` runs on the workers and returns the keys that it could not write. What
+    happened is written to the folder ``log`` once, so nothing is sent again when the state is read.
+    """
+    import pandas as pd
+
+    def go(parts):
+        for pdf in parts:
+            for at in range(0, len(pdf), batch):
+                part = pdf.iloc[at : at + batch]
+                bad = set(upsert(part.to_dict("records")))
+                yield pd.DataFrame({"chunk_key": part["chunk_key"], "text_sha": part["text_sha"], "ok": [k not in bad for k in part["chunk_key"]]})
+
+    spark = vectors.sparkSession
+    to_sync(vectors, state, index_name).mapInPandas(go, "chunk_key string, text_sha string, ok boolean").write.mode("overwrite").parquet(log)
+    done = spark.read.schema("chunk_key string, text_sha string, ok boolean").parquet(log)
+    failed = done.where("NOT ok")
+    if n := failed.count():
+        raise PushFailed(f"{n} keys, among them {', '.join(sorted(r.chunk_key for r in failed.orderBy('chunk_key').limit(10).collect()))}")
+    return after_sync(state, done.select("chunk_key", "text_sha"), index_name)
+
+
 def stale(state: DataFrame, chunks: DataFrame, index_name: str) -> DataFrame:
     """Keys that an index holds but that no current chunk has."""
     return state.where(F.col("index_name") == index_name).select("chunk_key").distinct().join(chunks.where("is_current"), "chunk_key", "left_anti")
@@ -76,30 +111,76 @@ def cosine(a: str, b: str) -> Column:
     return F.expr(f"{dot(a, b)} / nullif(sqrt({dot(a, a)}) * sqrt({dot(b, b)}), 0D)")
 
 
-def top_k(queries: DataFrame, vectors: DataFrame, k: int, query_id: str, vector_id: str, exclude_self: bool = False) -> DataFrame:
+def _blocks(df: DataFrame, key: str, vector: str, most: int, name: str) -> DataFrame:
+    """Blocks of vectors of length one and the same dimension: (<name>_ids, <name>_n, <name>_m). Vectors without a length are left out."""
+    import numpy as np
+    import pyarrow as pa
+
+    kind = df.schema[key].dataType
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_blocks: dict[int, tuple[list, list]] = {}
+
+        def made(ids: list, rows: list) -> pa.RecordBatch:
+            columns = [pa.array([ids], pa.list_(id_type)), pa.array([len(rows[0])], pa.int32()), pa.array([np.array(rows).tobytes()], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, [f"{name}_ids", f"{name}_n", f"{name}_m"])
+
+        id_type = pa.int64()
+        for b in batches:
+            id_type = b.schema.field(0).type
+            for i, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                x = np.array([np.nan] if v is None else v, np.float64)
+                size = np.sqrt(x @ x)
+                if not size > 0:  # nor NaN
+                    continue
+                ids, rows = open_blocks.setdefault(len(x), ([], []))
+                ids.append(i)
+                rows.append(x / size)
+                if len(ids) == most:
+                    yield made(*open_blocks.pop(len(x)))
+        for ids, rows in open_blocks.values():
+            yield made(ids, rows)
+
+    return df.select(key, vector).mapInArrow(go, f"{name}_ids array<{kind.simpleString()}>, {name}_n int, {name}_m binary")
+
+
+def top_k(queries: DataFrame, vectors: DataFrame, k: int, query_id: str, vector_id: str, exclude_self: bool = False, embedding: str = "embedding") -> DataFrame:
     """(query_id, vector_id, score, rank): the k nearest vectors of each query by cosine, ties by id.
 
-    A stated set of queries goes against all vectors: each block of BLOCK queries is one
-    row, sent to every task, and each task keeps its own k best of a query before the
-    shuffle (the planner's window group limit), so k rows for each query and task move.
+    A stated set of queries goes against all vectors. Both are normalised once and packed
+    into blocks; each pair of blocks is one product of matrices, which keeps its own k
+    best of each query. Whatever the number of queries, the plan has one join of blocks.
     """
-    blocks = max(1, -(-queries.count() // BLOCK))
-    asked = queries.select(F.pmod(F.xxhash64(query_id), F.lit(blocks)).alias("block"), F.struct(F.col(query_id).alias("q"), F.col("embedding").alias("e")).alias("p"))
-    out = None
-    for b in range(blocks):
-        one = asked.where(F.col("block") == b).agg(F.collect_list("p").alias("ps"))  # about BLOCK vectors
-        scored = vectors.select(F.col(vector_id), F.col("embedding").alias("x")).join(F.broadcast(one)).select(vector_id, "x", F.explode("ps").alias("p"))
-        scored = scored.select(F.col("p.q").alias(query_id), vector_id, cosine("p.e", "x").alias("score"))
-        out = scored if out is None else out.unionByName(scored)
-    if exclude_self:
-        out = out.where(F.col(query_id) != F.col(vector_id))
+    import numpy as np
+    import pyarrow as pa
+
+    dims = queries.agg(F.sum(F.size(embedding)).alias("n")).first()["n"] or 0
+    asked = _blocks(queries, query_id, embedding, ASKED, "q")
+    pairs = _blocks(vectors, vector_id, embedding, BLOCK, "v").join(F.broadcast(asked) if dims <= MAX_NUMBERS else asked, F.col("v_n") == F.col("q_n"))
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for qi, qm, vi, vm, n in zip(*(b.column(c).to_pylist() for c in ("q_ids", "q_m", "v_ids", "v_m", "q_n")), strict=True):
+                by_id = np.argsort(np.array(vi))
+                ids = np.array(vi)[by_id]
+                # Equal vectors have equal scores wherever they stand in a block.
+                score = np.round(np.frombuffer(qm).reshape(-1, n) @ np.frombuffer(vm).reshape(-1, n)[by_id].T, 12)
+                if exclude_self:
+                    score[np.array(qi)[:, None] == ids[None, :]] = -np.inf
+                best = np.argsort(-score, axis=1, kind="stable")[:, :k]
+                found = np.take_along_axis(score, best, 1)
+                keep = np.isfinite(found)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(qi), keep.sum(1))), pa.array(ids[best[keep]]), pa.array(found[keep])], [query_id, vector_id, "score"])
+
+    kinds = (queries.schema[query_id].dataType.simpleString(), vectors.schema[vector_id].dataType.simpleString())
+    scored = pairs.select("q_ids", "q_m", "v_ids", "v_m", "q_n").mapInArrow(go, f"{query_id} {kinds[0]}, {vector_id} {kinds[1]}, score double")
     w = Window.partitionBy(query_id).orderBy(F.desc("score"), vector_id)
-    return out.where("score IS NOT NULL").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def best_copy(hits: DataFrame, key: str) -> DataFrame:
-    """One row per key, the best-scoring one, NULL scores as 0, in descending order of score."""
-    w = Window.partitionBy(key).orderBy(F.desc(F.coalesce("score", F.lit(0.0))))
+    """One row per key, the best-scoring one, NULL scores as 0, in descending order of score; ties by what the row holds."""
+    w = Window.partitionBy(key).orderBy(F.desc(F.coalesce("score", F.lit(0.0))), *[c for c in hits.columns if c not in (key, "score")])
     return hits.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n").orderBy(F.desc(F.coalesce("score", F.lit(0.0))), key)
 
 
@@ -120,6 +201,38 @@ def ir_metrics(ranked: DataFrame, k: int) -> DataFrame:
     )
 
 
+def ir_scores(hits: DataFrame, totals: DataFrame, k: int) -> DataFrame:
+    """(case_id, recall, mrr, ndcg) from hits (case_id, rank, relevant) without repeats and totals (case_id, n) of relevant items.
+
+    Nothing but ranks is gathered, however many items are relevant. A case without hits scores 0.
+    """
+    good = F.col("relevant") & F.col("rank").isNotNull()
+    top = good & (F.col("rank") <= k)
+    by = hits.groupBy("case_id").agg(
+        F.count_if(top).alias("found"), F.min(F.when(good, F.col("rank"))).alias("first"), F.sum(F.when(top, 1 / F.log2(F.col("rank") + 1))).alias("gain"),
+    )
+    ideal = F.aggregate(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int")), F.lit(0.0), lambda a, i: a + 1 / F.log2(i + 1))
+    some, zero = F.col("n") > 0, F.lit(0.0)
+    out = totals.select("case_id", "n").join(by, "case_id", "left")
+    return out.select(
+        "case_id", F.when(some, F.coalesce(F.col("found") / F.col("n"), zero)).otherwise(zero).alias("recall"),
+        F.when(some, F.coalesce(1 / F.col("first"), zero)).otherwise(zero).alias("mrr"), F.when(some, F.coalesce(F.col("gain") / ideal, zero)).otherwise(zero).alias("ndcg"),
+    )
+
+
+def contenders(queries: DataFrame, indexes: dict[str, tuple[DataFrame, str]], relevant: Callable[[DataFrame], DataFrame], totals: DataFrame, k: int, query_id: str, vector_id: str) -> DataFrame:
+    """(contender, n, recall, mrr, ndcg): means over the cases of each index, given as (vectors, vector column).
+
+    ``relevant`` turns hits (query_id, vector_id, rank) into (case_id, rank, relevant).
+    """
+    out = None
+    for name, (vectors, column) in indexes.items():
+        hits = relevant(top_k(queries, vectors, k, query_id, vector_id, exclude_self=True, embedding=column))
+        one = mean_missing_zero(ir_scores(hits, totals, k), ("recall", "mrr", "ndcg")).withColumn("contender", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def mean_missing_zero(scored: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Means in which a missing score counts as 0."""
     return scored.groupBy(*by).agg(F.count("*").alias("n"), *[(F.sum(F.coalesce(c, F.lit(0.0))) / F.count("*")).alias(c) for c in columns])

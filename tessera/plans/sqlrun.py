@@ -45,3 +45,8 @@ def select_only(spark: SparkSession, sql: str) -> str:
 def query(spark: SparkSession, sql: str) -> DataFrame:
     """A guarded query, at most ROWS rows."""
     return spark.sql(select_only(spark, sql)).limit(ROWS)
+
+
+def explain(spark: SparkSession, sql: str) -> str:
+    """EXPLAIN FORMATTED of a guarded query."""
+    return spark.sql("EXPLAIN FORMATTED " + select_only(spark, sql)).first()[0]

@@ -8,9 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def rebuild(df: DataFrame, table: str, cluster_by: Sequence[str] = ()) -> None:
-    """Overwrites table and schema; range-clusters rows by the given columns so that footers prune."""
+    """Overwrites a table, schema and all; range-clusters rows by the given columns so that footers prune."""
     out = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by) if cluster_by else df
-    out.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
+    out.write.mode("overwrite").saveAsTable(table)
+
+
+def create_as(spark: SparkSession, table: str, query: str) -> None:
+    """CREATE OR REPLACE TABLE ... AS SELECT, for a catalog that cannot replace: the old table goes once the query has been analysed."""
+    spark.sql(query).write.mode("overwrite").format("parquet").saveAsTable(table)
+
+
+def insert_select(spark: SparkSession, table: str, query: str, columns: Sequence[str] = ()) -> None:
+    """INSERT INTO ... SELECT, by name where columns are given."""
+    names = f" ({', '.join(columns)})" if columns else ""
+    spark.sql(f"INSERT INTO {table}{names} {query}")
+
+
+def comment(spark: SparkSession, table: str, text: str) -> None:
+    """COMMENT ON TABLE."""
+    spark.sql(f"COMMENT ON TABLE {table} IS " + "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'")
 
 
 def replace_partitions(df: DataFrame, path: str, by: str = "month") -> None:
