@@ -499,9 +499,10 @@ def segment_rows(spark: SparkSession, d: str) -> DataFrame:
     return corpus.segment_rows(_records(spark, d))
 
 
-@_query()
+@_query("""SELECT CASE WHEN count(*) = 0 THEN 'empty000' ELSE substr(sha256(CAST(count(*) AS VARCHAR) || '|' || CAST(sum(CAST('0x' || substr(h, 1, 8) AS HUGEINT)) AS VARCHAR) || '|' || CAST(sum(CAST('0x' || substr(h, 9, 8) AS HUGEINT)) AS VARCHAR) || '|' || CAST(sum(CAST('0x' || substr(h, 17, 8) AS HUGEINT)) AS VARCHAR) || '|' || CAST(sum(CAST('0x' || substr(h, 25, 8) AS HUGEINT)) AS VARCHAR)), 1, 8) END AS sha
+    FROM (SELECT sha256('{"doc_id":' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ',"quality":' || coalesce(CAST(quality AS VARCHAR), 'null') || ',"toxic":' || coalesce(CAST(toxic AS VARCHAR), 'null') || '}') AS h FROM labels)""")
 def frame_hash(spark: SparkSession, d: str) -> DataFrame:
-    return corpus.frame_sha(_read(spark, d, "documents"))
+    return corpus.frame_sha(_read(spark, d, "labels"))
 
 
 # Joins that find what is missing
@@ -551,11 +552,18 @@ def knn_topk(spark: SparkSession, d: str) -> DataFrame:
     return _knn(spark, d).select("qid", "vec_id", "rank", F.round("score", 5).alias("score"))
 
 
-def _cases(spark, d):
-    e = _read(spark, d, "embeddings")
-    ranked = _knn(spark, d).groupBy("qid").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "vec_id"))), lambda x: x["vec_id"]).alias("ranked"))
-    label = e.groupBy("label").agg(F.array_sort(F.collect_set("vec_id")).alias("relevant"))
-    return ranked.join(e.select(F.col("vec_id").alias("qid"), "label"), "qid").join(label, "label").select(F.col("qid").alias("case_id"), "ranked", "relevant")
+def _relevant(spark, d):
+    """(hits with whether they are relevant, cases with their number of relevant items): what has the query's label."""
+    label = _read(spark, d, "embeddings").select("vec_id", "label")
+    asked = label.where("vec_id % 20 = 0").select(F.col("vec_id").alias("qid"), F.col("label").alias("own"))
+    totals = asked.join(label.groupBy("label").agg(F.count("*").alias("n")), F.col("own") == F.col("label")).select(F.col("qid").alias("case_id"), "n")
+    mark = lambda hits: hits.join(asked, "qid").join(label, "vec_id").select(F.col("qid").alias("case_id"), "rank", (F.col("own") == F.col("label")).alias("relevant"))
+    return mark, totals
+
+
+def _scored(spark, d):
+    mark, totals = _relevant(spark, d)
+    return retrieval.ir_scores(mark(_knn(spark, d)), totals, 10)
 
 
 _IR = f"""{_KNN}, rel AS (SELECT a.vec_id AS qid, b.vec_id AS vid FROM embeddings a JOIN embeddings b USING (label) WHERE a.vec_id % 20 = 0),
@@ -567,25 +575,25 @@ _IR = f"""{_KNN}, rel AS (SELECT a.vec_id AS qid, b.vec_id AS vid FROM embedding
 
 @_query(f"WITH {_IR} SELECT case_id, round(recall, 6) AS recall, round(mrr::DOUBLE, 6) AS mrr, round(ndcg, 6) AS ndcg FROM m")
 def ir_metrics(spark: SparkSession, d: str) -> DataFrame:
-    out = retrieval.ir_metrics(_cases(spark, d), 10)
+    out = _scored(spark, d)
     return out.select("case_id", *[F.round(c, 6).alias(c) for c in ("recall", "mrr", "ndcg")])
 
 
 @_query(f"WITH {_IR} SELECT count(*) AS n, round(avg(recall), 6) AS recall, round(avg(mrr)::DOUBLE, 6) AS mrr, round(avg(ndcg), 6) AS ndcg FROM m")
 def ir_aggregate(spark: SparkSession, d: str) -> DataFrame:
-    out = retrieval.mean_missing_zero(retrieval.ir_metrics(_cases(spark, d), 10), ("recall", "mrr", "ndcg"))
+    out = retrieval.mean_missing_zero(_scored(spark, d), ("recall", "mrr", "ndcg"))
     return out.select("n", *[F.round(c, 6).alias(c) for c in ("recall", "mrr", "ndcg")])
 
 
-@_query("""SELECT conv_id, array_to_string(list(text ORDER BY turn)[1:3], '|') AS contexts FROM conversations GROUP BY conv_id""")
+@_query("""SELECT conv_id, array_to_string(list(text ORDER BY turn)[1:16], '|') AS contexts FROM conversations GROUP BY conv_id""")
 def context_collect(spark: SparkSession, d: str) -> DataFrame:
     c = _read(spark, d, "conversations").select("conv_id", "turn", F.concat_ws(":", "conv_id", "turn").alias("chunk_key"), "text")
     refs = c.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "chunk_key"))), lambda x: x["chunk_key"]).alias("chunk_keys"))
     return retrieval.collect_context(refs, c, ["conv_id"]).select("conv_id", F.array_join("context_texts", "|").alias("contexts"))
 
 
-@_query("""SELECT doc_id AS case_id, CAST(doc_id AS VARCHAR) AS chunk_id, CASE WHEN doc_id % 2 = 0 THEN 'k' || (SELECT CAST(max(doc_id) AS VARCHAR) FROM documents e WHERE e.text = documents.text AND length(CAST(e.doc_id AS VARCHAR)) = length(CAST(documents.doc_id AS VARCHAR))) END AS chunk_key
-    FROM documents WHERE doc_id BETWEEN 100 AND 199""")
+@_query("""SELECT doc_id AS case_id, CAST(doc_id AS VARCHAR) AS chunk_id, CASE WHEN doc_id % 2 = 0 THEN 'k' || CAST(m AS VARCHAR) END AS chunk_key
+    FROM documents JOIN (SELECT text, max(doc_id) AS m FROM documents GROUP BY text) USING (text)""")
 def reanchor_chunks(spark: SparkSession, d: str) -> DataFrame:
     docs = _read(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("text_sha"))
     landed = docs.where("doc_id % 2 = 0").select(F.col("doc_id").cast("string").alias("chunk_id"), "text_sha")
@@ -597,11 +605,11 @@ def reanchor_chunks(spark: SparkSession, d: str) -> DataFrame:
 # Graders and gates
 
 
-@_query("SELECT doc_id, len(n) AS found, coalesce(round(list_sum(list_transform(n, lambda x: length(x))), 1), 0) AS digits FROM (SELECT doc_id, regexp_extract_all(text, '-?[0-9][0-9,]*(?:\\.[0-9]+)?') AS n FROM documents)")
+@_query("""SELECT doc_id, len(n) AS found, list_min(n) AS least, list_max(n) AS largest, n[1] AS first, n[len(n)] AS last
+    FROM (SELECT doc_id, list_transform(regexp_extract_all(text, '-?[0-9][0-9,]*(?:\\.[0-9]+)?'), lambda x: CAST(replace(x, ',', '') AS DOUBLE)) AS n FROM documents)""")
 def extract_numbers(spark: SparkSession, d: str) -> DataFrame:
-    docs = _read(spark, d, "documents")
-    raw = F.regexp_extract_all("text", F.lit(r"-?[0-9][0-9,]*(?:\.[0-9]+)?"), F.lit(0))
-    return docs.select("doc_id", F.size(text.extract_numbers(F.col("text"))).cast("long").alias("found"), F.aggregate(raw, F.lit(0.0), lambda a, x: a + F.length(x)).alias("digits"))
+    rows = _read(spark, d, "documents").select("doc_id", text.extract_numbers(F.col("text")).alias("n"))
+    return rows.select("doc_id", F.size("n").cast("long").alias("found"), F.array_min("n").alias("least"), F.array_max("n").alias("largest"), F.get("n", F.lit(0)).alias("first"), F.get("n", F.size("n") - 1).alias("last"))
 
 
 @_query("SELECT o_orderkey, abs(o_totalprice * 1.04 - o_totalprice) <= o_totalprice * 5.0 / 100 AS near, false AS far FROM orders")
@@ -626,20 +634,20 @@ def refusal_grade(spark: SparkSession, d: str) -> DataFrame:
 
 def _answers(spark, d):
     dd, la = _read(spark, d, "documents"), _read(spark, d, "labels")
-    score = lambda m: F.when(F.col("doc_id") % m != 0, (F.col("doc_id") % 11) / 16.0)
+    score = lambda m: F.when(F.col("doc_id") % m != 0, (F.col("doc_id") % 11) / 13.0)
     rows = dd.join(la, "doc_id", "left").select("doc_id", F.when(F.col("doc_id") % 2 == 0, "broad").otherwise("narrow").alias("tier"), (F.col("doc_id") % 7).cast("int").alias("hops"), "lang", "toxic", F.coalesce(F.col("quality") == 1, F.lit(False)).alias("passed"), F.when(F.col("toxic") == 1, "boom").otherwise("").alias("error"), *[score(3 + i).alias(n) for i, n in enumerate(evaluate.WEIGHTS)])
     return evaluate.with_composite(rows)
 
 
 _ANSWERS = """a0 AS (SELECT d.doc_id, lang, CASE WHEN d.doc_id % 2 = 0 THEN 'broad' ELSE 'narrow' END AS tier, CAST(d.doc_id % 7 AS INTEGER) AS hops, coalesce(quality = 1, false) AS passed,
-    CASE WHEN toxic = 1 THEN 'boom' ELSE '' END AS error, (d.doc_id % 11) / 16.0::DOUBLE AS s FROM documents d LEFT JOIN labels USING (doc_id)),
+    CASE WHEN toxic = 1 THEN 'boom' ELSE '' END AS error, (d.doc_id % 11) / 13.0::DOUBLE AS s FROM documents d LEFT JOIN labels USING (doc_id)),
     ans AS (SELECT *, round(0.25::DOUBLE * (CASE WHEN doc_id % 3 <> 0 THEN s ELSE 0 END) + 0.15::DOUBLE * (CASE WHEN doc_id % 4 <> 0 THEN s ELSE 0 END) + 0.2::DOUBLE * (CASE WHEN doc_id % 5 <> 0 THEN s ELSE 0 END)
     + 0.1::DOUBLE * (CASE WHEN doc_id % 6 <> 0 THEN s ELSE 0 END) + 0.1::DOUBLE * (CASE WHEN doc_id % 7 <> 0 THEN s ELSE 0 END) + 0.15::DOUBLE * (CASE WHEN doc_id % 8 <> 0 THEN s ELSE 0 END) + 0.05::DOUBLE * (CASE WHEN doc_id % 9 <> 0 THEN s ELSE 0 END), 4) AS composite FROM a0)"""
 
 
-@_query(f"WITH {_ANSWERS} SELECT doc_id, round(composite, 3) AS composite, CASE WHEN doc_id % 3 <> 0 THEN s ELSE 0 END < 0.6 AS floor_breach FROM ans")
+@_query(f"WITH {_ANSWERS} SELECT doc_id, composite, CASE WHEN doc_id % 3 <> 0 THEN s ELSE 0 END < 0.6 AS floor_breach FROM ans")
 def judge_composite(spark: SparkSession, d: str) -> DataFrame:
-    return _answers(spark, d).select("doc_id", F.round("composite", 3).alias("composite"), "floor_breach")
+    return _answers(spark, d).select("doc_id", "composite", "floor_breach")
 
 
 @_query(f"WITH {_ANSWERS} SELECT tier, count(*) AS n, round(avg(CASE WHEN doc_id % 3 <> 0 THEN s END), 4) AS mean_groundedness, round(avg(hops), 4) AS mean_hops FROM ans GROUP BY tier")
@@ -653,13 +661,15 @@ def behaviour_gate(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.behaviour_gate(_answers(spark, d)).withColumn("broad_hops", F.round("broad_hops", 6))
 
 
-@_query(f"""WITH {_ANSWERS} SELECT b.h >= 3 AS hops_ok, b.c >= g.c * 0.95 AS broad_ok, n.c >= w.c - 0.05 AS narrow_ok FROM
+@_query(f"""WITH {_ANSWERS} SELECT round(b.h, 6) AS hops, round(b.c, 6) AS broad, round(g.c, 6) AS golden, round(n.c, 6) AS narrow, round(w.c, 6) AS base,
+    b.h >= 3 AS hops_ok, b.c >= g.c * 0.95 AS broad_ok, n.c >= w.c - 0.05 AS narrow_ok, b.h >= 3 AND b.c >= g.c * 0.95 AND n.c >= w.c - 0.05 AS passed FROM
     (SELECT avg(hops) AS h, avg(composite) AS c FROM ans WHERE tier = 'broad' AND lang = 'en') b, (SELECT avg(composite) AS c FROM ans WHERE tier = 'narrow' AND lang = 'en') n,
     (SELECT avg(composite) AS c FROM ans WHERE tier = 'broad' AND lang = 'fr') g, (SELECT avg(composite) AS c FROM ans WHERE tier = 'narrow' AND lang = 'de') w""")
 def gate_verdict(spark: SparkSession, d: str) -> DataFrame:
     a = _answers(spark, d).withColumn("category", F.col("tier"))
     by = lambda lang: a.where(F.col("lang") == lang)
-    return evaluate.verdict(by("en"), by("fr"), by("de")).select("hops_ok", "broad_ok", "narrow_ok")
+    out = evaluate.verdict(by("en"), by("fr"), by("de"))
+    return out.withColumns({c: F.round(c, 6) for c in ("hops", "broad", "golden", "narrow", "base")})
 
 
 @_query("""SELECT o_orderpriority AS variant, o_orderkey FROM orders o WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders i WHERE i.o_orderpriority = o.o_orderpriority)""")
@@ -680,7 +690,7 @@ def _extractions(spark, d):
     b = _read(spark, d, "benchmark")
     word = F.split("text", " ")
     body = F.to_json(F.struct(
-        F.array(F.struct(word[0].alias("name"), F.lit("t").alias("type"))).alias("entities"),
+        F.array(F.struct(word[0].alias("name"), F.lit("t").alias("type"), F.when(F.col("item_id") % 2 == 0, F.array(word[1], F.lit(None).cast("string"), word[2])).alias("aliases"))).alias("entities"),
         F.array(F.struct(word[0].alias("source"), word[1].alias("target"), F.lit("r").alias("type"), (F.col("item_id") / 4.0).cast("double").alias("weight"))).alias("relations"),
         F.array(F.struct(word[2].alias("text"), F.lit("+").alias("polarity"), F.when(F.col("item_id") % 2 == 0, word[0]).alias("subject"), word[1].alias("entity"))).alias("claims"),
     ))
@@ -690,9 +700,9 @@ def _extractions(spark, d):
 _W = "b AS (SELECT CAST(item_id AS VARCHAR) AS chunk_sha, item_id, string_split(text, ' ') AS w FROM benchmark)"
 
 
-@_query(f"WITH {_W} SELECT chunk_sha, w[1] AS name, 't' AS entity_type FROM b")
+@_query(f"WITH {_W} SELECT chunk_sha, w[1] AS name, 't' AS entity_type, CASE WHEN item_id % 2 = 0 THEN w[2] || '|' || w[3] ELSE '' END AS aliases FROM b")
 def graph_entities(spark: SparkSession, d: str) -> DataFrame:
-    return corpus.graph_rows(_extractions(spark, d))["graph_entities"].drop("aliases")
+    return corpus.graph_rows(_extractions(spark, d))["graph_entities"].withColumn("aliases", F.array_join("aliases", "|"))
 
 
 @_query(f"WITH {_W} SELECT chunk_sha, w[1] AS source, w[2] AS target, 'r' AS relation_type, item_id / 4.0::DOUBLE AS weight FROM b")
@@ -772,16 +782,207 @@ def forecast_best_method(spark: SparkSession, d: str) -> DataFrame:
     return forecast.best_method(forecast.backtest(_series(spark, d), ["property_type"], "month", "y", 6)).withColumn("avg_mae", F.round("avg_mae", 3))
 
 
+# Rents, rankings and scoring
+
+
+_RENT_FLAGS = """f AS (SELECT l_orderkey, l_linenumber, list_filter([CASE WHEN l_linenumber = 5 THEN 'unparseable_lodgement_date' END,
+    CASE WHEN l_linenumber <> 5 AND year(l_shipdate) < 1995 THEN 'pre_2010_lodgement' END, CASE WHEN l_partkey % 13 = 0 THEN 'unparseable_rent' END,
+    CASE WHEN l_partkey % 13 <> 0 AND l_partkey % 17 = 0 THEN 'non_positive_rent' END, CASE WHEN l_suppkey % 7 = 0 THEN 'bad_postcode' END], lambda x: x IS NOT NULL) AS q FROM lineitem)"""
+
+
+@_query(f"WITH {_RENT_FLAGS} SELECT l_orderkey, l_linenumber, array_to_string(q, ',') AS reasons, len(q) = 0 AS is_valid, list_contains(q, 'bad_postcode') AS bad_postcode FROM f")
+def rent_flags(spark: SparkSession, d: str) -> DataFrame:
+    li = _read(spark, d, "lineitem")
+    rows = li.select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") != 5, F.col("l_shipdate").cast("date")).alias("rent_date"),
+        F.when(F.col("l_partkey") % 13 == 0, None).when(F.col("l_partkey") % 17 == 0, 0.0).otherwise(F.col("l_extendedprice")).alias("weekly_rent"), F.when(F.col("l_suppkey") % 7 != 0, "2000").alias("postcode"),
+    )
+    out = quality.flag(rows, quality.rent_rules(1995))
+    return out.select("l_orderkey", "l_linenumber", F.array_join("_quality", ",").alias("reasons"), F.col("_is_valid").alias("is_valid"), F.array_contains("_quality", "bad_postcode").alias("bad_postcode"))
+
+
+@_query(f"""WITH {_SALES} SELECT month, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_price, count(*) AS n_sold FROM sales WHERE postcode = '7' AND property_type = 'BUILDING' GROUP BY month""")
+def price_over_time(spark: SparkSession, d: str) -> DataFrame:
+    mart = marts.legs(_sales(spark, d), ("postcode", "property_type", "month"), "price", *_S).withColumn(_S[0], F.col(_S[0]).cast("decimal(28,2)"))
+    one = mart.where("postcode = '7' AND property_type = 'BUILDING'")
+    return one.groupBy("month").agg(ratio(*_S).alias("avg_price"), F.sum("n_sold").alias("n_sold"))
+
+
+@_query(f"""WITH {_YIELD.format(floor=1)}, t AS (SELECT max(month) AS m FROM y) SELECT postcode, property_type,
+    round(5200 * (CAST(sum(CAST(total_weekly_rent AS DECIMAL(28,2))) AS DOUBLE) / sum(n_rented)) / (CAST(sum(CAST(total_sale_value AS DECIMAL(28,2))) AS DOUBLE) / sum(n_sold)), 6) AS gross_yield_pct
+    FROM y, t WHERE month > m - INTERVAL 12 MONTH GROUP BY postcode, property_type HAVING sum(n_sold) >= 5 AND sum(n_rented) >= 10 ORDER BY gross_yield_pct DESC, postcode, property_type LIMIT 10""")
+def yield_ranking_12m(spark: SparkSession, d: str) -> DataFrame:
+    legs = marts.trailing(_yield(spark, d, 1), "month", 12).withColumns({c: F.col(c).cast("decimal(28,2)") for c in ("total_sale_value", "total_weekly_rent")})
+    floors = (F.sum("n_sold") >= 5) & (F.sum("n_rented") >= 10)
+    return marts.leaderboard(legs, ["postcode", "property_type"], F.round(measures()["gross_yield_pct"], 6), "gross_yield_pct", floors, 10)
+
+
+@_query(f"""WITH {_YIELD.format(floor=1)} SELECT postcode, property_type, round(gross_yield_pct, 6) AS gross_yield_pct, n_sold, n_rented FROM y
+    WHERE month = (SELECT max(month) FROM y) AND n_sold >= 1 AND n_rented >= 2 ORDER BY round(gross_yield_pct, 6) DESC, postcode, property_type LIMIT 10""")
+def latest_yield_top10(spark: SparkSession, d: str) -> DataFrame:
+    rows = marts.latest(_yield(spark, d, 1), "month").where("n_sold >= 1 AND n_rented >= 2")
+    return rows.select("postcode", "property_type", F.round("gross_yield_pct", 6).alias("gross_yield_pct"), "n_sold", "n_rented").orderBy(F.desc("gross_yield_pct"), "postcode", "property_type").limit(10)
+
+
+@_query(f"WITH {_LEGS} SELECT postcode, property_type, month, n_sold FROM s ORDER BY month DESC, n_sold DESC, postcode, property_type LIMIT 20")
+def latest_largest(spark: SparkSession, d: str) -> DataFrame:
+    mart = marts.legs(_sales(spark, d), ("postcode", "property_type", "month"), "price", *_S)
+    return mart.select("postcode", "property_type", "month", "n_sold").orderBy(F.desc("month"), F.desc("n_sold"), "postcode", "property_type").limit(20)
+
+
+@_query(f"""WITH {_SALES}, a AS (SELECT postcode || '|' || property_type AS series, count(*) AS n FROM sales GROUP BY ALL) SELECT series, split_part(series, '|', 1) AS postcode, split_part(series, '|', 2) AS property_type, n FROM a""")
+def series_ids(spark: SparkSession, d: str) -> DataFrame:
+    by = _sales(spark, d).groupBy(repair.series_id(F.col("postcode"), F.col("property_type")).alias("series")).agg(F.count("*").alias("n"))
+    return by.select("series", repair.series_key(F.col("series"), 1).alias("postcode"), repair.series_key(F.col("series"), 2).alias("property_type"), "n")
+
+
+@_query(f"""WITH {_FEATURES} SELECT 'sales' AS dataset, month, count(*) AS rows FROM sales GROUP BY month UNION ALL SELECT 'features', month, count(*) FROM feats GROUP BY month""")
+def tagged_union(spark: SparkSession, d: str) -> DataFrame:
+    count = lambda df, name: df.groupBy("month").agg(F.count("*").alias("rows")).withColumn("dataset", F.lit(name))
+    return count(_sales(spark, d), "sales").unionByName(count(_features(spark, d), "features"))
+
+
+@_query(f"""WITH {_FEATURES} SELECT postcode, property_type, month, round(0.5 * rent_lag_1 + 0.3 * rent_mean_3 + 0.2 * coalesce(rent_lag_12, rent_lag_1), 3) AS score, 'v1' AS version FROM feats WHERE month = (SELECT max(month) FROM feats)""")
+def realtime_score(spark: SparkSession, d: str) -> DataFrame:
+    """The latest month through a SQL function that takes a struct and returns one: what a served model is in SQL."""
+    spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION tessera_score(x STRUCT<rent_lag_1: DOUBLE, rent_mean_3: DOUBLE, rent_lag_12: DOUBLE>) RETURNS STRUCT<score: DOUBLE, version: STRING>
+        RETURN named_struct('score', round(0.5D * x.rent_lag_1 + 0.3D * x.rent_mean_3 + 0.2D * coalesce(x.rent_lag_12, x.rent_lag_1), 3), 'version', 'v1')""")
+    marts.latest(_features(spark, d), "month").createOrReplaceTempView("tessera_latest")
+    return spark.sql("""SELECT postcode, property_type, month, r.score, r.version FROM (SELECT *, tessera_score(named_struct('rent_lag_1', CAST(rent_lag_1 AS DOUBLE),
+        'rent_mean_3', rent_mean_3, 'rent_lag_12', CAST(rent_lag_12 AS DOUBLE))) AS r FROM tessera_latest)""")
+
+
+@_query(f"""WITH {_FEATURES}, top AS (SELECT max(month) AS m FROM feats) SELECT 'reference' AS part, count(*) AS n, min(month) AS first, max(month) AS last FROM feats, top WHERE month >= CAST(m - INTERVAL 24 MONTH AS DATE) AND month < m
+    UNION ALL SELECT 'latest', count(*), min(month), max(month) FROM feats, top WHERE month = m""")
+def reference_window(spark: SparkSession, d: str) -> DataFrame:
+    count = lambda df, name: df.agg(F.lit(name).alias("part"), F.count("*").alias("n"), F.min("month").alias("first"), F.max("month").alias("last"))
+    past, last = monitor.reference_window(_features(spark, d), "month")
+    return count(past, "reference").unionByName(count(last, "latest"))
+
+
+@_query("""SELECT max(CASE WHEN c_custkey % 5 <> 0 AND c_custkey % 3 <> 0 THEN c_acctbal END) AS max_psi FROM customer""")
+def max_monitorable(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("c_custkey")
+    rows = _read(spark, d, "customer").select(F.when(k % 5 == 0, "month_of_year").otherwise("f").alias("feature"), F.when(k % 3 == 0, float("nan")).otherwise(F.col("c_acctbal")).alias("psi"))
+    return monitor.max_monitorable(rows)
+
+
+# Corpus checks, answers, runs and replies
+
+
+@_query("""SELECT 'dimension' AS "check", count(*) AS n FROM embeddings WHERE embedding IS NULL OR len(embedding) <> 64
+    UNION ALL SELECT 'text', count(*) FROM documents WHERE trim(coalesce(text, '')) = '' UNION ALL SELECT 'grain', count(*) FROM (SELECT conv_id, turn FROM conversations GROUP BY ALL HAVING count(*) > 1)
+    UNION ALL SELECT 'labels', count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents) UNION ALL SELECT 'floor', CAST(count(*) < 1000 AS INTEGER) FROM documents""")
+def corpus_checks(spark: SparkSession, d: str) -> DataFrame:
+    docs, labels = _read(spark, d, "documents"), _read(spark, d, "labels")
+    found = {
+        "dimension": quality.wrong_shape(_read(spark, d, "embeddings"), "embedding", 64), "text": quality.blank(docs, "text"), "grain": quality.duplicate_keys(_read(spark, d, "conversations"), ["conv_id", "turn"]),
+        "labels": labels.join(docs.select("doc_id"), "doc_id", "left_anti"), "floor": quality.too_few(docs, 1000),
+    }
+    out = [df.agg(F.lit(name).alias("check"), F.count("*").alias("n")) for name, df in found.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3]).unionByName(out[4])
+
+
+@_query("""SELECT CAST(doc_id AS VARCHAR) AS question_id, coalesce(text, '') AS answer, (doc_id % 11) / 13.0::DOUBLE AS groundedness, CAST(NULL AS DOUBLE) AS insight, '["a' || CAST(doc_id AS VARCHAR) || '"]' AS chunk_keys_json,
+    CASE WHEN doc_id % 3 = 0 THEN 0 ELSE CAST(doc_id % 7 AS INTEGER) END AS hops FROM documents""")
+def golden_answers(spark: SparkSession, d: str) -> DataFrame:
+    key = F.col("doc_id").cast("string")
+    rows = _read(spark, d, "documents").select(
+        key.alias("question_id"), F.col("text").alias("answer"), F.create_map(F.lit("groundedness"), ((F.col("doc_id") % 11) / 13.0).cast("double")).alias("scores"),
+        F.array(F.concat(F.lit("a"), key), F.lit(None).cast("string")).alias("chunk_keys"), F.when(F.col("doc_id") % 3 != 0, (F.col("doc_id") % 7).cast("int")).alias("hops"),
+    )
+    return corpus.golden_answer_rows(rows).select("question_id", "answer", "groundedness", "insight", "chunk_keys_json", "hops")
+
+
+@_query("""SELECT 'run' || CAST(item_id AS VARCHAR) AS run_id, CASE WHEN item_id % 2 = 0 THEN 'judge' ELSE 'judge_run' END AS kind, '{"a":"1","b":"' || CAST(item_id AS VARCHAR) || '"}' AS payload_json FROM benchmark""")
+def eval_runs(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("item_id").cast("string")
+    name = F.when(F.col("item_id") % 2 == 0, "out/judge-2026.json").otherwise("judge_run.json")
+    rows = _read(spark, d, "benchmark").select(name.alias("file_name"), F.concat(F.lit("run"), n).alias("run_id"), F.create_map(F.lit("b"), n, F.lit("a"), F.lit("1")).alias("payload"))
+    return corpus.eval_run_rows(rows).select("run_id", "kind", "payload_json")
+
+
+@_query("""WITH h AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN NULL ELSE (turn * 7 % 5) / 4.0::DOUBLE END AS score FROM conversations)
+    SELECT conv_id, turn, score FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY coalesce(score, 0) DESC, turn) AS k FROM h) WHERE k = 1""")
+def best_copies(spark: SparkSession, d: str) -> DataFrame:
+    turn = F.col("turn")
+    rows = _read(spark, d, "conversations").select("conv_id", "turn", F.when(turn % 3 != 0, (turn * 7 % 5) / 4.0).cast("double").alias("score"))
+    return retrieval.best_copy(rows, "conv_id")
+
+
+@_query("""SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN abs(o_totalprice - 100000) <= 5000 WHEN 1 THEN o_orderpriority IN ('1-URGENT', '2-HIGH') ELSE o_orderkey % 4 < 2 END AS passed FROM orders""")
+def grade_dispatch(spark: SparkSession, d: str) -> DataFrame:
+    k, o = F.col("o_orderkey") % 3, _read(spark, d, "orders")
+    kind = F.when(k == 0, "value").when(k == 1, "topk").otherwise("refusal")
+    refused = F.when(F.col("o_orderkey") % 4 < 2, "That is not available.").otherwise("It is here.")
+    said = F.when(k == 0, F.concat(F.lit("$"), F.format_number("o_totalprice", 2))).when(k == 1, F.concat(F.lit("is "), "o_orderpriority", F.lit("."))).otherwise(refused)
+    keys = F.array(F.lit("1-URGENT"), F.lit("2-HIGH"))
+    return o.select("o_orderkey", text.grade(kind, said, F.lit(100000.0), keys, 1).alias("passed"))
+
+
+@_query("""SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 0.25 WHEN 1 THEN 1 WHEN 2 THEN 0 END::DOUBLE AS score FROM customer""")
+def verdict_scores(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("c_custkey") % 4
+    reply = F.when(k == 0, 'Well: {"score": "0.25"} so.').when(k == 1, '```{"score": 7}```').when(k == 2, '{"score": -1}').otherwise("no object")
+    return _read(spark, d, "customer").select("c_custkey", text.clamp_score(repair.safe_double(text.verdict_json(reply, "score string")["score"])).alias("score"))
+
+
+@_query("""SELECT conv_id, turn, '[conversation ' || CAST(conv_id AS VARCHAR) || ' @ ' || lpad(CAST(turn // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(turn % 60 AS VARCHAR), 2, '0') || '] (channel: ' || role || ')' || chr(10) || text AS chunk FROM conversations""")
+def chunk_format(spark: SparkSession, d: str) -> DataFrame:
+    title = F.concat(F.lit("conversation "), F.col("conv_id").cast("string"))
+    return _read(spark, d, "conversations").select("conv_id", "turn", text.format_chunk(title, repair.clock(F.col("turn").cast("string")), F.col("role"), F.col("text")).alias("chunk"))
+
+
+@_query("""SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN text WHEN turn % 3 = 1 THEN text || '.' ELSE '' END AS message FROM conversations""")
+def message_texts(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("turn") % 3
+    part = lambda kind, body: F.struct(F.lit(kind).alias("type"), body.alias("text"))
+    parts = F.to_json(F.array(part("text", F.col("text")), part("reasoning", F.lit("hidden")), part("text", F.lit("."))))
+    return _read(spark, d, "conversations").select("conv_id", "turn", text.message_text(F.when(k == 0, F.col("text")).when(k == 1, parts)).alias("message"))
+
+
+@_query("""SELECT item_id, CASE WHEN item_id % 2 = 0 THEN w[1] || '|' || w[2] || '|' || w[3] ELSE text END AS questions FROM (SELECT item_id, text, string_split(replace(text, chr(10), ' '), ' ') AS w FROM benchmark)""")
+def split_questions(spark: SparkSession, d: str) -> DataFrame:
+    w = F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")
+    reply = F.when(F.col("item_id") % 2 == 0, F.concat(F.lit("- "), w[0], F.lit("\n\n • "), w[1], F.lit("\n"), w[2], F.lit("\n- more"))).otherwise(" \n-")
+    return _read(spark, d, "benchmark").select("item_id", F.array_join(text.sub_questions(reply, F.col("text")), "|").alias("questions"))
+
+
+_CONTENDERS = {"whole": "embedding", "head": "slice(embedding, 1, 16)", "tail": "slice(embedding, 17, 48)"}
+
+
+def _contender_sql(name: str, column: str) -> str:
+    knn = _IR.replace("e::DOUBLE[]", "e::DOUBLE[]").replace("SELECT vec_id AS qid, embedding AS e FROM embeddings", "SELECT vec_id AS qid, embedding AS e FROM emb").replace("FROM q, embeddings WHERE", "FROM q, emb WHERE")
+    return f"SELECT '{name}' AS contender, n, recall, mrr, ndcg FROM (WITH emb AS (SELECT vec_id, label, {column} AS embedding FROM embeddings), {knn} SELECT count(*) AS n, round(avg(recall), 6) AS recall, round(avg(mrr)::DOUBLE, 6) AS mrr, round(avg(ndcg), 6) AS ndcg FROM m)"
+
+
+@_query(" UNION ALL ".join(_contender_sql(n, c.replace("slice(embedding, 1, 16)", "embedding[1:16]").replace("slice(embedding, 17, 48)", "embedding[17:64]")) for n, c in _CONTENDERS.items()))
+def retrieval_contenders(spark: SparkSession, d: str) -> DataFrame:
+    e = _read(spark, d, "embeddings")
+    mark, totals = _relevant(spark, d)
+    out = None
+    for name, column in _CONTENDERS.items():
+        v = e.select("vec_id", F.expr(column).alias("v"))
+        asked = v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("qid"), "v")
+        one = retrieval.contenders(asked, {name: (v, "v")}, mark, totals, 10, "qid", "vec_id")
+        out = one if out is None else out.unionByName(one)
+    return out.select("contender", "n", *[F.round(c, 6).alias(c) for c in ("recall", "mrr", "ndcg")])
+
+
 # Streaming
 
 
 @_query("SELECT event_id, event_type, value FROM events")
 def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
-    import tempfile
-
     from tessera.streaming.ingest import ingest
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tessera-stream-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        import tempfile
+
+        base = "file://" + tempfile.mkdtemp(prefix="tessera-stream-")
     at = f"{base}/stream-{spark.sparkContext.applicationId}-{abs(hash(d))}"
     ingest(spark, f"{d}/events.parquet", f"{at}/bronze", f"{at}/checkpoint")
     return spark.read.parquet(f"{at}/bronze").select("event_id", "event_type", "value")

@@ -28,7 +28,7 @@ def test_checks_raise_once_with_all_names(spark):
 
 
 def test_versions_ties_and_foreign_files(spark):
-    rows = [("/a/m=1_0000000a.parquet", ts("2026-01-01"), "old"), ("/a/m=1_0000000b.parquet", ts("2026-01-01"), "new"), ("/a/m=1_0000000b.parquet", ts("2026-01-01"), "new2"), ("/a/nswgov_df.csv", ts("2027-01-01"), "csv")]
+    rows = [("/a/m=1_0000000a.parquet", ts("2026-01-01"), "old"), ("/a/m=1_0000000b.parquet", ts("2026-01-01"), "new"), ("/a/m=1_0000000b.parquet", ts("2026-01-01"), "new2"), ("/a/other.csv", ts("2027-01-01"), "csv")]
     df = spark.createDataFrame(rows, "_source_file string, _ingested_at timestamp, marker string")
     assert {r.marker for r in versions.resolve_versions(df).collect()} == {"new", "new2"}
 
@@ -243,3 +243,95 @@ def test_contexts_and_boosting_use_the_defaults(spark, tmp_path, monkeypatch):
         monkeypatch.setattr(model, "score", lambda fitted, test, *a: test.select("postcode", "property_type", "month", "median_weekly_rent").withColumn("predicted_weekly_rent", F.lit(0.0)))
         catalogue.queries()["gbt_score"](spark, sf)
         assert seen == [(4, {})]
+
+
+def test_top_k_equals_brute_force(spark, monkeypatch):
+    import math
+    import random
+
+    rng = random.Random(3)
+    monkeypatch.setattr(retrieval, "BLOCK", 7)
+    monkeypatch.setattr(retrieval, "ASKED", 3)
+    rows = [(i, [rng.choice([-1.0, 0.0, 1.0, 0.5]) for _ in range(4)]) for i in range(40)] + [(40, None), (41, [0.0] * 4), (42, [1.0, 2.0]), (43, [1.0, None, 0.0, 0.0])]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    q = v.where("vec_id % 5 = 0").select(F.col("vec_id").alias("qid"), "embedding")
+
+    def cos(a, b):
+        size = math.sqrt(sum(x * x for x in a)) * math.sqrt(sum(x * x for x in b))
+        return round(sum(x * y for x, y in zip(a, b, strict=True)) / size, 12) if size else None
+
+    good = [(i, x) for i, x in rows if x and None not in x and any(x)]
+    want = {}
+    for i, x in good:
+        if i % 5 == 0:
+            want[i] = [j for _, j in sorted((-cos(x, y), j) for j, y in good if j != i and len(y) == len(x))[:3]]
+    for most in (10**9, 0):
+        monkeypatch.setattr(retrieval, "MAX_NUMBERS", most)
+        got = {}
+        for r in sorted(retrieval.top_k(q, v, 3, "qid", "vec_id", exclude_self=True).collect(), key=lambda r: r["rank"]):
+            got.setdefault(r.qid, []).append(r.vec_id)
+        assert got == {k: x for k, x in want.items() if x}
+    plan = lambda n: retrieval.top_k(v.limit(n).select(F.col("vec_id").alias("qid"), "embedding"), v, 3, "qid", "vec_id")._jdf.queryExecution().analyzed().toString().count("Join")
+    assert plan(1) == plan(40) == 1
+
+
+def test_ir_scores_equal_those_of_arrays(spark):
+    ranked = spark.createDataFrame([(1, [5, 6, 7], [6, 9]), (2, [1], [2]), (3, [4], [])], "case_id long, ranked array<long>, relevant array<long>")
+    hits = ranked.select("case_id", "relevant", F.posexplode("ranked").alias("p", "x")).select("case_id", (F.col("p") + 1).alias("rank"), F.array_contains("relevant", F.col("x")).alias("relevant"))
+    a = {r.case_id: (r.recall, r.mrr, r.ndcg) for r in retrieval.ir_metrics(ranked, 2).collect()}
+    b = {r.case_id: (r.recall, r.mrr, r.ndcg) for r in retrieval.ir_scores(hits, ranked.select("case_id", F.size("relevant").alias("n")), 2).collect()}
+    assert a == b and a[1][0] == 0.5
+
+
+def test_push_sends_once_and_raises_on_refused_keys(spark, tmp_path):
+    v = spark.createDataFrame([(f"k{i}", "s") for i in range(5)], "chunk_key string, text_sha string")
+    state = spark.createDataFrame([("idx", "k0", "s"), ("other", "k1", "s")], "index_name string, chunk_key string, text_sha string")
+    with pytest.raises(retrieval.PushFailed, match="1 keys, among them k3"):
+        retrieval.push(v, state, "idx", lambda rows: [r["chunk_key"] for r in rows if r["chunk_key"] == "k3"], str(tmp_path / "a"), 2)
+    new = retrieval.push(v, state, "idx", lambda rows: [] if len(rows) <= 2 else ["too many"], str(tmp_path / "b"), 2)
+    assert new.where("index_name = 'idx'").count() == 5 and spark.read.parquet(str(tmp_path / "b")).count() == 4
+    assert retrieval.to_sync(v, new, "idx").count() == 0
+
+
+def test_embed_pending_adds_what_is_missing(spark):
+    chunks = spark.createDataFrame([("a", "1", "x"), ("b", "1", "y"), ("b", "2", "z")], "chunk_key string, text_sha string, embedding_text string")
+    cache = spark.createDataFrame([("a", "1", [1.0])], "chunk_key string, text_sha string, embedding array<float>")
+    out = {(r.chunk_key, r.text_sha): r.embedding for r in retrieval.embed_pending(chunks, cache, retrieval.hash_embedder(1)).collect()}
+    assert len(out) == 3 and out["a", "1"] == [1.0]
+
+
+def test_best_copy_breaks_ties(spark):
+    hits = spark.createDataFrame([("a", 0.5, "z"), ("a", 0.5, "b"), ("c", None, "q")], "k string, score double, t string")
+    assert [(r.k, r.t) for r in retrieval.best_copy(hits, "k").collect()] == [("a", "b"), ("c", "q")]
+
+
+def test_batch_score_is_idempotent(spark, tmp_path):
+    df = spark.createDataFrame([(m, float(i), 2.0 * i) for m in ("2020-01-01", "2020-02-01") for i in range(30)], "month string, x double, y double").withColumn("month", F.to_date("month"))
+    fitted = model.fit(df, [], ["x"], "y", rounds=2)
+    for _ in range(2):
+        model.batch_score(fitted, df, ["x"], "month", 3, F.lit("2026-01-01").cast("timestamp"), str(tmp_path / "p"))
+    out = spark.read.parquet(str(tmp_path / "p"))
+    assert out.count() == 30 and {(r.month.month, r.model_version) for r in out.collect()} == {(2, 3)}
+
+
+def test_tables_from_queries(spark):
+    from tessera.sources import sinks
+
+    sinks.create_table(spark, "tq", {"a": ("INT", "it's a"), "b": ("STRING", "")}, "c")
+    sinks.insert_select(spark, "tq", "SELECT 'x' AS b, 1 AS a", ["b", "a"])
+    sinks.insert_select(spark, "tq", "SELECT 2, 'y'")
+    sinks.comment(spark, "tq", "it's new")
+    info = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED tq").collect()}
+    assert sorted(map(tuple, spark.table("tq").collect())) == [(1, "x"), (2, "y")] and info["Comment"] == "it's new"
+    for n in (3, 4):
+        sinks.create_as(spark, "tq2", f"SELECT a + {n} AS a FROM tq")
+    assert sorted(r.a for r in spark.table("tq2").collect()) == [5, 6] and "Scan" in sqlrun.explain(spark, "SELECT * FROM tq2")
+    spark.sql("DROP TABLE tq")
+    spark.sql("DROP TABLE tq2")
+
+
+def test_recent_dates(spark):
+    from tessera.functions.metrics import recent
+
+    df = spark.createDataFrame([(dt.date(2026, 1, 1),), (dt.date(2025, 1, 1),)], "d date")
+    assert [r.d.year for r in df.where(recent(F.col("d"), 365, F.lit("2026-01-02").cast("date"))).collect()] == [2026]
