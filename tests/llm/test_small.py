@@ -249,18 +249,51 @@ def test_pii_base_equals_patterns(spark):
         want = brute_spans(texts[r.doc_id])
         assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest(), texts[r.doc_id][:200]
         assert set(filter(None, want.split(","))) <= set(r.spans.split(","))
+        assert len(r.spans.split(",")) * bool(r.spans) == want.count(":") // 2 + r.n_further
         assert r.n_email == want.count("email:") and r.n_card == want.count("card:")
 
 
 def test_em_prefers_the_better_labeler():
-    post = pii.reliabilities([((1, 1, 1), 50.0), ((0, 0, 0), 50.0), ((0, 0, 1), 5.0), ((1, 1, 0), 5.0)])
-    assert post[0] > 0.9 and post[1] < 0.1 and post[2] < 0.5 < post[3]
+    post, right = pii.reliabilities([((1, 1, 1), 50.0), ((0, 0, 0), 50.0), ((0, 0, 1), 5.0), ((1, 1, 0), 5.0), ((1, None, None), 1.0)], (0.8, 0.8, 0.8))
+    assert post[0] > 0.9 and post[1] < 0.1 and post[2] < 0.5 < post[3] and right[0] > right[2]
+
+
+def test_em_finds_a_bad_labeler():
+    """The third labeler is assumed as good as the others, but votes at random."""
+    _, right = pii.reliabilities([((1, 1, 1), 40.0), ((1, 1, 0), 40.0), ((0, 0, 1), 40.0), ((0, 0, 0), 40.0)], (0.8, 0.8, 0.8))
+    assert right[2] < 0.75 < 0.85 < right[0]
+
+
+def test_further_spans_against_planted_ones(spark):
+    """Precision and recall of what the method adds, over kinds, contexts and decoys."""
+    rng = random.Random(43)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    key = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(64))
+    area = lambda: rng.choice("23456789") + rng.choice("02345678") + rng.choice("23456789")
+    number = lambda: f"({area()}) {rng.choice('23456789')}{digits(2)}-{digits(4)}"
+    planted = [("secret", lambda: 'token = "', key), ("secret", lambda: "api_key: ", lambda: "AKIA" + "".join(rng.choice("ABCDEF0123456789") for _ in range(16))), ("email", lambda: "contact ", lambda: f"jane{digits(2)} (at) example (dot) com"), ("email", lambda: "mail ", lambda: f"bob{digits(2)}[at]mail[dot]example[dot]org"), ("phone", lambda: "call ", number), ("phone", lambda: "tel ", number)]
+    decoys = [lambda: "sha256: " + key(), lambda: "commit " + key()[:40], lambda: f"order no 1{digits(2)}-{digits(3)}-{digits(4)}", lambda: "x" * 30, lambda: f"ref 0{digits(2)} 1{digits(2)} {digits(4)}", lambda: "isbn 978" + digits(10), lambda: "300.1.2.999", lambda: "4111 1111 1111 1112"]
+    texts, want = [], []
+    for i in range(400):
+        if i % 2:
+            kind, before, make = planted[i // 2 % len(planted)]
+            head, body = "é word " + before(), make()
+            texts.append(head + body + ' and "more')
+            want.append(f"{kind}:{len(head)}:{len(head) + len(body)}")
+        else:
+            texts.append("words " + decoys[i // 2 % len(decoys)]() + " end")
+            want.append("")
+    texts += [f"plain mail to u{i}@mail.example.com, +1 (212) 555-{1000 + i} and 10.0.0.{i}" for i in range(100)]
+    got = {r.doc_id: r for r in pii.find_personal(docs(spark, texts)).collect()}
+    hit = sum(w in got[i].spans.split(",") for i, w in enumerate(want) if w)
+    added = sum(got[i].n_further for i in range(len(texts)))
+    assert hit >= 0.9 * sum(map(bool, want)) and hit >= 0.9 * added, (hit, added)
 
 
 def test_pii_adds_obfuscated_mail(spark):
     texts = [f"mail to user{i}@mail.example.com now" for i in range(50)] + ["contact mail: jane (at) example (dot) com please", "nothing here 1.2.3.4.5"]
     r = {x.doc_id: x for x in pii.find_personal(docs(spark, texts)).collect()}
-    assert r[50].n_email == 0 and r[50].spans.startswith("email:")
+    assert r[50].n_email == 0 and r[50].spans.startswith("email:") and r[50].n_further == 1 and r[51].n_further == 0
 
 
 # 5
@@ -450,6 +483,7 @@ def brute_kneser_ney(texts, order):
 def test_perplexities_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(quality, "PIECE", 40)
     monkeypatch.setattr(quality, "BLOCK", 90)
+    monkeypatch.setattr(quality, "HELD", 50)
     texts = ["the cat sat on the mat. the cat", "a dog sat on the log", "Größe, die zählt 😀", None, "", "the cat sat on a log", "zzzqqq \x02\x02 é", "the dog" * 30]
     la = spark.createDataFrame([(0, 1, 0), (1, 1, 0), (2, 1, 0), (1, 1, 0), (5, 0, 0)], LABELS)
     p, alphabet = brute_kneser_ney([t for t in texts[:3]], quality.ORDER)
