@@ -450,6 +450,16 @@ def test_licence_texts_and_notices(spark):
     assert [got[i].license_id for i in range(5)] == ["MIT", None, None, None, "MIT"] and [got[i].notice_ids for i in (1, 3)] == [["MIT"], []]
 
 
+def test_licences_of_a_folder(spark, tmp_path):
+    long = "\n\n".join(f"{i}. Clause {i} of the licence grants the commercial and non-commercial use of work {i}." for i in range(200))
+    (tmp_path / "Long-1.0.txt").write_text("Copyright 2020 Somebody\n" + long)
+    (tmp_path / "Other-2.0").write_text(long + "\nend")
+    known = license_scan.catalogue(spark, str(tmp_path))
+    texts = [long.upper().replace("LICENCE", "License"), long + " END.", long[:-30], license_scan.TEXTS["BSD-3-Clause"].replace("1. ", "* "), license_scan.TEXTS["Zlib"]]
+    got = {r.doc_id: r.license_id for r in license_scan.scan(docs(spark, texts), known).collect()}
+    assert got == {0: "Long-1.0", 1: "Other-2.0", 2: None, 3: None, 4: "Zlib"}
+
+
 # 9
 
 
