@@ -83,12 +83,18 @@ SPELLINGS = (
 COPYRIGHT = r"(?m)^[\x20\t*#/]*+(?:copyright\b|\(c\)|©)[^\n]*$"
 
 
-def with_lines(df: DataFrame, text: Column) -> DataFrame:
+def with_lines(df: DataFrame, text: Column, many: bool = True) -> DataFrame:
     """df with lines, the canonical form of a text, its lines kept apart.
 
-    Each step is a projection of its own, and runs a pattern only where the text holds
-    what all of its matches hold.
+    For many texts each step is a projection of its own, and runs a pattern only where the
+    text holds what all of its matches hold. For few it is one expression, as the planner
+    would put the steps into one and name each of them several times.
     """
+    if not many:
+        lines = F.regexp_replace(F.lower(text), COPYRIGHT, "")
+        for pattern, to, _ in SPELLINGS:
+            lines = F.regexp_replace(lines, pattern, to)
+        return df.withColumn("lines", F.regexp_replace(lines, r"[^\p{L}\p{N}\n]+", " "))
     out, x = df.withColumn("lines", F.lower(text)), F.col("lines")
     marked = x.contains("copyright") | x.contains("(c)") | x.contains("©")
     out = out.withColumn("lines", F.when(marked, F.regexp_replace(x, COPYRIGHT, "")).otherwise(x))
@@ -113,7 +119,7 @@ def catalogue(spark: SparkSession, folder: str | None = None) -> DataFrame:
 
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     """One row per document: doc_id, text_digest, license_id, notice_ids (sorted), n_notices."""
-    known = with_lines(known, F.col("text")).select("id", canonical(F.col("lines")).alias("t")).where("t <> ''")
+    known = with_lines(known, F.col("text"), many=False).select("id", canonical(F.col("lines")).alias("t")).where("t <> ''")
     known = materialise(known, "known")  # else each use below would generate the whole chain again
     known = known.groupBy(F.sha2("t", 256).alias("digest")).agg(F.min("id").alias("id"), F.min(F.length("t")).alias("len"))
     lengths = known.agg(F.count("*").alias("n"), F.collect_set("len").alias("len")).first()
