@@ -3,6 +3,9 @@
 Each round every vertex takes the least label among its neighbours (a partial minimum
 before the shuffle, so hubs do not gather their links in one task), then the label of
 its label. Rounds are written to the shared folder; only a count comes to the driver.
+
+Defined results: links with a null end are left out; loops and repeated links do no harm;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ def components(links: DataFrame) -> DataFrame:
 
     Loops and repeated links do no harm; an empty table gives no rows.
     """
+    links = links.where("a IS NOT NULL AND b IS NOT NULL")
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = materialise(both.where("a <> b").distinct(), "links")
     now = materialise(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels")

@@ -635,3 +635,9 @@ def test_one_id_on_two_texts_does_not_join_components(spark):
     a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
     got = rows(simhash.keep_one(docs(spark, [a, b, a + " x", b + " x"], [1, 1, 2, 3])).select("doc_id", "text"))
     assert sorted(got) == sorted([(1, a), (1, b)])
+
+
+def test_no_id_stands_for_null(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    got = sorted(rows(simhash.keep_one(docs(spark, [a, b, a, a + " x"], [-1, None, None, 3])).select("doc_id", "text")), key=repr)
+    assert got == [(-1, a), (None, b)]
