@@ -335,3 +335,28 @@ def test_recent_dates(spark):
 
     df = spark.createDataFrame([(dt.date(2026, 1, 1),), (dt.date(2025, 1, 1),)], "d date")
     assert [r.d.year for r in df.where(recent(F.col("d"), 365, F.lit("2026-01-02").cast("date"))).collect()] == [2026]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from tessera import cli
+
+    assert cli.main(["list"]) == 0 and "monthly_mart_orders" in capsys.readouterr().out
+    assert cli.main(["run", "no_such", "x"]) == 2
+    with pytest.raises(SystemExit) as e:
+        cli.main(["parity"])
+    assert e.value.code == 2
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.range(5).selectExpr("id", "id * 2 AS v").write.parquet(a)
+    spark.range(5).selectExpr("id", "id * 2 + int(id = 3) AS v").write.parquet(b)
+    assert cli.main(["parity", a, a, "--keys", "id", "--columns", "v"], spark) == 0
+    assert cli.main(["parity", a, b, "--keys", "id", "--columns", "v"], spark) == 1
+    f = tmp_path / "q.sql"
+    f.write_text("SELECT 1 AS a;\n-- a comment\n;\nSELECT 'x', 2;\n")
+    capsys.readouterr()
+    assert cli.main(["sql", str(f)], spark) == 0 and capsys.readouterr().out.split() == ["1", "x", "2"]
+
+
+def test_question_set(spark):
+    from tessera.plans.questions import question_set
+
+    assert question_set(spark).groupBy("tier").count().where("count = 6").count() == 2 and question_set(spark, "narrow").count() == 6
