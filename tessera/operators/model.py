@@ -66,7 +66,10 @@ def challenger_wins(challenger: float, champion: float | None, margin: float = M
 
 
 class Registry:
-    """Versions and their errors in a JSON file, with a champion and a challenger alias."""
+    """Versions and their errors in a JSON file of the driver, with a champion and a challenger alias.
+
+    One driver at a time registers: a lock file stands beside it, and a second one fails.
+    """
 
     def __init__(self, path: str):
         self.path = Path(path)
@@ -76,6 +79,14 @@ class Registry:
 
     def register(self, name: str, mae: float) -> tuple[int, bool]:
         """The new version's number, and whether it became champion."""
+        lock = self.path.with_suffix(".lock")
+        lock.open("x").close()
+        try:
+            return self._add(name, mae)
+        finally:
+            lock.unlink()
+
+    def _add(self, name: str, mae: float) -> tuple[int, bool]:
         data = self.read()
         version = len(data["versions"]) + 1
         data["versions"].append({"version": version, "name": name, "mae": mae})

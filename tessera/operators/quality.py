@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -122,6 +122,12 @@ def run_checks(checks: dict[str, DataFrame]) -> dict[str, int]:
     return found
 
 
+def watch(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """df and an observation that has, once some action has read all of df, the number of rows that do not meet each rule: no job of its own."""
+    seen = Observation()
+    return df.observe(seen, *[F.count_if(~F.coalesce(r, F.lit(False))).alias(k) for k, r in rules.items()]), seen
+
+
 def expect(df: DataFrame, rules: dict[str, Column], mode: str = "warn") -> tuple[DataFrame, dict[str, int]]:
     """Counts rows that do not meet each rule, in one pass. warn keeps them, drop removes them, fail raises. NULL does not meet a rule."""
     if mode not in ("warn", "drop", "fail"):

@@ -6,9 +6,9 @@ import inspect
 from collections.abc import Callable
 from graphlib import TopologicalSorter
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
-from tessera.operators.quality import expect
+from tessera.operators.quality import expect, watch
 
 
 class Datasets:
@@ -44,13 +44,17 @@ class Datasets:
                 todo += graph[n]
         return [n for n in TopologicalSorter(graph).static_order() if n in self.made]
 
-    def run(self, spark: SparkSession, inputs: dict[str, DataFrame], wanted: list[str] | None = None) -> tuple[dict[str, DataFrame], dict[str, dict[str, int]]]:
-        """All datasets (lazy), and the counts of rows that broke expectations."""
+    def run(self, spark: SparkSession, inputs: dict[str, DataFrame], wanted: list[str] | None = None) -> tuple[dict[str, DataFrame], dict[str, dict[str, int] | Observation]]:
+        """All datasets (lazy), and the counts of rows that broke expectations.
+
+        Rules that only warn are observed: their counts are there once the dataset has been
+        read, as ``broken[name].get``. Those that drop or fail run at once.
+        """
         done, broken = dict(inputs), {}
         for n in self.order(wanted):
             df = self.made[n](**{p: done[p] for p in self.needs(n)})
             if n in self.rules:
                 rules, mode = self.rules[n]
-                df, broken[n] = expect(df, rules(), mode)
+                df, broken[n] = watch(df, rules()) if mode == "warn" else expect(df, rules(), mode)
             done[n] = df
         return done, broken

@@ -54,9 +54,7 @@ def create_table(spark: SparkSession, table: str, columns: dict[str, tuple[str,
 def row_filter(spark: SparkSession, name: str, column: str, kind: str, condition: str, df: DataFrame) -> DataFrame:
     """Rows for which a SQL function of one column holds; the function stays registered under its name."""
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(x {kind}) RETURNS BOOLEAN RETURN {condition}")
-    view = f"_filtered_{name}"
-    df.createOrReplaceTempView(view)
-    return spark.sql(f"SELECT * FROM {view} WHERE {name}({column})")
+    return spark.sql(f"SELECT * FROM {{rows}} WHERE {name}({column})", rows=df)
 
 
 class Versions:

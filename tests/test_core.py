@@ -360,3 +360,27 @@ def test_question_set(spark):
     from tessera.plans.questions import question_set
 
     assert question_set(spark).groupBy("tier").count().where("count = 6").count() == 2 and question_set(spark, "narrow").count() == 6
+
+
+def test_warnings_are_counted_without_a_job(spark):
+    d = Datasets()
+
+    @d.dataset(expectations=lambda: {"small": F.col("id") < 3})
+    def silver(bronze):
+        return bronze
+
+    made, broken = d.run(spark, {"bronze": spark.range(5)})
+    assert made["silver"].count() == 5 and broken["silver"].get == {"small": 2}
+
+
+def test_registry_takes_one_driver_at_a_time(tmp_path):
+    (tmp_path / "r.lock").touch()
+    with pytest.raises(FileExistsError):
+        model.Registry(str(tmp_path / "r.json")).register("a", 1.0)
+
+
+def test_row_filter_leaves_no_view(spark):
+    from tessera.sources.sinks import row_filter
+
+    out = row_filter(spark, "tessera_small", "id", "bigint", "x < 2", spark.range(5))
+    assert out.count() == 2 and not [t for t in spark.catalog.listTables() if "filtered" in t.name]
