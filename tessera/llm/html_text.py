@@ -7,9 +7,8 @@ deleted; MANY_PAGES are enough on a host of any size. No markup has to name it.
 
 Never template are: an element around an article, or one inside it with half or more of
 its text, as that is what the page is about even if copies of it recur; the page's only
-text; and a paragraph or other text block inside an article, which may be a quotation,
-but for short ones (EDGE_WORDS) that recur and stand in an unbroken row at the article's
-beginning or end, a quarter of its text at most: notices and sign-offs.
+text; and a paragraph, heading or other text block inside an article, at its ends too, as
+articles may have sentences in common.
 
 What the markup itself calls a menu, header, footer, sidebar, notice, advert, form,
 script, style or comment goes too; inside an article only by names that mean nothing
@@ -46,8 +45,6 @@ from tessera.llm.url_filter import host_of
 MIN_PAGES = 3
 MIN_SHARE = 0.05
 MANY_PAGES = 20
-#: A row of recurring text blocks at an end of an article: words of each, and their share of its text.
-EDGE_WORDS, EDGE_SHARE = 40, 0.25
 MAX_BROADCAST = 200_000
 
 # Element names.
@@ -234,8 +231,8 @@ def subtrees(root: Node) -> set[int]:
     while todo:
         node, most, inside = todo.pop()
         bulk = inside and 0 < most <= 2 * node.size or 0 < whole <= node.size
-        quoted = inside and node.tag in TEXT_BLOCKS and not 0 < node.size <= 8 * EDGE_WORDS
-        if not node.framed and not bulk and not quoted and node.tag not in ("", "html", "head", "body", "h1") and node.children and node.tag in BLOCK:
+        quoted = inside and node.tag in TEXT_BLOCKS
+        if not node.framed and not bulk and not quoted and node.tag not in ("", "html", "head", "body") and node.children and node.tag in BLOCK:
             out.add(node.hash)
         if node.tag in ("article", "main") and not (inside and node.tag == "main"):
             most, inside = node.size, True
@@ -262,55 +259,38 @@ def _headings(header: Node) -> list[Node]:
     while todo:
         x = todo.pop()
         if isinstance(x, Node):
-            if len(x.tag) == 2 and x.tag[0] == "h" and x.tag[1] in "123456":
+            if x.tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
                 out.append(x)
             elif x.tag not in DROPPED:
                 todo += reversed(x.children)
     return out
 
 
-def _blocks(root: Node, templates: frozenset) -> list[tuple[str, bool]]:
-    """The blocks of one root in order, and whether each is a text block of an article that recurs."""
+def _blocks(root: Node, templates: frozenset) -> list[str]:
+    """The blocks of one root in order."""
     framed = root.tag in ("article", "main")
-    blocks: list[tuple[list[str], bool]] = [([], False)]
-    todo: list = [(root, False)]
+    blocks: list[list[str]] = [[]]
+    todo: list = [root]
     while todo:
-        x, recurs = todo.pop()
+        x = todo.pop()
         if x is None:
-            blocks.append(([], recurs))
+            blocks.append([])
         elif isinstance(x, str):
-            blocks[-1][0].append(x)
+            blocks[-1].append(x)
         elif framed and x.tag == "header" and x is not root:
-            todo += [(h, recurs) for h in reversed(_headings(x))]
-        elif not dropped(x, framed):
-            known = x.hash in templates and x.tag not in ("", "html", "body", "article", "main")
-            if known and not (framed and x.tag in TEXT_BLOCKS):
-                continue
+            todo += reversed(_headings(x))
+        elif not (dropped(x, framed) or x.hash in templates and x.tag not in ("", "html", "body", "article", "main")):
             if x.tag in BLOCK:
-                blocks.append(([], recurs or known))
-                todo.append((None, recurs))
-            todo += [(c, recurs or known) for c in reversed(x.children)]
-    return [(t, r) for b, r in blocks if (t := " ".join("".join(b).split()))]
+                blocks.append([])
+                todo.append(None)
+            todo += reversed(x.children)
+    return [t for b in blocks if (t := " ".join("".join(b).split()))]
 
 
 def main_text(root: Node, templates: frozenset) -> str:
     """The text of a digested tree without templates."""
     roots = _roots(root, "article", templates) or _roots(root, "main", templates) or [root]
-    out = []
-    for one in roots:
-        found = _blocks(one, templates)
-        size = sum(len(t) for t, _ in found)
-        first, last = 0, len(found)
-        if not all(r for _, r in found):
-            while found[first][1]:
-                first += 1
-            while found[last - 1][1]:
-                last -= 1
-        cut = [t for t, _ in found[:first] + found[last:]]
-        if sum(map(len, cut)) > EDGE_SHARE * size or any(len(t.split()) > EDGE_WORDS for t in cut):
-            first, last = 0, len(found)
-        out += [t for t, _ in found[first:last]]
-    return " ".join(out)
+    return " ".join(t for one in roots for t in _blocks(one, templates))
 
 
 def _protected(root: Node, templates: frozenset) -> frozenset:
