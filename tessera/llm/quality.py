@@ -39,19 +39,22 @@ from tessera.llm.shared import discard, materialise, prepare_workers, whole_text
 
 ORDER = 5
 QUANTILE = 0.995
-BLOCK = 32_000_000
+BLOCK = 64_000_000
 #: Characters in a piece of a block, and positions looked at together.
 PIECE = 1_000_000
 MAX_TRUSTED = 2_000_000
 #: Stands before each text.
 PAD = "\x02" * (ORDER - 1)
-LEVEL = 6
+#: How hard blocks are compressed: those that stay in their task, and those that are moved.
+STAYS, MOVES = 1, 9
+#: Answers that a task holds before it passes them on.
+HELD = 2_000_000
 PACKED = "block long, ids array<long>, langs array<string>, trusted array<boolean>, sizes array<array<int>>, pieces array<binary>"
 
 
-def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def pack(batches: Iterator[pa.RecordBatch], level: int = MOVES) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, lang, text, trusted) as blocks, one row each: columns as arrays, texts in compressed pieces."""
-    squeeze = zstandard.ZstdCompressor(level=LEVEL)
+    squeeze = zstandard.ZstdCompressor(level=level)
     fresh = lambda: ([], [], [], [], [], xxhash.xxh64())
     ids, langs, trusted, sizes, pieces, name = fresh()
     open_texts, held, total = [], 0, 0
@@ -100,6 +103,19 @@ def _mixed(cps: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _fold(columns: list[np.ndarray]) -> np.ndarray:
+    h = np.zeros(len(columns[0]), np.uint64)
+    for x in columns:
+        h = h * np.uint64(0x9E3779B97F4A7C15) + x
+    return h
+
+
+def hashed(grams: list[str]) -> np.ndarray:
+    """The hashes that positions() gives to these n-grams."""
+    x = _mixed(np.frombuffer("".join(grams).encode("utf-32-le"), "<u4")).reshape(-1, ORDER)
+    return _fold([x[:, k] for k in range(ORDER)])
+
+
 def positions(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, str]]:
     """(hashes, text numbers, starts, string) of the n-grams that end at each character, PIECE at most at a time."""
     joined = "".join(PAD + t for t in texts)
@@ -110,10 +126,8 @@ def positions(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
     for at in range(0, len(owner), PIECE):
         start = starts[at : at + PIECE]
         x = _mixed(cps[start[0] : start[-1] + ORDER])
-        h = np.zeros(len(x) - ORDER + 1, np.uint64)
-        for k in range(ORDER):
-            h = h * np.uint64(0x9E3779B97F4A7C15) + x[k : k + len(h)]
-        yield h[start - start[0]], owner[at : at + PIECE], start, joined
+        n = len(x) - ORDER + 1
+        yield _fold([x[k : k + n] for k in range(ORDER)])[start - start[0]], owner[at : at + PIECE], start, joined
 
 
 def _texts(sizes: list[int], piece: bytes) -> list[str]:
@@ -125,8 +139,8 @@ def _texts(sizes: list[int], piece: bytes) -> list[str]:
 
 
 def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks to rows (block, h, g, c): the n-grams of each, and how often its trusted documents have them."""
-    for b in batches:
+    """Documents to rows (block, g, c): the n-grams of each block, and how often its trusted documents have them."""
+    for b in pack(batches, STAYS):
         for key, trusted, sizes, pieces in zip(*(b.column(c).to_pylist() for c in ("block", "trusted", "sizes", "pieces")), strict=True):
             known, grams, counts, at = np.empty(0, np.uint64), np.empty(0, object), np.empty(0, np.int64), 0
             for size, piece in zip(sizes, pieces, strict=True):
@@ -147,14 +161,37 @@ def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for lo in range(0, len(known), 65536):
                 part = slice(lo, lo + 65536)
                 n = len(known[part])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, key)), pa.array(known[part].view(np.int64)), pa.array(grams[part], pa.string()), pa.array(counts[part])], ["block", "h", "g", "c"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, key)), pa.array(grams[part], pa.string()), pa.array(counts[part])], ["block", "g", "c"])
+
+
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, g, p) to rows (block, h, p) of many answers each, as bytes; at most HELD are held."""
+    def passed(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        block, h, p = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((h, block))
+        block, h, p = block[order], h[order], p[order]
+        cut = np.flatnonzero(np.diff(block, prepend=block[0] ^ 1))
+        parts = lambda x: pa.array([y.tobytes() for y in np.split(x, cut[1:])], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(block[cut]), parts(h), parts(p)], ["block", "h", "p"])
+
+    found, held = [], 0
+    for b in batches:
+        if len(b):
+            found.append((b.column("block").to_numpy(), hashed(b.column("g").to_pylist()), b.column("p").to_numpy()))
+            held += len(b)
+        if held >= HELD:
+            yield passed(found)
+            found, held = [], 0
+    if found:
+        yield passed(found)
 
 
 def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks with their answers to rows (doc_id, lang, trusted, score): the mean log probability, null without text."""
     for b in batches:
         for row in b.to_pylist():
-            h, p = np.array([a["h"] for a in row["answers"]], np.int64).view(np.uint64), np.array([a["p"] for a in row["answers"]], np.float64)
+            h = np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(a["h"], np.uint64) for a in row["answers"])])
+            p = np.concatenate([np.empty(0, np.float32), *(np.frombuffer(a["p"], np.float32) for a in row["answers"])]).astype(np.float64)
             order = np.argsort(h)
             h, p = h[order], p[order]
             score: list[float | None] = []
@@ -208,16 +245,17 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = rows.join(F.broadcast(trusted) if few else trusted, "doc_id", "left").select("doc_id", "lang", "text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
     if not few:
         rows = materialise(rows, "flagged")
-    grams = materialise(rows.mapInArrow(pack, PACKED).mapInArrow(ask, "block long, h long, g string, c long"), "grams")
+    grams = materialise(rows.mapInArrow(ask, "block long, g string, c long"), "grams")
     asked = materialise(grams.groupBy("g").agg(F.sum("c").alias("c")), "asked")
     if asked.where("c > 0").isEmpty():
         return docs.select("doc_id", "lang", F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), F.lit(True).alias("kept"))
     known, alphabet = probabilities(asked)
-    answers = grams.join(known, "g").groupBy("block").agg(F.collect_list(F.struct("h", F.log("p").cast("float").alias("p"))).alias("answers"))
+    answers = grams.join(known, "g").select("block", "g", F.log("p").cast("float").alias("p")).mapInArrow(_by_block, "block long, h binary, p binary")
+    answers = answers.groupBy("block").agg(F.collect_list(F.struct("h", "p")).alias("answers"))
     blocks = rows.mapInArrow(pack, PACKED).join(answers, "block", "left")
     # A block without text asks for nothing.
     lost = F.col("answers").isNull() & F.exists("sizes", lambda s: F.exists(s, lambda n: n > 0))
-    blocks = blocks.withColumn("answers", F.when(lost, F.raise_error(F.lit("rows came in another order: write the documents to a table first"))).otherwise(F.coalesce("answers", F.expr("array()").cast("array<struct<h:long,p:float>>"))))
+    blocks = blocks.withColumn("answers", F.when(lost, F.raise_error(F.lit("rows came in another order: write the documents to a table first"))).otherwise(F.coalesce("answers", F.expr("array()").cast("array<struct<h:binary,p:binary>>"))))
     scored = materialise(blocks.mapInArrow(_answered, "doc_id long, lang string, trusted boolean, score double").select("doc_id", "lang", "trusted", F.coalesce(F.exp(-F.col("score")), F.lit(float(alphabet))).alias("perplexity")), "perplexities")
     discard(grams)
     cut = F.percentile_approx("perplexity", F.lit(QUANTILE), F.lit(10_000))
