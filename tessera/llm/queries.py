@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontamination, exact_dedup, html_text, license_scan, pii, quality, simhash, toxicity, url_filter
+from tessera.llm import bpe, decontamination, exact_dedup, group_ranks, html_text, license_scan, pii, quality, simhash, toxicity, url_filter
 from tessera.llm.shared import read
 
 #: The rules that op2 is given.
@@ -63,8 +63,25 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_ranked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = read(spark, sf_dir, "sale_lines")
+    fold = F.col("sale_id").isNotNull() & (F.crc32(F.col("sale_id").cast("string").cast("binary")) % 5 == 0)
+    own = lambda c: F.when(fold, F.lit(-1)).otherwise(c).cast("long")
+    rows = lines.select(
+        own(F.col("vendor_id")).alias("vendor_id"),
+        own(F.coalesce(F.col("item_id") % 2, F.lit(-1))).alias("part"),
+        own(F.coalesce(100 * F.year("shipped_at") + F.month("shipped_at"), F.lit(-1))).alias("month"),
+        F.floor(F.col("quantity") / 10).alias("tens"),
+        F.floor(100 * F.col("discount") + 0.5).alias("percent"),
+        F.col("sale_id").cast("long"), F.col("line_no").cast("long"), F.col("quantity").cast("long"),
+        F.floor(100 * F.col("amount") + 0.5).alias("amount_cents"),
+    )
+    rank = [("tens", F.desc_nulls_last), ("percent", F.asc_nulls_last)]
+    return group_ranks.top_places(rows, ["vendor_id", "part", "month"], rank, ["sale_id", "line_no", "quantity", "amount_cents"], 5).drop("tens")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_bpe, op4_pii, op5_html_text, op6_exact_dedup, op7_simhash, op8_license_scan, op9_quality, op10_decontamination)
+    f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_bpe, op4_pii, op5_html_text, op6_exact_dedup, op7_simhash, op8_license_scan, op9_quality, op10_decontamination, op11_ranked_lines)
 }
 
 _ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -92,7 +109,27 @@ def _license_sql() -> str:
         FROM docs LEFT JOIN known ON known.digest = sha256({whole.format("lines")}) LEFT JOIN hits USING (doc_id)"""
 
 
+#: CRC-32 of a text of ASCII characters; crc_table is made from its polynomial.
+_CRC32 = "xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split({}, ''), lambda c: ascii(c)::UBIGINT)), lambda h, c: xor(h >> 8, crc_table[CAST((xor(h, c) & 255) + 1 AS BIGINT)])), 4294967295::UBIGINT)"
+_CRC_TABLE = "(SELECT list(list_reduce(list_prepend(b::UBIGINT, list_transform(range(8), lambda i: i::UBIGINT)), lambda h, i: CASE WHEN h & 1 = 1 THEN xor(h >> 1, 3988292384::UBIGINT) ELSE h >> 1 END) ORDER BY b) AS crc_table FROM range(256) t(b))"
+
 ORACLE: dict[str, str] = {
+    "op11_ranked_lines": f"""
+        WITH raw AS (
+            SELECT *, sale_id IS NOT NULL AND {_CRC32.format("CAST(sale_id AS VARCHAR)")} % 5 = 0 AS fold
+            FROM sale_lines, {_CRC_TABLE}),
+        d AS (
+            SELECT CASE WHEN fold THEN -1 ELSE vendor_id END AS vendor_id,
+                   CAST(CASE WHEN fold THEN -1 ELSE coalesce(item_id % 2, -1) END AS BIGINT) AS part,
+                   CAST(CASE WHEN fold THEN -1 ELSE coalesce(100 * year(shipped_at) + month(shipped_at), -1) END AS BIGINT) AS month,
+                   CAST(floor(quantity / 10) AS BIGINT) AS tens, CAST(floor(100 * discount + 0.5) AS BIGINT) AS percent,
+                   sale_id, CAST(line_no AS BIGINT) AS line_no, CAST(quantity AS BIGINT) AS quantity, CAST(floor(100 * amount + 0.5) AS BIGINT) AS amount_cents
+            FROM raw)
+        SELECT vendor_id, part, month, percent, sale_id, line_no, quantity, amount_cents,
+               row_number() OVER (PARTITION BY vendor_id, part, month ORDER BY tens DESC NULLS LAST, percent NULLS LAST, sale_id NULLS LAST, line_no NULLS LAST, quantity NULLS LAST, amount_cents NULLS LAST) AS pos,
+               dense_rank() OVER (PARTITION BY vendor_id, part, month ORDER BY tens DESC NULLS LAST, percent NULLS LAST) AS place,
+               count(*) OVER (PARTITION BY vendor_id, part, month, tens, percent) AS tied
+        FROM d QUALIFY place <= 5""",
     "op8_license_scan": _license_sql(),
     "op2_url_filter": f"""
         WITH u AS (
