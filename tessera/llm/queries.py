@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontamination, exact_dedup, group_ranks, html_text, license_scan, pii, quality, simhash, toxicity, url_filter
+from tessera.llm import ann, bpe, decontamination, exact_dedup, group_ranks, html_text, license_scan, pii, quality, simhash, toxicity, turn_repair, url_filter
 from tessera.llm.shared import read
 
 #: The rules that op2 is given.
@@ -80,8 +80,19 @@ def op11_ranked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_ranks.top_places(rows, ["vendor_id", "part", "month"], rank, ["sale_id", "line_no", "quantity", "amount_cents"], 5).drop("tens")
 
 
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
+    return ann.nearest(rows, F.col("vec_id") % 20 == 0, 20)
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations")
+    turns, report = turn_repair.repair(turn_repair.damage(conversations))
+    return turn_repair.digests(turns, report, conversations)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_bpe, op4_pii, op5_html_text, op6_exact_dedup, op7_simhash, op8_license_scan, op9_quality, op10_decontamination, op11_ranked_lines)
+    f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_bpe, op4_pii, op5_html_text, op6_exact_dedup, op7_simhash, op8_license_scan, op9_quality, op10_decontamination, op11_ranked_lines, op12_nearest, op13_turn_repair)
 }
 
 _ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
