@@ -22,8 +22,8 @@ each rank that some salt has kept, and one for each partition that a rank lies i
 
 Defined results: a null in a group, rank or order column is a value like others; nulls
 come last and are equal; equal rows have positions one after the other and are all
-returned; an empty table gives no rows; rows may have any further columns, which the
-caller picks by name. Rows equal in everything, the partition they are read from too, are
+returned; an empty table gives no rows; further columns of any name are carried, but for
+pos, place and tied, which are replaced. Rows equal in everything, the partition they are read from too, are
 not split by salts; range partitions keep them together.
 """
 
@@ -50,7 +50,7 @@ def salted(rows: DataFrame, group: Sequence[str]) -> DataFrame:
     total = sizes.agg(F.sum("n").alias("n")).first()["n"] or 0
     most = max(TOGETHER, 4 * total // BUCKETS)
     salts = sizes.where(F.col("n") > most).select("_bucket", F.ceil(F.col("n") / most).alias("_salts"))
-    spread = F.pmod(F.xxhash64(*rows.columns) + F.spark_partition_id(), F.coalesce("_salts", F.lit(1)))
+    spread = F.pmod(F.xxhash64(*[c for c in rows.columns if c != "rest"]) + F.spark_partition_id(), F.coalesce("_salts", F.lit(1)))
     out = rows.withColumn("_bucket", bucket).join(F.broadcast(salts), "_bucket", "left")
     return out.withColumn("_salt", spread.cast("int")).drop("_bucket", "_salts")
 
@@ -61,7 +61,12 @@ def top_places(rows: DataFrame, group: Sequence[str], rank: Sequence[tuple[str,
     rank: columns that make the rank, each with its direction, as ("a", F.desc_nulls_last);
     ties: columns that order rows of equal rank, ascending.
     """
-    names = rows.columns
+    names = [c for c in rows.columns if c not in ("pos", "place", "tied")]
+    used = list(dict.fromkeys([*group, *[c for c, _ in rank], *ties]))
+    rest = [c for c in names if c not in used]
+    own = {c: f"c{i}" for i, c in enumerate(used)}
+    rows = rows.select(*[F.col(f"`{c}`").alias(x) for c, x in own.items()], *([F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest")] if rest else []))
+    group, rank, ties = [own[c] for c in group], [(own[c], way) for c, way in rank], [own[c] for c in ties]
     by_rank = [way(c) for c, way in rank]
     by_all = [*group, *by_rank, *[F.asc_nulls_last(c) for c in ties]]
     local = Window.partitionBy(*group, "_salt").orderBy(*by_rank)
@@ -82,4 +87,5 @@ def top_places(rows: DataFrame, group: Sequence[str], rank: Sequence[tuple[str,
     carries = runs.withColumn("carry", F.sum("n").over(in_rank) - F.col("n")).join(ranks.where(F.col("place") <= limit), "_key")
     shift = (F.col("before") + F.col("carry") - F.col("first") + 1).alias("_shift")
     out = ranged.join(carries.select("_part", "_key", shift, F.col("place").cast("long").alias("place"), "tied"), ["_part", "_key"])
-    return out.select(*names, (F.col("_id") + F.col("_shift")).alias("pos"), "place", "tied")
+    back = [F.col(own[c]).alias(c) if c in own else F.col(f"rest.`{c}`") for c in names]
+    return out.select(*back, (F.col("_id") + F.col("_shift")).alias("pos"), "place", "tied")

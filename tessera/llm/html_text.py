@@ -12,7 +12,8 @@ articles may have sentences in common.
 
 What the markup itself calls a menu, header, footer, sidebar, notice, advert, form,
 script, style or comment goes too; inside an article only by names that mean nothing
-else. An article's own header keeps its headings. What is left of the article elements
+else. An article's own header keeps its headings and nothing else, not a lead paragraph
+either: headers do not count as main text. What is left of the article elements
 (else of main, else of the body) is the text.
 
 Reading a page takes time in proportion to its length, whatever is in it. Templates go
@@ -49,7 +50,7 @@ MAX_BROADCAST = 200_000
 
 # Element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math")
+RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe")
 BLOCK = frozenset("address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 DROPPED = frozenset("head script style noscript template textarea title iframe svg math nav header footer aside form menu dialog button select".split())
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li dt dd td th figcaption summary".split())
@@ -71,6 +72,8 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 TAG = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
 NAME = re.compile(r"[\s/]*+([^\s/>][^\s/>=]*+)?+(\s*+=\s*+)?+")
 BARE = re.compile(r"[^\s>]*+")
+#: A comment ends here; "<!-->" and "<!--->" have ended already.
+SHORT, COMMENT_END = re.compile(r"-?>"), re.compile(r"--!?>")
 RAW_END = {t: re.compile(rf"</{t}[\s/>]", re.I) for t in RAW}
 SPLIT = re.compile(r"[^a-z0-9]+")
 
@@ -98,6 +101,15 @@ class _Reader:
             self.end[what] = at
         return found
 
+    def comment_end(self, at: int) -> int:
+        """Where a comment ends whose inside begins here; the page's end if it does not."""
+        m = SHORT.match(self.page, at)
+        if m is None and at < self.end.get("--", len(self.page) + 1):
+            m = COMMENT_END.search(self.page, at)
+            if m is None:
+                self.end["--"] = at
+        return m.end() if m else len(self.page)
+
     def attributes(self, at: int) -> tuple[list[tuple[str, str]], bool, int]:
         """(class, id and role; whether it closes itself; where the tag ends), -1 if it does not."""
         page, out = self.page, []
@@ -142,8 +154,7 @@ def parse(page: str) -> Node:
     while (lt := page.find("<", at)) >= 0:
         if page.startswith("<!--", lt):
             text(lt)
-            end = reader.find("-->", lt + 4)
-            at = done = end + 3 if end >= 0 else len(page)
+            at = done = reader.comment_end(lt + 4)
             continue
         if page[lt + 1 : lt + 2] in ("!", "?"):
             text(lt)

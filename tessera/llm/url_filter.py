@@ -93,8 +93,9 @@ def _by_trie(out: DataFrame, rules: list[Rule]) -> DataFrame:
         for hosts, paths in parts:
             yield pd.DataFrame([trie.find(h, p) for h, p in zip(hosts, paths, strict=True)], columns=["rule", "verdict"])
 
-    out = out.withColumn("_hit", look("host", "path"))
-    return out.withColumns({"rule": F.col("_hit.rule"), "verdict": F.col("_hit.verdict")}).drop("_hit")
+    # Rows in a struct, so that a column of any name stays.
+    out = out.drop("rule", "verdict")
+    return out.select(F.struct("*").alias("row"), look("host", "path").alias("hit")).select("row.*", "hit.rule", "hit.verdict")
 
 
 def _by_join(out: DataFrame, rules: list[Rule]) -> DataFrame:

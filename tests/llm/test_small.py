@@ -641,3 +641,68 @@ def test_no_id_stands_for_null(spark):
     a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
     got = sorted(rows(simhash.keep_one(docs(spark, [a, b, a, a + " x"], [-1, None, None, 3])).select("doc_id", "text")), key=repr)
     assert got == [(-1, a), (None, b)]
+
+
+FORMS = ["<svg/>", "<math/>", "<svg viewBox='0 0 1 1'/>", "<!-->", "<!--->", "<!-- x --!>", "<!-- a > b -- c -->", "<!---->", "<?x y?>", "<br/>", "<svg><path d='M0 0'/><title>t</title></svg>", "<math><mi>x</mi></math>", "<script>if (a < b) '</p>'</script>", "<style>p > a {}</style>"]
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_what_follows_an_odd_form_stays(form):
+    assert extracted(f"<article><p>One {form} two</p><p>three</p></article>") == "One two three"
+    assert extracted(f"<p>a</p>{form}<p>b</p>") == "a b"
+
+
+def test_pages_of_odd_forms_are_read_in_linear_time():
+    import time
+
+    for form in ("<!-- ", "<!-->", "<!-- --!>", "<svg>", "<svg/>", "<math", "--!>", "<!--->"):
+        began = time.process_time()
+        extracted(form * (1_000_000 // len(form)))
+        assert time.process_time() - began < 20, form
+
+
+def random_page(rng):
+    """(html, its main text): made side by side, so that the text does not come from any parser."""
+    words = ["one", "two", "a &amp; b", "&lt;p&gt;", "caf&eacute;", "x\n  y", "&#8364;5", "1 < 2"]
+    plain = {"a &amp; b": "a & b", "&lt;p&gt;": "<p>", "caf&eacute;": "café", "x\n  y": "x y", "&#8364;5": "€5"}
+    said = lambda ws: " ".join(plain.get(w, w) for w in ws)
+
+    def inline(depth=0):
+        ws = [rng.choice(words) for _ in range(rng.randint(1, 4))]
+        markup = " ".join(rng.choice(["@", "<b>@</b>", "<a href='/x?a=1&b=2' title=\"q > p\">@</a>", "@" + rng.choice(FORMS)]).replace("@", w) for w in ws)
+        return markup, said(ws)
+
+    def block(depth):
+        kind = rng.choice(["p", "h2", "div", "ul", "gone", "section"] if depth else ["p", "h2"])
+        if kind == "gone":
+            text = inline()[0]
+            return rng.choice(["<nav>{}</nav>", "<aside><p>{}</p></aside>", "<form><input value='v'>{}</form>", "<div class='comments'><p>{}</p></div>", "<div role='navigation'>{}</div>", "<footer>{}</footer>", "<div class='ad-box'>{}</div>"]).format(text), []
+        if kind in ("p", "h2"):
+            markup, text = inline()
+            return f"<{kind}>{markup}" + ("" if kind == "p" and rng.random() < 0.3 else f"</{kind}>"), [text]
+        if kind == "ul":
+            items = [inline() for _ in range(2)]
+            return "<ul>" + "".join(f"<li>{m}" + rng.choice(["", "</li>"]) for m, _ in items) + "</ul>", [t for _, t in items]
+        inner = [block(depth - 1) for _ in range(rng.randint(1, 3))]
+        return f"<{kind}>" + "".join(m for m, _ in inner) + f"</{kind}>", [t for _, ts in inner for t in ts]
+
+    blocks = [block(2) for _ in range(rng.randint(1, 5))]
+    head, foot = inline()[0], inline()[0]
+    page = f"<!DOCTYPE html><html><head><title>{head}</title></head><body><header><p>{head}</p></header><article>{''.join(m for m, _ in blocks)}</article><footer><p>{foot}</p></footer></body></html>"
+    return page, " ".join(t for _, ts in blocks for t in ts)
+
+
+def test_texts_of_random_pages():
+    rng = random.Random(11)
+    for _ in range(2000):
+        page, text = random_page(rng)
+        assert extracted(page) == text, page
+
+
+def test_url_filter_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([("http://a.org/", 1, "x", 2, "old")], "url string, _hit int, row string, hit int, rule string")
+    got = url_filter.judge_urls(df, URL_RULES).first()
+    assert (got._hit, got.row, got.hit, got.rule, got.verdict) == (1, "x", 2, "org/", "allow")
+    many = URL_RULES + [(f"h{i}.net", "/", "block") for i in range(url_filter.MAX_RULES)]
+    got = url_filter.judge_urls(df, many).first()
+    assert (got._hit, got.row, got.hit, got.rule) == (1, "x", 2, "org/")
