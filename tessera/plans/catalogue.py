@@ -13,7 +13,13 @@ from pyspark.sql import functions as F
 
 from tessera.functions import repair, text
 from tessera.functions.metrics import measures, ratio
-from tessera.operators import corpus, evaluate, features, forecast, marts, monitor, quality, retrieval, versions
+from tessera.operators import changes, corpus, evaluate, features, forecast, marts, monitor, quality, retrieval, versions
+from tessera.operators.bucketed import BucketedState
+from tessera.sources import landing, scratch
+from tessera.sources.versioned import VersionedTable
+from tessera.streaming import merging
+from tessera.streaming.incremental import IncrementalMart
+from tessera.streaming.ingest import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -969,20 +975,128 @@ def retrieval_contenders(spark: SparkSession, d: str) -> DataFrame:
     return out.select("contender", "n", *[F.round(c, 6).alias(c) for c in ("recall", "mrr", "ndcg")])
 
 
+# Changes, versions and incremental tables, each in a folder that goes with the application
+
+
+_SALE = "sale_id, client_id, status, total, sold_at"
+_SHOTS = f"""
+    v1 AS (SELECT {_SALE} FROM sales WHERE arrived_at < TIMESTAMP '2024-03-01'),
+    v2 AS (SELECT {_SALE} FROM sales WHERE arrived_at < TIMESTAMP '2024-04-01' AND status IS DISTINCT FROM 'held'),
+    v3 AS (SELECT sale_id, client_id, CASE WHEN status = 'open' AND sold_at < TIMESTAMP '2024-02-01' THEN 'lapsed' ELSE status END AS status, coalesce(total, 0) AS total, sold_at FROM sales)"""
+
+
+def _sale_log(spark: SparkSession, d: str) -> changes.ChangeLog:
+    """Sales as known in March, in April without those on hold, and at the end with old open ones lapsed."""
+    s = _read(spark, d, "sales")
+    lapsed = F.when((F.col("status") == "open") & (F.col("sold_at") < "2024-02-01"), "lapsed").otherwise(F.col("status"))
+    log = changes.ChangeLog(spark, scratch.folder(spark, "sale-log"), ["client_id", "sold_at"])
+    for shot in (s.where("arrived_at < '2024-03-01'"), s.where("arrived_at < '2024-04-01' AND NOT (status <=> 'held')"), s.withColumns({"status": lapsed, "total": F.coalesce("total", F.lit(0.0))})):
+        log.commit(shot.select(*_SALE.split(", ")))
+    return log
+
+
+def _feed_sql(old: str, new: str, version: int) -> str:
+    return f"""SELECT {_SALE}, CASE WHEN came AND went THEN 'update_' || CASE WHEN sign > 0 THEN 'after' ELSE 'before' END WHEN sign > 0 THEN 'insert' ELSE 'delete' END AS _change, {version} AS _version
+        FROM (SELECT *, max(sign) OVER k > 0 AS came, min(sign) OVER k < 0 AS went
+              FROM (SELECT *, 1 AS sign FROM (FROM {new} EXCEPT ALL FROM {old}) UNION ALL SELECT *, -1 FROM (FROM {old} EXCEPT ALL FROM {new}))
+              WINDOW k AS (PARTITION BY client_id, sold_at))"""
+
+
+@_query(f"WITH {_SHOTS} {_feed_sql('v1', 'v2', 2)} UNION ALL {_feed_sql('v2', 'v3', 3)}")
+def change_feed(spark: SparkSession, d: str) -> DataFrame:
+    return _sale_log(spark, d).read(2, 3)
+
+
+@_query(f"WITH {_SHOTS} SELECT * FROM v3")
+def change_replay(spark: SparkSession, d: str) -> DataFrame:
+    return _sale_log(spark, d).as_of(3)
+
+
+@_query("""WITH s AS (SELECT coalesce(strftime(sold_at, '%Y-%m'), 'none') AS label, * FROM sales),
+    now AS (SELECT sold_at, status, total FROM s WHERE label <> '2024-02'
+            UNION ALL SELECT CASE WHEN priority = 0 THEN sold_at + INTERVAL 1 MONTH ELSE sold_at END, status, total + 10 FROM s WHERE label = '2024-02' AND status IS DISTINCT FROM 'held')
+    SELECT coalesce(strftime(sold_at, '%Y-%m'), 'none') AS month, status, CAST(sum(CAST(total AS DECIMAL(18,2))) AS DOUBLE) AS total, count(total) AS n FROM now GROUP BY ALL""")
+def incremental_mart(spark: SparkSession, d: str) -> DataFrame:
+    """A file for each month of sales, then a corrected one for February."""
+    s = _read(spark, d, "sales").withColumn("label", F.coalesce(F.date_format("sold_at", "yyyy-MM"), F.lit("none")))
+    root = scratch.folder(spark, "incremental")
+    mart = IncrementalMart(spark, f"{root}/out", F.date_format("sold_at", "yyyy-MM"), lambda df: marts.legs(df, ("month", "status"), "total", "total", "n"))
+    for r in s.select("label").distinct().collect():  # months
+        landing.land(s.where(F.col("label") == r.label).drop("label"), f"{root}/in", r.label)
+    mart.run(f"{root}/in")
+    later = F.when(F.col("priority") == 0, F.col("sold_at") + F.expr("INTERVAL 1 MONTH")).otherwise(F.col("sold_at"))
+    again = s.where("label = '2024-02' AND NOT (status <=> 'held')").withColumns({"sold_at": later, "total": F.col("total") + 10}).drop("label")
+    landing.land(again, f"{root}/in", "2024-02")
+    mart.run(f"{root}/in")
+    return mart.mart().select("month", "status", "total", "n")
+
+
+@_query("""SELECT CAST(click_id AS VARCHAR) AS click_id, kind, CASE WHEN arrived_at < TIMESTAMP '2024-02-01' THEN CAST(CAST(floor(value) AS INTEGER) AS DOUBLE) ELSE value END AS value,
+    CASE WHEN arrived_at >= TIMESTAMP '2024-02-01' THEN client_id END AS client_id, CASE WHEN arrived_at >= TIMESTAMP '2024-03-01' THEN props END AS props FROM clicks WHERE arrived_at IS NOT NULL""")
+def merged_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """Clicks land in three files: numbers narrow, then wider and with clients, then ids as text and with properties."""
+    c, root = _read(spark, d, "clicks"), scratch.folder(spark, "merged")
+    parts = (
+        c.where("arrived_at < '2024-02-01'").select(F.col("click_id").cast("int"), "kind", F.floor("value").cast("int").alias("value")),
+        c.where("arrived_at >= '2024-02-01' AND arrived_at < '2024-03-01'").select("click_id", "kind", "value", "client_id"),
+        c.where("arrived_at >= '2024-03-01'").select(F.col("click_id").cast("string"), "kind", "value", "client_id", "props"),
+    )
+    table = merging.MergedTable(spark, f"{root}/out")
+    for n, part in enumerate(parts):
+        part.write.parquet(f"{root}/in/{n}_0000000{n}.parquet")
+        merging.ingest_merged(spark, f"{root}/in", table, f"{root}/checkpoint")
+    return table.read().select("click_id", "kind", "value", "client_id", "props")
+
+
+@_query("""WITH lines AS (SELECT sale_id, line_no, item_id, amount FROM sale_lines),
+    n AS (SELECT count(*) AS rows, count(*) FILTER (item_id IS NULL) AS a, count(*) FILTER (NOT coalesce(amount > 0, false)) AS b, count(*) - (SELECT count(*) FROM (SELECT DISTINCT sale_id, line_no FROM lines)) AS k FROM lines),
+    kept AS (SELECT count(*) AS visible, count(DISTINCT (sale_id, line_no)) AS grain FROM (SELECT sale_id, line_no FROM lines WHERE item_id IS NOT NULL AND amount > 0 GROUP BY ALL HAVING count(*) = 1))
+    SELECT c AS "constraint", v AS violations, visible, grain FROM n, kept, LATERAL (VALUES ('rows', rows), ('not_null:item_id', a), ('check:amount', b), ('key:sale_id,line_no', k)) t(c, v)""")
+def publish_audit(spark: SparkSession, d: str) -> DataFrame:
+    """A good version of the lines, then one that breaks its constraints: what its audit counts, and the rows that readers still see."""
+    lines = _read(spark, d, "sale_lines").select("sale_id", "line_no", "item_id", "amount")
+    good = lines.where("item_id IS NOT NULL AND amount > 0").groupBy("sale_id", "line_no").agg(F.count("*").alias("_n"), F.any_value("item_id").alias("item_id"), F.any_value("amount").alias("amount")).where("_n = 1").drop("_n")
+    table = VersionedTable(spark, scratch.folder(spark, "published"))
+    rules = {"not_null": ["item_id"], "key": ["sale_id", "line_no"], "checks": {"amount": F.col("amount") > 0}}
+    table.write(good, **rules)
+    try:
+        table.write(lines, **rules)
+    except quality.CheckFailed:
+        pass  # its counts are the result
+    found = spark.createDataFrame(list(table.refused()[-1]["audit"].items()), "constraint string, violations long")
+    seen = table.read().agg(F.count("*").alias("visible"), F.count_distinct(F.struct("sale_id", "line_no")).alias("grain"))
+    return found.join(F.broadcast(seen), how="cross")  # one row
+
+
+@_query("""SELECT sale_id, line_no, vendor_id, amount, shipped_at FROM sale_lines WHERE vendor_id BETWEEN 3 AND 5 AND shipped_at BETWEEN TIMESTAMP '2024-02-01' AND TIMESTAMP '2024-02-20'""")
+def clustered_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Lines clustered by vendor and day, read by ranges of both."""
+    from datetime import datetime
+
+    table = VersionedTable(spark, scratch.folder(spark, "clustered"))
+    table.write(_read(spark, d, "sale_lines").select("sale_id", "line_no", "vendor_id", "amount", F.col("shipped_at").cast("timestamp")))
+    table.cluster(["vendor_id", "shipped_at"], 64)
+    rows, _, _ = table.scan({"vendor_id": (3, 5), "shipped_at": (datetime(2024, 2, 1), datetime(2024, 2, 20))})
+    return rows
+
+
+@_query("""WITH old AS (SELECT client_id, city, balance FROM clients WHERE updated_at < TIMESTAMP '2024-03-01'), new AS (SELECT client_id, city, balance FROM clients WHERE segment IS DISTINCT FROM 'public')
+    SELECT client_id, CASE WHEN n.client_id IS NULL THEN o.city ELSE n.city END AS city, CASE WHEN n.client_id IS NULL THEN o.balance ELSE n.balance END AS balance, n.client_id IS NOT NULL AS is_current
+    FROM old o FULL JOIN new n USING (client_id)""")
+def bucketed_merge(spark: SparkSession, d: str) -> DataFrame:
+    """The clients of February, then those that are not public."""
+    c = _read(spark, d, "clients")
+    state = BucketedState(spark, scratch.folder(spark, "buckets"), ["client_id"], ["city", "balance"], 32)
+    state.merge(c.where("updated_at < '2024-03-01'"), F.to_timestamp(F.lit("2026-01-01")))
+    state.merge(c.where("NOT (segment <=> 'public')"), F.to_timestamp(F.lit("2026-02-01")))
+    return state.read().select("client_id", "city", "balance", "is_current")
+
+
 # Streaming
 
 
 @_query("SELECT event_id, event_type, value FROM events")
 def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
-    from tessera.streaming.ingest import ingest
-
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        import tempfile
-
-        base = "file://" + tempfile.mkdtemp(prefix="tessera-stream-")
-    at = f"{base}/stream-{spark.sparkContext.applicationId}-{abs(hash(d))}"
+    at = scratch.folder(spark, "stream")
     ingest(spark, f"{d}/events.parquet", f"{at}/bronze", f"{at}/checkpoint")
     return spark.read.parquet(f"{at}/bronze").select("event_id", "event_type", "value")

@@ -23,6 +23,11 @@ def parse_landed(name: str) -> tuple[str, str] | None:
     return (m[1], m[2]) if m else None
 
 
+def landed_name(path: str) -> str | None:
+    """The landed file or folder that a path leads to or into, or None."""
+    return next((part for part in reversed(path.split("/")) if _NAME.match(part)), None)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

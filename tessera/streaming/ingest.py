@@ -27,6 +27,12 @@ def ingest(spark: SparkSession, source: str, target: str, checkpoints: str, ddl:
     return spark.read.parquet(target).count() if exists(spark, target) else 0
 
 
+def file_stream(spark: SparkSession, source: str) -> DataFrame:
+    """A stream of the paths of Parquet files, MAX_FILES at most in a batch."""
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    return files.option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", MAX_FILES).option("recursiveFileLookup", "true").load(source).select("path")
+
+
 def rescue(df: DataFrame, columns: list[str]) -> DataFrame:
     """Declared columns as strings, NULL for those missing, and the rest as JSON in _rescued_data (NULL if there is none)."""
     extra = [c for c in df.columns if c not in columns and not c.startswith("_")]
@@ -53,6 +59,6 @@ def ingest_rescued(spark: SparkSession, source: str, target: str, checkpoints: s
         if out is not None:
             out.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
-    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", MAX_FILES).option("recursiveFileLookup", "true").load(source).select("path")
+    files = file_stream(spark, source)
     files.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoints}_{version}").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(target).count() if exists(spark, target) else 0
