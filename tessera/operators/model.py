@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MARGIN = 0.02
@@ -99,3 +99,46 @@ class Registry:
         fresh.write_text(json.dumps(data, indent=1))
         fresh.replace(self.path)
         return version, wins
+
+
+class StoreRegistry:
+    """Versions and their errors as files ``<n>.json`` of any store, one for each version.
+
+    The store refuses a file that is there, so two drivers cannot take one number and no
+    lock is left behind by a crash. Aliases follow from the versions: the challenger is the
+    last, the champion the last one that beat the champion before it by the margin.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, margin: float = MARGIN):
+        self.spark, self.root, self.margin = spark, root, margin
+
+    def versions(self) -> list[dict]:
+        from tessera.sources.landing import names
+        from tessera.sources.scratch import read_json
+
+        numbers = sorted(int(n.removesuffix(".json")) for n in names(self.spark, self.root) if n.removesuffix(".json").isdigit())
+        return [read_json(self.spark, f"{self.root}/{n}.json") for n in numbers]
+
+    def aliases(self) -> dict[str, int]:
+        out: dict[str, int] = {}
+        best = None
+        for v in self.versions():
+            out["challenger"] = v["version"]
+            if challenger_wins(v["mae"], best, self.margin):
+                best, out["champion"] = v["mae"], v["version"]
+        return out
+
+    def register(self, name: str, mae: float, tries: int = 10) -> tuple[int, bool]:
+        """The new version's number, and whether it became champion; another number is tried where a second driver was faster."""
+        from tessera.sources.scratch import write_json
+
+        for n in range(tries):
+            version = len(self.versions()) + 1
+            try:
+                write_json(self.spark, f"{self.root}/{version}.json", {"version": version, "name": name, "mae": mae})
+            except Exception as e:
+                if "AlreadyExists" not in str(e) or n == tries - 1:
+                    raise
+                continue
+            return version, self.aliases()["champion"] == version
+        raise RuntimeError("no number was free")

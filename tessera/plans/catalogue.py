@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import repair, text
 from tessera.functions.metrics import measures, ratio
-from tessera.operators import changes, corpus, evaluate, features, forecast, marts, monitor, quality, retrieval, versions
+from tessera.operators import boosted, changes, corpus, evaluate, features, forecast, forecast_table, marts, medians, monitor, pruned, quality, retrieval, versions
 from tessera.operators.bucketed import BucketedState
 from tessera.sources import landing, scratch
 from tessera.sources.versioned import VersionedTable
@@ -975,6 +975,66 @@ def retrieval_contenders(spark: SparkSession, d: str) -> DataFrame:
     return out.select("contender", "n", *[F.round(c, 6).alias(c) for c in ("recall", "mrr", "ndcg")])
 
 
+# Methods for groups and models of any size
+
+
+@_query(f"WITH {_KNN} SELECT qid, vec_id, CAST(rank AS INTEGER) AS rank, round(score, 5) AS score FROM ranked WHERE rank <= 10")
+def pruned_topk(spark: SparkSession, d: str) -> DataFrame:
+    e = _read(spark, d, "embeddings")
+    asked = e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("qid"), "embedding")
+    hits, _ = pruned.top_k(asked, pruned.group(e, "vec_id", "embedding"), 10, "qid", "vec_id", exclude_self=True)
+    return hits.select("qid", "vec_id", "rank", F.round("score", 5).alias("score"))
+
+
+@_query("""SELECT vendor_id, flag, count(amount) AS n, median(CAST(floor(100 * amount + 0.5) AS BIGINT)) / 100 AS median_amount FROM sale_lines GROUP BY ALL""")
+def exact_medians(spark: SparkSession, d: str) -> DataFrame:
+    cents = _read(spark, d, "sale_lines").select("vendor_id", "flag", F.floor(100 * F.col("amount") + 0.5).alias("cents"))
+    return medians.medians(cents, ["vendor_id", "flag"], "cents").select("vendor_id", "flag", "n", (F.col("median") / 100).alias("median_amount"))
+
+
+@_query()
+def forecast_intervals(spark: SparkSession, d: str) -> DataFrame:
+    """Six months of each nation's sales with 80 % intervals, by the table function."""
+    forecast_table.register(spark)
+    s = _sales(spark, d).groupBy("postcode", "property_type", "month").agg(F.sum(F.col("price").cast("decimal(18,2)")).cast("double").alias("y"))
+    return spark.sql("SELECT * FROM forecast_months(TABLE(SELECT postcode, property_type, month, y FROM {s}) PARTITION BY (postcode, property_type) ORDER BY (month), 6, 0.8D)", s=s)
+
+
+@_query()
+def boosted_score(spark: SparkSession, d: str) -> DataFrame:
+    """The last six months by trees that take missing lags as they are."""
+    numeric = ["rent_lag_1", "rent_lag_3", "rent_lag_12", "rent_mean_3", "volume_mean_3", "price_lag_1", "month_of_year"]
+    train, test = features.split_by_month(scratch.written(_features(spark, d), "features"), "month", 6)
+    fitted = boosted.fit(train, ["property_type"], numeric, "median_weekly_rent", rounds=8, depth=3)
+    return fitted.predict(test, "predicted_weekly_rent").select("postcode", "property_type", "month", "predicted_weekly_rent", "median_weekly_rent")
+
+
+_FIELDS = [("groundedness", "groundedness"), ("relevance", "relevance_correctness"), ("correctness", "relevance_correctness"), *[(f, "depth") for f in ("insight", "specificity", "coverage", "breadth", "calibration")]]
+
+
+@_query(f"""SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS question_id, name, CASE WHEN prompt = 'depth' AND length(text) % 11 = 0 THEN NULL ELSE (length(text) % 10) / 10.0 END AS score
+    FROM conversations, (VALUES {", ".join(f"('{n}', '{p}')" for n, p in _FIELDS)}) f(name, prompt) WHERE NOT (prompt = 'depth' AND length(text) % 13 = 0) AND conv_id IS NOT NULL AND turn IS NOT NULL AND text IS NOT NULL""")
+def judge_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """A judge of turns that fails for some at first and for a few always; the second run takes up what is due."""
+    c = _read(spark, d, "conversations").where("conv_id IS NOT NULL AND turn IS NOT NULL AND text IS NOT NULL")
+    answers = c.select(F.concat_ws(":", "conv_id", "turn").alias("question_id"), F.concat("text", F.lit("\x1e")).alias("question"), F.lit("").alias("answer"), F.array().cast("array<string>").alias("context_texts"))
+
+    judged = evaluate.JUDGED
+
+    def ask(prompt: str, said: str, firm: bool = True) -> str:
+        n = len(said.partition("\x1e")[0])
+        if prompt == "depth" and n % 13 == 0 or not firm and n % 7 == 0:
+            raise TimeoutError("no reply")
+        if prompt == "depth" and n % 11 == 0:
+            return "I would rather not say."
+        return str({f: n % 10 / 10 for f in judged[prompt]}).replace("'", '"')
+
+    ledger = evaluate.JudgeLedger(spark, scratch.folder(spark, "ledger"))
+    ledger.run(answers, lambda prompt, said: ask(prompt, said, False))
+    ledger.run(answers, ask)
+    return ledger.scores(answers)
+
+
 # Changes, versions and incremental tables, each in a folder that goes with the application
 
 
