@@ -3,7 +3,8 @@
 The model counts the ORDER-grams of whole characters, none folded into another, of every
 trusted document (label quality 1). Neither it nor a count table is ever on one machine:
 
-1. Documents are read in blocks of about BLOCK characters. A block asks for each n-gram
+1. Documents are read in blocks of about BLOCK characters, or DISTINCT different n-grams
+   if that is less, so that what a task holds of a block is bounded. A block asks for each n-gram
    it holds once, with how often its trusted documents have it.
 2. The rows (block, n-gram, count) are sharded by n-gram. Their sums are the counts;
    joins of sharded tables, level by level, turn them into discounted and interpolated
@@ -40,6 +41,8 @@ from tessera.llm.shared import discard, materialise, prepare_workers, whole_text
 ORDER = 5
 QUANTILE = 0.995
 BLOCK = 64_000_000
+#: Different n-grams after which a block ends, as estimated from one in SAMPLED of their hashes; a text is never split.
+DISTINCT, SAMPLED = 2_000_000, 64
 #: Characters in a piece of a block, and positions looked at together.
 PIECE = 1_000_000
 MAX_TRUSTED = 2_000_000
@@ -55,15 +58,17 @@ PACKED = "block long, ids array<long>, langs array<string>, trusted array<boolea
 def pack(batches: Iterator[pa.RecordBatch], level: int = MOVES) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, lang, text, trusted) as blocks, one row each: columns as arrays, texts in compressed pieces."""
     squeeze = zstandard.ZstdCompressor(level=level)
-    fresh = lambda: ([], [], [], [], [], xxhash.xxh64())
-    ids, langs, trusted, sizes, pieces, name = fresh()
+    fresh = lambda: ([], [], [], [], [], xxhash.xxh64(), np.empty(0, np.uint32))
+    ids, langs, trusted, sizes, pieces, name, seen = fresh()
     open_texts, held, total = [], 0, 0
 
     def shut() -> None:
-        nonlocal open_texts, held
+        nonlocal open_texts, held, seen
         if open_texts:
             sizes.append([len(t) for t in open_texts])
-            raw = "".join(open_texts).encode("utf-8", "replace")
+            whole = "".join(open_texts)
+            seen = np.union1d(seen, _sampled(whole))
+            raw = whole.encode("utf-8", "replace")
             name.update(raw)
             pieces.append(squeeze.compress(raw))
             open_texts, held = [], 0
@@ -84,9 +89,9 @@ def pack(batches: Iterator[pa.RecordBatch], level: int = MOVES) -> Iterator[pa.R
             held, total = held + len(t), total + len(t)
             if held >= PIECE:
                 shut()
-            if total >= BLOCK:
+            if total >= BLOCK or SAMPLED * len(seen) >= DISTINCT:
                 yield block()
-                ids, langs, trusted, sizes, pieces, name = fresh()
+                ids, langs, trusted, sizes, pieces, name, seen = fresh()
                 total = 0
     if ids:
         yield block()
@@ -96,6 +101,19 @@ PACK_NAMES = [c.split()[0] for c in PACKED.split(", ")]
 PACK_TYPES = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.bool_()), pa.list_(pa.list_(pa.int32())), pa.list_(pa.binary())]
 
 
+def _sampled(text: str) -> np.ndarray:
+    """One in SAMPLED of the different hashes of a text's n-grams, by the hash: cheap ones, 32 bits wide."""
+    cps = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
+    n = len(cps) - ORDER + 1
+    if n <= 0:
+        return np.empty(0, np.uint32)
+    h = cps[:n].copy()
+    for k in range(1, ORDER):
+        h = h * np.uint32(0x9E3779B1) + cps[k : k + n]
+    h = (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA6B)
+    return np.unique(h[h >> np.uint32(16) & np.uint32(SAMPLED - 1) == 0])
+
+
 def _mixed(cps: np.ndarray) -> np.ndarray:
     x = (cps.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(29)
@@ -116,8 +134,8 @@ def hashed(grams: list[str]) -> np.ndarray:
     return _fold([x[:, k] for k in range(ORDER)])
 
 
-def positions(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, str]]:
-    """(hashes, text numbers, starts, string) of the n-grams that end at each character, PIECE at most at a time."""
+def positions(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(hashes, text numbers, starts, code points) of the n-grams that end at each character, PIECE at most at a time."""
     joined = "".join(PAD + t for t in texts)
     cps = np.frombuffer(joined.encode("utf-32-le", "replace"), "<u4")
     sizes = np.array([len(t) for t in texts], np.int64)
@@ -127,7 +145,7 @@ def positions(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
         start = starts[at : at + PIECE]
         x = _mixed(cps[start[0] : start[-1] + ORDER])
         n = len(x) - ORDER + 1
-        yield _fold([x[k : k + n] for k in range(ORDER)])[start - start[0]], owner[at : at + PIECE], start, joined
+        yield _fold([x[k : k + n] for k in range(ORDER)])[start - start[0]], owner[at : at + PIECE], start, cps
 
 
 def _texts(sizes: list[int], piece: bytes) -> list[str]:
@@ -142,26 +160,27 @@ def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents to rows (block, g, c): the n-grams of each block, and how often its trusted documents have them."""
     for b in pack(batches, STAYS):
         for key, trusted, sizes, pieces in zip(*(b.column(c).to_pylist() for c in ("block", "trusted", "sizes", "pieces")), strict=True):
-            known, grams, counts, at = np.empty(0, np.uint64), np.empty(0, object), np.empty(0, np.int64), 0
+            # Code points, not strings: 36 bytes for each n-gram.
+            known, grams, counts, at = np.empty(0, np.uint64), np.empty((0, ORDER), np.uint32), np.empty(0, np.int64), 0
             for size, piece in zip(sizes, pieces, strict=True):
                 flags = np.array(trusted[at : at + len(size)], bool)
                 at += len(size)
-                for h, owner, start, joined in positions(_texts(size, piece)):
+                for h, owner, start, cps in positions(_texts(size, piece)):
                     j = np.searchsorted(known, h)
                     new = np.flatnonzero(known[np.minimum(j, len(known) - 1)] != h) if len(known) else np.arange(len(h))
                     if len(new):
                         fresh, first = np.unique(h[new], return_index=True)
-                        strings = np.empty(len(fresh), object)
-                        strings[:] = [joined[p : p + ORDER] for p in start[new[first]].tolist()]
+                        own = cps[start[new[first]][:, None] + np.arange(ORDER)]
                         to = np.searchsorted(known, fresh)
-                        known, grams, counts = np.insert(known, to, fresh), np.insert(grams, to, strings), np.insert(counts, to, 0)
+                        known, grams, counts = np.insert(known, to, fresh), np.insert(grams, to, own, axis=0), np.insert(counts, to, 0)
                     good = h[flags[owner]]
                     if len(good):
                         counts += np.bincount(np.searchsorted(known, good), minlength=len(known))
             for lo in range(0, len(known), 65536):
                 part = slice(lo, lo + 65536)
-                n = len(known[part])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, key)), pa.array(grams[part], pa.string()), pa.array(counts[part])], ["block", "g", "c"])
+                n, whole = len(known[part]), grams[part].astype("<u4").tobytes().decode("utf-32-le")
+                strings = [whole[k : k + ORDER] for k in range(0, ORDER * n, ORDER)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, key)), pa.array(strings, pa.string()), pa.array(counts[part])], ["block", "g", "c"])
 
 
 def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,7 +251,10 @@ def probabilities(asked: DataFrame) -> tuple[DataFrame, int]:
         rows = rows.join(seen, "g", "left").join(ctx, "ctx", "left")
         rows = rows.withColumn("q", F.lit(1.0 / alphabet)) if lower is None else rows.join(lower.select(F.col("g").alias("s"), F.col("p").alias("q")), "s")
         own = F.coalesce((F.col("c") - F.col("d")) / F.col("total"), F.lit(0.0)) + F.col("mass") / F.col("total") * F.col("q")
-        lower = materialise(rows.select("g", F.coalesce(own, "q").alias("p")), "probabilities")
+        below, lower = lower, materialise(rows.select("g", F.coalesce(own, "q").alias("p")), "probabilities")
+        for used in (below, *((wanted[n], counts[n]) if n < ORDER else ())):
+            if used is not None:
+                discard(used)
     return lower, alphabet
 
 
@@ -257,7 +279,8 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     lost = F.col("answers").isNull() & F.exists("sizes", lambda s: F.exists(s, lambda n: n > 0))
     blocks = blocks.withColumn("answers", F.when(lost, F.raise_error(F.lit("rows came in another order: write the documents to a table first"))).otherwise(F.coalesce("answers", F.expr("array()").cast("array<struct<h:binary,p:binary>>"))))
     scored = materialise(blocks.mapInArrow(_answered, "doc_id long, lang string, trusted boolean, score double").select("doc_id", "lang", "trusted", F.coalesce(F.exp(-F.col("score")), F.lit(float(alphabet))).alias("perplexity")), "perplexities")
-    discard(grams)
+    for used in (grams, asked, known):
+        discard(used)
     cut = F.percentile_approx("perplexity", F.lit(QUANTILE), F.lit(10_000))
     by_lang = materialise(scored.where("trusted").groupBy("lang").agg(cut.alias("threshold")), "thresholds")
     overall = scored.where("trusted").agg(cut.alias("t")).first()["t"]

@@ -102,5 +102,5 @@ def test_stages_on_empty_and_repeated_rows(spark, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, docs, d).count() == {"exact_dedup": 2, "simhash": 2}.get(name, 5), name
+        assert stage(spark, docs, d).count() == {"exact_dedup": 2, "near_copies": 2}.get(name, 5), name
         assert stage(spark, docs.limit(0), d).count() == 0
