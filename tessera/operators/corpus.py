@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions import permissive
 from tessera.functions.repair import as_list, json_object, kind_from_name
 
 #: Natural keys.
@@ -122,3 +123,44 @@ def frame_sha(df: DataFrame) -> DataFrame:
     total = df.select(digest.alias("d")).agg(F.count("*").alias("n"), *parts)
     joined = F.sha2(F.concat_ws("|", "n", "s0", "s1", "s2", "s3"), 256)
     return total.select(F.when(F.col("n") == 0, "empty000").otherwise(F.substring(joined, 1, 8)).alias("sha"))
+
+
+#: The fields of a judged answer, as (column, path below the record), by how they are read.
+ANSWER_FIELDS = {
+    "key": [("question_id", "question_id"), ("category", "category"), ("domain", "domain"), ("question", "question")],
+    "text": [
+        ("source_case_id", "source_case_id"), ("answer_md", "answer"), ("answer_model", "answer_model"), ("terminated_reason", "terminated_reason"), ("judge_model", "judge_model"),
+        ("rubric_version", "rubric_version"), ("judge_error", "judge_error"), ("captured_at", "captured_at"),
+    ],
+    "list": [("contexts_json", "contexts"), ("references_json", "references"), ("chunk_ids_json", "chunk_ids"), ("queries_json", "queries")],
+    "count": [("iterations", "iterations"), ("llm_calls", "llm_calls")],
+    "score": [
+        *[(m, f"scores.{m}") for m in ("faithfulness", "answer_relevancy", "context_precision", "insight_depth", "specificity", "coverage", "evidence_breadth", "calibration")],
+        ("ragas_v1_composite", "ragas_v1_composite"), ("composite", "composite"),
+    ],
+    "flag": [("cap_applied", "cap_applied"), ("grounding_floor_breached", "grounding_floor_breached")],
+}
+
+
+def golden_answer_table(records: DataFrame, source: str, column: str = "record") -> DataFrame:
+    """All fields of judged answers from their JSON text: scores flattened and NULL where missing, lists as JSON, counters 0, texts empty. Text that is no object gives no row."""
+    read = {
+        "key": permissive.as_text, "text": lambda v, p: permissive.as_text(v, p, ""), "list": permissive.as_json_list, "count": lambda v, p: permissive.as_int(v, p, 0),
+        "score": permissive.as_float, "flag": permissive.as_flag,
+    }
+    v = records.select(permissive.as_object(F.col(column)).alias("v")).where("v IS NOT NULL")
+    return v.select(*[read[how](F.col("v"), f"$.{path}").alias(name) for how, fields in ANSWER_FIELDS.items() for name, path in fields], F.lit(source).alias("source"))
+
+
+def eval_run_table(runs: DataFrame) -> DataFrame:
+    """Runs from (file_name, payload): run_id, source_file, kind, created_at, entry_count and the payload as JSON with sorted keys, nested ones too.
+
+    What the payload lacks comes from the file's name; a payload that is no object is an empty one.
+    """
+    v = runs.select("file_name", F.coalesce(permissive.as_object(F.col("payload")), F.parse_json(F.lit("{}"))).alias("v"))
+    text = lambda p: permissive.as_text(F.col("v"), f"$.{p}")
+    n = lambda p: permissive.as_int(F.col("v"), f"$.{p}")
+    return v.select(
+        F.coalesce(text("run_id"), "file_name").alias("run_id"), F.col("file_name").alias("source_file"), F.coalesce(text("kind"), kind_from_name(F.col("file_name"))).alias("kind"),
+        text("created_at").alias("created_at"), F.coalesce(F.nullif(n("entry_count"), F.lit(0).cast("bigint")), n("entries")).alias("entry_count"), permissive.sorted_json(F.col("v")).alias("payload_json"),
+    )

@@ -975,6 +975,33 @@ def retrieval_contenders(spark: SparkSession, d: str) -> DataFrame:
     return out.select("contender", "n", *[F.round(c, 6).alias(c) for c in ("recall", "mrr", "ndcg")])
 
 
+# Records of any shape
+
+
+@_query("""SELECT CAST(doc_id AS VARCHAR) AS question_id, lang AS category, NULL::VARCHAR AS domain, nullif(text, '') AS question, '' AS source_case_id, coalesce(source, '') AS answer_md, '' AS answer_model, '' AS terminated_reason, 'judge' AS judge_model,
+    '' AS rubric_version, '' AS judge_error, '' AS captured_at, '["' || coalesce(source, '-') || '",' || CAST(doc_id AS VARCHAR) || ']' AS contexts_json, '[]' AS references_json, '[]' AS chunk_ids_json, '[{"a":' || CAST(doc_id AS VARCHAR) || ',"b":null}]' AS queries_json,
+    doc_id % 5 AS iterations, CAST(0 AS BIGINT) AS llm_calls, doc_id % 11 / 4.0::DOUBLE AS faithfulness, NULL::DOUBLE AS answer_relevancy, NULL::DOUBLE AS context_precision, NULL::DOUBLE AS insight_depth, NULL::DOUBLE AS specificity, CAST(doc_id % 7 AS DOUBLE) AS coverage,
+    NULL::DOUBLE AS evidence_breadth, NULL::DOUBLE AS calibration, NULL::DOUBLE AS ragas_v1_composite, doc_id % 3 / 2.0::DOUBLE AS composite, doc_id % 2 = 1 AS cap_applied, false AS grounding_floor_breached, 'bench' AS source FROM documents""")
+def golden_answer_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Judged answers with all their fields, of records in which some are missing or of another kind."""
+    k = F.col("doc_id")
+    record = F.struct(
+        k.alias("question_id"), F.col("lang").alias("category"), F.col("text").alias("question"), F.col("source").alias("answer"), F.lit("judge").alias("judge_model"), F.lit("").alias("captured_at"),
+        F.array().cast("array<string>").alias("references"), (k % 5).cast("string").alias("iterations"), F.struct((k % 11 / 4.0).alias("faithfulness"), (k % 7).alias("coverage"), F.lit("none").alias("calibration")).alias("scores"),
+        (k % 3 / 2.0).cast("string").alias("composite"), (k % 2).alias("cap_applied"), F.lit("").alias("grounding_floor_breached"),
+    )
+    more = F.format_string('{"contexts":["%s",%d],"queries":[{"b":null,"a":%d}],', F.coalesce("source", F.lit("-")), k, k)
+    return corpus.golden_answer_table(_read(spark, d, "documents").select(F.concat(more, F.substring(F.to_json(record), F.lit(2), F.lit(2**31 - 1))).alias("record")), "bench")
+
+
+@_query("""SELECT CASE WHEN item_id % 2 = 0 THEN 'r' || CAST(item_id AS VARCHAR) ELSE 'out/judge-' || CAST(item_id AS VARCHAR) || '.json' END AS run_id, 'out/judge-' || CAST(item_id AS VARCHAR) || '.json' AS source_file, 'judge' AS kind, 'day' AS created_at,
+    CASE WHEN item_id % 3 = 0 THEN CAST(9 AS BIGINT) ELSE item_id % 3 END AS entry_count, '{"created_at":"day","entries":9,"entry_count":' || CAST(item_id % 3 AS VARCHAR) || ',"run_id":"' || CASE WHEN item_id % 2 = 0 THEN 'r' || CAST(item_id AS VARCHAR) ELSE '' END || '","z":[{"a":{"c":[],"d":1},"b":2}]}' AS payload_json FROM benchmark""")
+def eval_run_payloads(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("item_id").cast("string")
+    payload = F.format_string('{"z":[{"b":2,"a":{"d":1,"c":[]}}],"run_id":"%s","entry_count":%d,"entries":9,"created_at":"day"}', F.when(F.col("item_id") % 2 == 0, F.concat(F.lit("r"), n)).otherwise(""), F.col("item_id") % 3)
+    return corpus.eval_run_table(_read(spark, d, "benchmark").select(F.concat(F.lit("out/judge-"), n, F.lit(".json")).alias("file_name"), payload.alias("payload")))
+
+
 # Methods for groups and models of any size
 
 
