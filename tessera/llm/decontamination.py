@@ -4,7 +4,9 @@ For an item with k shingles of five words (the item itself where it is shorter),
 of a document with k shingles are fingerprinted like the item. The index holds the items'
 fingerprints in BLOCKS blocks, each under its value and all values within NEAR bits of
 it. Fingerprints within RADIUS < BLOCKS * (NEAR + 1) bits agree to NEAR bits in at least
-one block, so a join on (k, block, value) finds all of them. The pairs found are verified
+one block, so a join on (item, block, value) finds all of them. A window is held against
+the items whose shingles it begins with, so texts that share nothing with an item never
+meet it. The pairs found are verified
 by the exact similarity of the shingles weighted by how often they occur,
 I / (2k - I) >= 0.8 with I the sum of the lesser weights, which is 9 I >= 8 k.
 
@@ -117,19 +119,21 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     lined = hits.where("m >= k").groupBy("_id", "text_hash", "item_id", "len", "k", "m", "plain").agg(F.array_sort(F.collect_set("pos")).alias("p"))
     first = F.expr("IF(plain, filter(p, (x, i) -> i = 0 OR p[i - 1] < x - 1), p)")
     starts = F.transform(first, lambda x: F.least(x, F.col("m") - F.col("k")))
-    seen = lined.select("_id", "text_hash", F.explode(F.transform(F.array_distinct(starts), lambda s: F.struct("len", "k", s.alias("start")))).alias("c"))
-    seen = materialise(seen.groupBy("_id", "text_hash").agg(F.collect_set("c").alias("c")), "windows")
+    # A window is fingerprinted once, and goes with the items whose hits it begins at.
+    seen = lined.select("_id", "text_hash", F.struct("item_id").alias("_item"), "len", "k", F.explode(F.array_distinct(starts)).alias("start"))
+    seen = seen.groupBy("_id", "text_hash", "len", "k", "start").agg(F.collect_set("_item").alias("items"))
+    seen = materialise(seen.groupBy("_id", "text_hash").agg(F.collect_list(F.struct("len", "k", "start", "items")).alias("c")), "windows")
     text = base.join(seen, ["_id", "text_hash"]).dropDuplicates(["_id", "text_hash"])
     cut = text.select("_id", "text_hash", "c", words(F.col("text")).alias("w"))
     for n in lengths:
         cut = cut.withColumn(f"s{n}", shingles(F.col("w"), n))
     window = F.coalesce(*[F.expr(f"CASE WHEN x.len = {n} AND x.start + x.k <= size(s{n}) THEN slice(s{n}, x.start + 1, x.k) END") for n in lengths])
-    wins = cut.withColumn("x", F.explode("c")).select("_id", "text_hash", "x.len", "x.k", "x.start", window.alias("win")).where("win IS NOT NULL")
-    wins = wins.withColumn("fp", simhash("win"))
+    wins = cut.withColumn("x", F.explode("c")).select("_id", "text_hash", "x.len", "x.k", "x.start", "x.items", window.alias("win")).where("win IS NOT NULL")
+    wins = wins.withColumn("fp", simhash("win")).select("*", F.explode("items").alias("_item")).drop("items")
     wins = wins.select("*", F.posexplode(blocks("fp")).alias("i", "v"))
     parts = items.select("item_id", "len", "k", "item", "ifp", F.posexplode(blocks("ifp")).alias("i", "b"))
-    parts = parts.select("item_id", "len", "k", "item", "ifp", "i", F.explode(near_values(F.col("b"), F.col("i"))).alias("v"))
-    pairs = wins.join(parts, ["len", "k", "i", "v"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS)
+    parts = parts.select("item_id", F.struct("item_id").alias("_item"), "len", "k", "item", "ifp", "i", F.explode(near_values(F.col("b"), F.col("i"))).alias("v"))
+    pairs = wins.join(parts, ["_item", "len", "k", "i", "v"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS)
     # A pair agrees in several blocks; it counts at the first of them.
     agree = F.transform(blocks("(fp ^ ifp)"), lambda v: (F.bit_count(v) <= NEAR).cast("int"))
     pairs = pairs.where(F.array_position(agree, 1) == F.col("i") + 1)
