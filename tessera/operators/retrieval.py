@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 BLOCK, ASKED = 2048, 512
 #: Blocks of queries are broadcast while all queries together are at most so many numbers (64 MB).
 MAX_NUMBERS = 8_000_000
+#: Parts that larger sets of queries are dealt to.
+SPREAD = 32
 
 
 def pending(chunks: DataFrame, cache: DataFrame) -> DataFrame:
@@ -156,7 +158,14 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int, query_id: str, vector_
 
     dims = queries.agg(F.sum(F.size(embedding)).alias("n")).first()["n"] or 0
     asked = _blocks(queries, query_id, embedding, ASKED, "q")
-    pairs = _blocks(vectors, vector_id, embedding, BLOCK, "v").join(F.broadcast(asked) if dims <= MAX_NUMBERS else asked, F.col("v_n") == F.col("q_n"))
+    blocks = _blocks(vectors, vector_id, embedding, BLOCK, "v")
+    if dims <= MAX_NUMBERS:
+        pairs = blocks.join(F.broadcast(asked), F.col("v_n") == F.col("q_n"))
+    else:
+        # Each block of vectors goes to SPREAD parts, each block of queries to one, so the join has more keys than dimensions.
+        asked = asked.withColumn("q_p", F.pmod(F.xxhash64("q_ids"), F.lit(SPREAD)))
+        blocks = blocks.withColumn("v_p", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
+        pairs = blocks.join(asked, (F.col("v_n") == F.col("q_n")) & (F.col("v_p") == F.col("q_p")))
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

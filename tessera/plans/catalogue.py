@@ -179,9 +179,9 @@ def latest_month_lookup(spark: SparkSession, d: str) -> DataFrame:
 @_query(f"""WITH {_SALES}, m AS (SELECT property_type, month, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_price FROM sales GROUP BY ALL)
     SELECT property_type, month, avg_price, avg_price - lag(avg_price) OVER (PARTITION BY property_type ORDER BY month) AS change FROM m""")
 def mom_change(spark: SparkSession, d: str) -> DataFrame:
-    marts.legs(_sales(spark, d), ("property_type", "month"), "price", *_S).createOrReplaceTempView("tessera_mom")
-    return spark.sql("""WITH m AS (SELECT property_type, month, total_sale_value / CAST(n_sold AS DOUBLE) AS avg_price FROM tessera_mom)
-        SELECT property_type, month, avg_price, avg_price - lag(avg_price) OVER w AS change FROM m WINDOW w AS (PARTITION BY property_type ORDER BY month)""")
+    rows = marts.legs(_sales(spark, d), ("property_type", "month"), "price", *_S)
+    return spark.sql("""WITH m AS (SELECT property_type, month, total_sale_value / CAST(n_sold AS DOUBLE) AS avg_price FROM {rows})
+        SELECT property_type, month, avg_price, avg_price - lag(avg_price) OVER w AS change FROM m WINDOW w AS (PARTITION BY property_type ORDER BY month)""", rows=rows)
 
 
 @_query(f"""WITH {_RENTS} SELECT bedroom_band, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_rent, count(*) AS n FROM rents
@@ -853,9 +853,9 @@ def realtime_score(spark: SparkSession, d: str) -> DataFrame:
     """The latest month through a SQL function that takes a struct and returns one: what a served model is in SQL."""
     spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION tessera_score(x STRUCT<rent_lag_1: DOUBLE, rent_mean_3: DOUBLE, rent_lag_12: DOUBLE>) RETURNS STRUCT<score: DOUBLE, version: STRING>
         RETURN named_struct('score', round(0.5D * x.rent_lag_1 + 0.3D * x.rent_mean_3 + 0.2D * coalesce(x.rent_lag_12, x.rent_lag_1), 3), 'version', 'v1')""")
-    marts.latest(_features(spark, d), "month").createOrReplaceTempView("tessera_latest")
+    rows = marts.latest(_features(spark, d), "month")
     return spark.sql("""SELECT postcode, property_type, month, r.score, r.version FROM (SELECT *, tessera_score(named_struct('rent_lag_1', CAST(rent_lag_1 AS DOUBLE),
-        'rent_mean_3', rent_mean_3, 'rent_lag_12', CAST(rent_lag_12 AS DOUBLE))) AS r FROM tessera_latest)""")
+        'rent_mean_3', rent_mean_3, 'rent_lag_12', CAST(rent_lag_12 AS DOUBLE))) AS r FROM {rows})""", rows=rows)
 
 
 @_query(f"""WITH {_FEATURES}, top AS (SELECT max(month) AS m FROM feats) SELECT 'reference' AS part, count(*) AS n, min(month) AS first, max(month) AS last FROM feats, top WHERE month >= CAST(m - INTERVAL 24 MONTH AS DATE) AND month < m
