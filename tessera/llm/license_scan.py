@@ -9,7 +9,8 @@ length no known one has are not hashed, which loses none.
 
 The catalogue is given as rows (id, kind, text) and broadcast while it has at most
 MAX_KNOWN entries; Spark chooses the join beyond that. The built-in one has the short
-licences of TEXTS and the notices; ``catalogue(spark, folder)`` adds whole texts from a
+licences of TEXTS and the notices, and of the long ones in DIGESTS the digests alone, as
+no more is needed to look a text up; ``catalogue(spark, folder)`` adds whole texts from a
 folder of any store, one file each, named by its id (Apache-2.0, GPL-3.0.txt, ...).
 
 Defined results: null, empty and unknown texts have null license_id and no notices;
@@ -73,6 +74,24 @@ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLI
 For more information, please refer to <https://unlicense.org>""",
     "WTFPL": "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE Version 2, December 2004. Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed. TERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION 0. You just DO WHAT THE FUCK YOU WANT TO.",
 }
+# Length and SHA-256 of the canonical form of whole licence texts that are too
+# long to be kept here, as Linux distributions ship them (CC-BY-SA as its legal code).
+DIGESTS = {
+    "Apache-2.0": (9682, "d316e08195b8847cef2dd2f05620913cbc1dd83414251464eeb435374eadd245"),
+    "Artistic-1.0-Perl": (5710, "de5e8896b763918701eb91e7bf8bf81f20a97c9f8dd1cacc44519e47d3462bf8"),
+    "CC-BY-SA-4.0": (17343, "9eee7243d1af3273a74046cb66f0634f17c84d07486386c78362042b0e1251cf"),
+    "CC0-1.0": (6692, "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    "GFDL-1.2": (19505, "30024246caef3c017b9497c2ef01a85b1af57f2b1ade5120b246bd1c5331aefe"),
+    "GFDL-1.3": (21868, "2cdb3890252b5010c82d7172dadd2778bc53e39a621a0c873ab9cbc5bfeab7d1"),
+    "GPL-1.0": (11765, "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
+    "GPL-2.0": (17053, "b866f5427b78991db8012466b32f51c907f5e974fde5129a47372d0d0552e3a1"),
+    "GPL-3.0": (33247, "eed166fc9889c99c1d5b1517519d97fae7d8c2e0d1e40accda99cbdf983a48d8"),
+    "LGPL-2.0": (23999, "e2c319279ddf282349927826fd110bdb5b471edc3a726a66fe333c8184a4b135"),
+    "LGPL-2.1": (25086, "13cd11e9ccd3aae212d64d9b0f62b3a67f21019c6a65212e582b2cbbeb91cb70"),
+    "LGPL-3.0": (7104, "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    "MPL-1.1": (22327, "9dfccff8eb978469e4f030a65a8f8c2c8aed4970878c37955fa82022c74f15de"),
+    "MPL-2.0": (14266, "0a9e3d32a7f24bf01d16516a5abfba9b19d53f60aef0a720705e0580ea38d942"),
+}
 #: Equivalent spellings: pattern, replacement, what every match holds; on lower-case text.
 SPELLINGS = (
     (r"\b(sub)?-?licen[cs](e[sd]?|ing)\b", "$1licens$2", "licen"),
@@ -117,11 +136,14 @@ def catalogue(spark: SparkSession, folder: str | None = None) -> DataFrame:
     return known.unionByName(spark.read.text(folder, wholetext=True).select(name.alias("id"), F.lit("text").alias("kind"), F.col("value").alias("text")))
 
 
-def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, known: DataFrame, digests: dict[str, tuple[int, str]] = DIGESTS) -> DataFrame:
     """One row per document: doc_id, text_digest, license_id, notice_ids (sorted), n_notices."""
     known = with_lines(known, F.col("text"), many=False).select("id", canonical(F.col("lines")).alias("t")).where("t <> ''")
     known = materialise(known, "known")  # else each use below would generate the whole chain again
     known = known.groupBy(F.sha2("t", 256).alias("digest")).agg(F.min("id").alias("id"), F.min(F.length("t")).alias("len"))
+    if digests:
+        more = known.sparkSession.createDataFrame([(d, i, n) for i, (n, d) in digests.items()], "digest string, id string, len int")
+        known = known.unionByName(more).groupBy("digest").agg(F.min("id").alias("id"), F.min("len").alias("len"))
     lengths = known.agg(F.count("*").alias("n"), F.collect_set("len").alias("len")).first()
     keyed = with_lines(docs.select("doc_id", whole_text().alias("text")), F.col("text"))
     keyed = keyed.select("doc_id", canonical(F.col("lines")).alias("whole"), F.split("lines", "\n").alias("lines"))

@@ -112,7 +112,7 @@ def _license_sql() -> str:
     whole = "trim(regexp_replace({}, '\\s+', ' ', 'g'))"
     return f"""
         WITH raw(id, t) AS (VALUES {", ".join(f"({quote(i)}, {quote(t)})" for i, t in known)}),
-        known AS (SELECT sha256({whole.format(_canonical_sql("t"))}) AS digest, min(id) AS id FROM raw GROUP BY ALL),
+        known AS (SELECT digest, min(id) AS id FROM (SELECT sha256({whole.format(_canonical_sql("t"))}) AS digest, id FROM raw UNION ALL VALUES {", ".join(f"({quote(d)}, {quote(i)})" for i, (_, d) in license_scan.DIGESTS.items())}) GROUP BY digest),
         docs AS (SELECT doc_id, {_canonical_sql("coalesce(text, '')")} AS lines FROM documents),
         hits AS (SELECT doc_id, list_sort(list_distinct(list(id))) AS ids FROM (SELECT doc_id, unnest(list_distinct(list_transform(string_split(lines, chr(10)), lambda x: sha256(trim(x))))) AS digest FROM docs)
                  JOIN known USING (digest) GROUP BY doc_id)
