@@ -161,7 +161,7 @@ def _best(k: int):
 
 
 def points_of(rows: DataFrame, queries: Column, k: int) -> tuple[DataFrame, DataFrame]:
-    """Distinct vectors (rep, dim, vec, way, ids), and the queries (query_id, rep). way is what is hashed, None if that is vec."""
+    """Distinct vectors (rep, dim, vec, ids), and the queries (query_id, rep): rep is the least id of equal vectors, ids their first k + 1."""
     plain = F.col("vec").isNotNull() & (F.size("vec") > 0) & F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     rows = rows.select(F.col("vec_id").cast("long"), F.col("vec").cast("array<double>")).where(F.col("vec_id").isNotNull() & plain & F.exists("vec", lambda x: x != 0))
     # 0.0 + x has no negative zero, so equal vectors have equal bits.
