@@ -250,3 +250,19 @@ def test_bucketed_merge_equals_reconcile(spark, tmp_path):
     assert state.purge(at(2)) and state.read().where("NOT is_current").count() == 0
     assert state.merge(one, at(4)) and state.read().where("is_current").count() == 202
     assert BucketedState(spark, str(tmp_path / "none"), ["a"], ["v"]).retire(one.select("a")) == []
+
+
+def test_tables_on_the_command_line(spark, tmp_path, capsys):
+    from tessera import cli
+
+    run = lambda *args: (cli.main([str(a) for a in args], spark), capsys.readouterr().out)
+    good, bad, table = tmp_path / "good", tmp_path / "bad", tmp_path / "t"
+    spark.range(100).selectExpr("id", "id % 7 AS b").repartition(5).write.parquet(str(good))
+    spark.sql("SELECT 1L AS id, 2L AS b UNION ALL SELECT 1L, NULL").write.parquet(str(bad))
+    assert run("publish", good, table, "--not-null", "b", "--key", "id") == (0, "version 1\n")
+    code, said = run("publish", bad, table, "--not-null", "b", "--key", "id")
+    assert code == 1 and "key:id: 1 rows; not_null:b: 1 rows" in said
+    assert run("cluster", table, "--by", "id,b", "--files", 3)[1] == "version 2\n" and run("compact", table)[1] == "version 3\n" and run("compact", table)[1] == "version as it was\n"
+    assert "CLUSTER BY id, b" in run("history", table)[1] and run("vacuum", table, "--keep", 1)[1] == "deleted: 1 2\n"
+    spark.range(3).write.parquet(str(tmp_path / "in" / "sales" / "a_00000001.parquet"))
+    assert run("ingest", tmp_path / "in", tmp_path / "out", "sales", "rents") == (0, "sales 3\nrents 0\n")
