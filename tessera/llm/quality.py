@@ -28,6 +28,7 @@ document count once; an empty table gives no rows. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -233,26 +234,25 @@ def probabilities(asked: DataFrame) -> tuple[DataFrame, int]:
 
     An n-gram's own level comes first; where its beginning is unknown the shorter one counts.
     """
-    wanted, counts = {ORDER: asked}, {ORDER: asked.where("c > 0")}
+    levels = {ORDER: asked}
     for n in range(ORDER - 1, 0, -1):
-        short = F.expr("substring(g, 2)").alias("g")
-        wanted[n] = materialise(wanted[n + 1].select(short).distinct(), "wanted")
-        # Continuation counts: how many different characters stand before.
-        counts[n] = materialise(counts[n + 1].groupBy(short).agg(F.count("*").alias("c")), "counts")
-    alphabet, lower = counts[1].count() + 1, None
+        # Continuation counts: how many different characters stand before, in trusted text. 0 where it is asked for only.
+        levels[n] = materialise(levels[n + 1].groupBy(F.expr("substring(g, 2)").alias("g")).agg(F.count_if(F.col("c") > 0).alias("c")), "grams")
+    sizes = [levels[n].agg(F.lit(n).alias("n"), F.count_if(F.col("c") > 0).alias("all"), *[F.count_if(F.col("c") == k).alias(f"n{k}") for k in (1, 2, 3, 4)]) for n in levels]
+    sizes = {r["n"]: r for r in reduce(DataFrame.unionByName, sizes).collect()}
+    alphabet, lower = sizes[1]["all"] + 1, None
     for n in range(1, ORDER + 1):
-        row = counts[n].agg(*[F.count_if(F.col("c") == k).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
-        n1, n2, n3, n4 = (max(1, row[f"n{k}"]) for k in (1, 2, 3, 4))
+        n1, n2, n3, n4 = (max(1, sizes[n][f"n{k}"]) for k in (1, 2, 3, 4))
         y = n1 / (n1 + 2 * n2)
         d = [min(k, max(0.1, k - (k + 1) * y * a / b)) for k, a, b in ((1, n2, n1), (2, n3, n2), (3, n4, n3))]
-        seen = counts[n].select("g", "c", F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2]).alias("d"))
-        ctx = seen.groupBy(_ctx(n).alias("ctx")).agg(F.sum("c").alias("total"), F.sum("d").alias("mass"))
-        rows = wanted[n].select("g", _ctx(n).alias("ctx"), F.expr("substring(g, 2)").alias("s"))
-        rows = rows.join(seen, "g", "left").join(ctx, "ctx", "left")
+        less = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).when(F.col("c") > 2, d[2])
+        rows = levels[n].select("g", "c", less.alias("d"), _ctx(n).alias("ctx"), F.expr("substring(g, 2)").alias("s"))
+        ctx = rows.where("c > 0").groupBy("ctx").agg(F.sum("c").alias("total"), F.sum("d").alias("mass"))
+        rows = rows.join(ctx, "ctx", "left")
         rows = rows.withColumn("q", F.lit(1.0 / alphabet)) if lower is None else rows.join(lower.select(F.col("g").alias("s"), F.col("p").alias("q")), "s")
         own = F.coalesce((F.col("c") - F.col("d")) / F.col("total"), F.lit(0.0)) + F.col("mass") / F.col("total") * F.col("q")
         below, lower = lower, materialise(rows.select("g", F.coalesce(own, "q").alias("p")), "probabilities")
-        for used in (below, *((wanted[n], counts[n]) if n < ORDER else ())):
+        for used in (below, levels[n] if n < ORDER else None):
             if used is not None:
                 discard(used)
     return lower, alphabet
