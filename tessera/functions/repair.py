@@ -17,7 +17,7 @@ def safe_double(c: Column) -> Column:
 
 
 def digits_from_floatish(c: Column) -> Column:
-    """``20150416``, ``20150416.0`` and ``2.0150416E7`` as "20150416"; truncates, NULL beyond a bigint."""
+    """``19991231``, ``19991231.0`` and ``1.9991231E7`` as "19991231"; truncates, NULL beyond a bigint."""
     return safe_double(c).try_cast("bigint").cast("string")
 
 

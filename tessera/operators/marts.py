@@ -7,24 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.medians import medians
 
-def monthly_mart(df: DataFrame, grain: Sequence[str], value: str, noun: str, total: str, n: str, digits: int | None = None) -> DataFrame:
+
+def monthly_mart(df: DataFrame, grain: Sequence[str], value: str, noun: str, total: str, n: str, digits: int | None = None, spread: bool = False) -> DataFrame:
     """Groups by grain: total and count (the legs), then average, exact median, minimum and maximum.
 
     Values are summed as exact decimals and medians taken over whole cents, so a result
-    does not depend on the order of rows. digits rounds average and median.
+    does not depend on the order of rows. digits rounds average and median. A median's
+    state is a group's distinct values; spread takes several passes instead, in which no
+    task sees a group's values, for groups that are a large part of all rows.
     """
     tidy = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
     cents = F.round(F.col(value) * 100).cast("bigint")
     exact = F.sum(F.col(value).cast("decimal(18,2)")).cast("double")
-    return df.groupBy(*grain).agg(
-        exact.alias(total),
-        F.count(value).alias(n),
-        tidy(exact / F.count(value).cast("double")).alias(f"avg_{noun}"),
-        tidy(F.percentile(cents, 0.5) / 100.0).alias(f"median_{noun}"),
-        F.min(value).alias(f"min_{noun}"),
-        F.max(value).alias(f"max_{noun}"),
-    )
+    first = [exact.alias(total), F.count(value).alias(n), tidy(exact / F.count(value).cast("double")).alias(f"avg_{noun}")]
+    ends = [F.min(value).alias(f"min_{noun}"), F.max(value).alias(f"max_{noun}")]
+    if not spread:
+        return df.groupBy(*grain).agg(*first, tidy(F.percentile(cents, 0.5) / 100.0).alias(f"median_{noun}"), *ends)
+    key = F.struct(*grain).alias("_g")  # structs of nulls are equal
+    middle = medians(df.withColumn("_cents", cents), grain, "_cents").select(key, tidy(F.col("median") / 100.0).alias(f"median_{noun}"))
+    out = df.groupBy(*grain).agg(*first, *ends).withColumn("_g", key).join(middle, "_g")
+    return out.select(*grain, total, n, f"avg_{noun}", f"median_{noun}", f"min_{noun}", f"max_{noun}")
 
 
 def legs(df: DataFrame, grain: Sequence[str], value: str, total: str, n: str) -> DataFrame:

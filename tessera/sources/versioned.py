@@ -53,6 +53,8 @@ def interleaved(df: DataFrame, by: Sequence[str], error: float = 0.0005) -> Colu
     the bounds are all that comes to the driver. Bounds that are equal, as of a value that a
     third of all rows have, give that value one rank.
     """
+    if not 0 < len(by) * (BITS + 1) < 64:
+        raise ValueError(f"one to {63 // (BITS + 1)} columns")
     spots = [i / RANKS for i in range(1, RANKS)]
     accuracy = F.lit(int(1 / error))
     row = df.agg(*[F.percentile_approx(F.col(c), F.array(*[F.lit(s) for s in spots]), accuracy).alias(c) for c in by]).first()
@@ -117,7 +119,11 @@ class VersionedTable:
             per_file = staged.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("rows"), *ends)
             per_file.write.parquet(f"{self.root}/{entry['stats']}")
             entry["columns"] = list(stats)
-        write_json(self.spark, f"{self.root}/_log/{version}.json", entry)
+        try:
+            write_json(self.spark, f"{self.root}/_log/{version}.json", entry)
+        except Exception:
+            remove(self.spark, f"{self.root}/{data}")  # another writer was faster
+            raise
         return version
 
     def refused(self) -> list[dict]:

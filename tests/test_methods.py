@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import boosted, evaluate, forecast_table, medians, model, pruned, retrieval
+from tessera.operators import boosted, evaluate, forecast_table, marts, medians, model, pruned, retrieval
 
 # Pruned search
 
@@ -69,6 +69,14 @@ def test_medians_equal_percentiles(spark, monkeypatch, bins):
     assert medians.medians(df.limit(0), ["k", "j"], "v").count() == 0
 
 
+def test_spread_mart_equals_the_plain_one(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice(["hot", "hot", None, "b"]), rng.choice([1, 2]), rng.choice([None, 10.0, 12.5, round(rng.uniform(0, 900), 2)])) for _ in range(700)] + [("none", 1, None)]
+    df = spark.createDataFrame(rows, "k string, month int, v double")
+    plain, spread = (marts.monthly_mart(df, ("k", "month"), "v", "price", "total", "n", 3, spread=s) for s in (False, True))
+    assert plain.columns == spread.columns and sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, spread.collect()), key=repr)
+
+
 # Forecasts
 
 

@@ -185,7 +185,7 @@ def test_two_writers_of_one_version(spark, tmp_path, monkeypatch):
     with pytest.raises(Exception, match="(?i)exist"):
         t.write(spark.range(2))
     monkeypatch.undo()
-    assert t.versions() == [1] and t.read().count() == 1
+    assert t.versions() == [1] and t.read().count() == 1 and len(list((tmp_path / "data").iterdir())) == 1
 
 
 def test_either_clustered_column_skips_files(spark, tmp_path):
@@ -225,6 +225,8 @@ def test_interleaving_keeps_order_of_each_column(spark):
     z = {(r.a, r.b): r.z for r in df.withColumn("z", interleaved(df, ["a", "b"])).collect()}
     assert all(z[a, b] < z[a + 1, b] and z[b, a] < z[b, a + 1] for a in range(7) for b in range(8)) and len(set(z.values())) == 64
     assert interleaved(df.limit(0), ["a"]) is not None
+    with pytest.raises(ValueError, match="one to 5 columns"):
+        interleaved(df, ["a", "b"] * 3)
 
 
 # Buckets
