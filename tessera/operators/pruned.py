@@ -9,6 +9,8 @@ the result is that of a full comparison, whatever the centroids are.
 
 Centroids and radii are all that comes to the driver. Groups are kept as blocks, so a group
 of any size is many rows; queries meet them in blocks too, one product of matrices each.
+Joins are told to shuffle: a query's vector goes to each group that it visits, and a file in
+which vectors repeat is so small that Spark would take them for something to broadcast.
 """
 
 from __future__ import annotations
@@ -162,7 +164,7 @@ def top_k(queries: DataFrame, groups: Groups, k: int, query_id: str, vector_id:
         if seen:
             # The k-th score so far as a distance of unit vectors; without k of them nothing is ruled out.
             kth = found.where(F.col("rank") == k).select(F.col(query_id).alias("id"), F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("score"))).alias("far"))
-            reach = ways.join(kth, "id", "left").where(F.col("far").isNull() | (F.element_at("low", seen + 1) <= F.col("far") + SLACK))
+            reach = ways.hint("merge").join(kth, "id", "left").where(F.col("far").isNull() | (F.element_at("low", seen + 1) <= F.col("far") + SLACK))
         else:
             reach = ways.withColumn("far", F.lit(None).cast("double"))
         some = F.slice(F.arrays_zip("order", "low"), seen + 1, step)
@@ -173,7 +175,7 @@ def top_k(queries: DataFrame, groups: Groups, k: int, query_id: str, vector_id:
             break
         visited += n
         packs = due.repartition("grp", F.pmod(F.xxhash64("id"), F.lit(16))).sortWithinPartitions("grp").mapInArrow(_packed(ASKED), f"grp int, ids array<{kinds[0]}>, m binary")
-        pairs = packs.select("grp", F.col("ids").alias("q_ids"), F.col("m").alias("q_m")).join(groups.blocks, "grp")
+        pairs = packs.select("grp", F.col("ids").alias("q_ids"), F.col("m").alias("q_m")).hint("merge").join(groups.blocks, "grp")
         more = pairs.select("q_ids", "q_m", "ids", "m").mapInArrow(meet, shape)
         both = found.select(query_id, vector_id, "score").unionByName(more)
         found = written(both.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k), "found")

@@ -270,3 +270,20 @@ def test_store_registry(spark, tmp_path, monkeypatch):
 
     monkeypatch.setattr(model.StoreRegistry, "versions", late)
     assert r.register("d", 9.5) == (4, False)
+
+
+def test_pruned_search_broadcasts_neither_blocks_nor_queries(spark, monkeypatch):
+    """Vectors that repeat fill small files; what is joined must not go through the driver by their size."""
+    df = spark.createDataFrame([(i, [float(i % 7), 1.0, float(i % 3)]) for i in range(300)], "vid long, e array<double>")
+    plans, own = [], pruned.written
+
+    def watched(rows, tag):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return own(rows, tag)
+
+    monkeypatch.setattr(pruned, "CENTROIDS", 16)
+    monkeypatch.setattr(pruned, "written", watched)
+    asked = df.where("vid % 20 = 0").select(F.col("vid").alias("qid"), "e")
+    hits, _ = pruned.top_k(asked, pruned.group(df, "vid", "e"), 5, "qid", "vid", embedding="e")
+    assert hits.count() == 75
+    assert any("Join" in p for p in plans) and not any("BroadcastHashJoin" in p for p in plans)
