@@ -60,15 +60,19 @@ def interleaved(df: DataFrame, by: Sequence[str], error: float = 0.0005) -> Colu
     row = df.agg(*[F.percentile_approx(F.col(c), F.array(*[F.lit(s) for s in spots]), accuracy).alias(c) for c in by]).first()
     ranks = []
     for c in by:
-        bounds = sorted(set(row[c] or ()))
+        # As Spark orders them, NaN last.
+        bounds = sorted({b for b in row[c] or () if b == b}) + [b for b in row[c] or () if b != b][:1]
         ranks.append(_rank(F.col(c), F.array(*[F.lit(b).cast(df.schema[c].dataType) for b in bounds])) if bounds else F.lit(0))
     bits = [F.shiftleft(F.shiftright(r, b).bitwiseAND(F.lit(1)).cast("long"), b * len(ranks) + i) for i, r in enumerate(ranks) for b in range(BITS + 1)]
     return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
 def _rank(value: Column, bounds: Column) -> Column:
-    """1 and the number of bounds that are no greater; 0 for NULL."""
-    return F.when(value.isNull(), 0).otherwise(1 + F.size(F.filter(bounds, lambda b: b <= value)))
+    """1 and the number of bounds that are no greater; 0 for NULL. The bounds are ascending, fewer than RANKS, and searched by halves."""
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(BITS))])
+    # Beyond the last bound there is NULL, which is no lower than any value.
+    below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(bounds, at + step - 1) <= value, at + step).otherwise(at))
+    return F.when(value.isNull(), 0).otherwise(1 + below)
 
 
 class VersionedTable:

@@ -13,6 +13,7 @@ from tessera.operators.bucketed import BucketedState
 from tessera.operators.quality import CheckFailed
 from tessera.operators.versions import reconcile
 from tessera.sources import landing
+from tessera.sources import versioned
 from tessera.sources.versioned import VersionedTable, audit, interleaved
 from tessera.streaming import merging
 from tessera.streaming.incremental import IncrementalMart
@@ -229,6 +230,19 @@ def test_interleaving_keeps_order_of_each_column(spark):
         interleaved(df, ["a", "b"] * 3)
 
 
+def test_ranks_are_searched_by_halves(spark):
+    """A row is compared with ten bounds, not with each of a thousand; the rank is the plain count."""
+    nan = float("nan")
+    for bounds in ([float(3 * i) for i in range(1023)], [1.0, 2.5, nan], [0.0]):
+        df = spark.createDataFrame([(x,) for x in (None, -1.0, 0.0, 1.0, 2.5, 3.0, 1534.5, 3066.0, 9999.0, float("inf"), nan)], "x double")
+        rank = versioned._rank(F.col("x"), F.array(*map(F.lit, bounds)))
+        got = df.select("x", rank.alias("r"), F.lit(1).alias("one")).collect()
+        # NaN is the largest and equals itself.
+        low = lambda b, x: x != x or (b == b and b <= x)
+        assert [r.r for r in got] == [0 if r.x is None else 1 + sum(low(b, r.x) for b in bounds) for r in got]
+        assert "filter(" not in df.select(rank)._jdf.queryExecution().optimizedPlan().toString()
+
+
 # Buckets
 
 
