@@ -68,7 +68,7 @@ def pack(batches: Iterator[pa.RecordBatch], level: int = MOVES) -> Iterator[pa.R
         if open_texts:
             sizes.append([len(t) for t in open_texts])
             whole = "".join(open_texts)
-            seen = np.union1d(seen, _sampled(whole))
+            seen = _different(np.concatenate([seen, _sampled(whole)]))
             raw = whole.encode("utf-8", "replace")
             name.update(raw)
             pieces.append(squeeze.compress(raw))
@@ -102,6 +102,12 @@ PACK_NAMES = [c.split()[0] for c in PACKED.split(", ")]
 PACK_TYPES = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.bool_()), pa.list_(pa.list_(pa.int32())), pa.list_(pa.binary())]
 
 
+def _different(values: np.ndarray) -> np.ndarray:
+    """The different values, ascending; by a sort, which is faster here than unique's table."""
+    values = np.sort(values)
+    return values[np.flatnonzero(np.diff(values, prepend=~values[:1]))]
+
+
 def _sampled(text: str) -> np.ndarray:
     """One in SAMPLED of the different hashes of a text's n-grams, by the hash: cheap ones, 32 bits wide."""
     cps = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
@@ -112,7 +118,7 @@ def _sampled(text: str) -> np.ndarray:
     for k in range(1, ORDER):
         h = h * np.uint32(0x9E3779B1) + cps[k : k + n]
     h = (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA6B)
-    return np.unique(h[h >> np.uint32(16) & np.uint32(SAMPLED - 1) == 0])
+    return _different(h[h >> np.uint32(16) & np.uint32(SAMPLED - 1) == 0])
 
 
 def _mixed(cps: np.ndarray) -> np.ndarray:
@@ -167,16 +173,18 @@ def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 flags = np.array(trusted[at : at + len(size)], bool)
                 at += len(size)
                 for h, owner, start, cps in positions(_texts(size, piece)):
-                    j = np.searchsorted(known, h)
-                    new = np.flatnonzero(known[np.minimum(j, len(known) - 1)] != h) if len(known) else np.arange(len(h))
+                    # Sorted first, so that each different n-gram is looked up once and next to the one before.
+                    order = np.argsort(h)
+                    own, good = h[order], flags[owner]
+                    heads = np.flatnonzero(np.diff(own, prepend=~own[:1]))
+                    own = own[heads]
+                    j = np.searchsorted(known, own)
+                    new = np.flatnonzero(known[np.minimum(j, len(known) - 1)] != own) if len(known) else np.arange(len(own))
                     if len(new):
-                        fresh, first = np.unique(h[new], return_index=True)
-                        own = cps[start[new[first]][:, None] + np.arange(ORDER)]
-                        to = np.searchsorted(known, fresh)
-                        known, grams, counts = np.insert(known, to, fresh), np.insert(grams, to, own, axis=0), np.insert(counts, to, 0)
-                    good = h[flags[owner]]
-                    if len(good):
-                        counts += np.bincount(np.searchsorted(known, good), minlength=len(known))
+                        text = cps[start[order[heads[new]]][:, None] + np.arange(ORDER)]
+                        known, grams, counts = np.insert(known, j[new], own[new]), np.insert(grams, j[new], text, axis=0), np.insert(counts, j[new], 0)
+                    if good.any():
+                        counts[np.searchsorted(known, own)] += np.add.reduceat(good[order].astype(np.int64), heads)
             for lo in range(0, len(known), 65536):
                 part = slice(lo, lo + 65536)
                 n, whole = len(known[part]), grams[part].astype("<u4").tobytes().decode("utf-32-le")
@@ -214,17 +222,37 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             p = np.concatenate([np.empty(0, np.float32), *(np.frombuffer(a["p"], np.float32) for a in row["answers"])]).astype(np.float64)
             order = np.argsort(h)
             h, p = h[order], p[order]
+            places = Places(h) if len(h) else None
             score: list[float | None] = []
             for size, piece in zip(row["sizes"], row["pieces"], strict=True):
                 total = np.zeros(len(size))
                 for own, owner, _, _ in positions(_texts(size, piece)):
-                    total += np.bincount(owner, p[np.searchsorted(h, own)], len(size))
+                    total += np.bincount(owner, p[places.of(own)], len(size))
                 score += [t / n if n else None for t, n in zip(total.tolist(), size, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row["ids"], pa.int64()), pa.array(row["langs"], pa.string()), pa.array(row["trusted"], pa.bool_()), pa.array(score, pa.float64())], ["doc_id", "lang", "trusted", "score"]
             )
 
 
+class Places:
+    """Where values stand in an ascending array of hashes: a table by their first bits, then a few steps on."""
+
+    def __init__(self, known: np.ndarray):
+        self.known = known
+        bits = max(1, int(len(known)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(known, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        """As searchsorted finds them; every value of h must be known."""
+        at = self.first[(h >> self.shift).astype(np.int64)]
+        late = np.flatnonzero(self.known[at] < h)
+        while len(late):
+            at[late] += 1
+            late = late[self.known[at[late]] < h[late]]
+        return at
+
+
 def _ctx(n: int) -> Column:
     return F.substring("g", 1, n - 1)
 
