@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, decontamination, exact_dedup, near_copies, toxicity
+from tessera.llm import bpe, decontamination, exact_dedup, simhash, toxicity
 from tessera.llm.queries import vocabulary
 from tessera.llm.shared import discard, materialise, read
 
@@ -32,8 +32,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies (five-word shingles, 0.8 or more): the least doc_id."""
-    return near_copies.keep_one(docs)
+    """One document of each component of op7's links (SimHash, BK-trees) and of near copies beyond them (five-word shingles, 0.8 or more): the least doc_id."""
+    return simhash.keep_one(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

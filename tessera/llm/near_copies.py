@@ -27,7 +27,7 @@ rows are one entry, of which one row stays; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -89,12 +89,17 @@ def shard_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     return out
 
 
-def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        sets = [shingle_set(t) for t in b.column("text").to_pylist()]
-        keys = [xxhash.xxh64_intdigest(s.tobytes(), SEED) - (1 << 63) for s in sets]
-        columns = [b.column("doc_id"), b.column("_h"), pa.array(keys, pa.int64()), pa.array([bands(s) for s in sets], pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "_h", "entry", "bands"])
+def _prints(fingerprint: Callable[[str], int] | None):
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column("text").to_pylist()
+            sets = [shingle_set(t) for t in texts]
+            keys = [xxhash.xxh64_intdigest(s.tobytes(), SEED) - (1 << 63) for s in sets]
+            fps = np.array([fingerprint(t) if fingerprint else 0 for t in texts], np.uint64).view(np.int64)
+            columns = [b.column("doc_id"), b.column("_h"), pa.array(keys, pa.int64()), pa.array([bands(s) for s in sets], pa.list_(pa.int64())), pa.array(fps)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "_h", "entry", "bands", "fp"])
+
+    return go
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,13 +176,29 @@ def links(docs: DataFrame, prints: DataFrame) -> DataFrame:
     return found
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """docs with one row of each component: the least doc_id, then the least hash of the text; all columns."""
+def fingerprint_links(prints: DataFrame, link: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(a, b) links of entries with equal fingerprints, and of those whose fingerprints ``link`` links."""
+    prints = prints.select("entry", "fp").distinct()
+    first = materialise(prints.groupBy("fp").agg(F.min("entry").alias("first")), "fingerprints")
+    same = prints.join(first, "fp").where("entry <> first").select(F.col("entry").alias("a"), F.col("first").alias("b"))
+    ends = [first.select(F.col("fp").alias(f"fp_{c}"), F.col("first").alias(c)) for c in ("a", "b")]
+    near = link(first.select("fp")).select(F.col("a").alias("fp_a"), F.col("b").alias("fp_b"))
+    return same.unionByName(near.join(ends[0], "fp_a").join(ends[1], "fp_b").select("a", "b"))
+
+
+def keep_one(docs: DataFrame, fingerprint: Callable[[str], int] | None = None, link: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """docs with one row of each component: the least doc_id, then the least hash of the text; all columns.
+
+    With ``fingerprint`` of a text and ``link`` from distinct ones (fp) to links (a, b), these links count too.
+    """
     prepare_workers(docs.sparkSession)
     hashed = docs.select("doc_id", F.xxhash64(whole_text()).alias("_h"), whole_text().alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    prints = materialise(hashed.mapInArrow(_prints, f"doc_id {kind}, _h long, entry long, bands array<long>"), "prints")
-    labels = components(links(docs, prints))
+    prints = materialise(hashed.mapInArrow(_prints(fingerprint), f"doc_id {kind}, _h long, entry long, bands array<long>, fp long"), "prints")
+    found = links(docs, prints)
+    if fingerprint and link:
+        found = found.unionByName(fingerprint_links(prints, link))
+    labels = components(found)
     rows = prints.select("doc_id", "_h", "entry").join(labels, F.col("entry") == F.col("v"), "left")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_h")
     # By the label, not the least doc_id: one id on two texts does not make their components one.

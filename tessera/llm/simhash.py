@@ -29,8 +29,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm import near_copies
 from tessera.llm.components import components
-from tessera.llm.near_copies import keep_one as keep_one
 from tessera.llm.shared import materialise, prepare_workers, whole_text
 
 SHINGLE = 3
@@ -171,3 +171,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
     rows = materialise(with_fingerprint(docs.select("doc_id", "text"), "fp").select("doc_id", "fp"), "prints")
     out = rows.join(group_fingerprints(rows), "fp")
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """docs with one row, the least doc_id, of each component of fingerprints within RADIUS bits and of near copies, together."""
+    return near_copies.keep_one(docs, fingerprint, link_fingerprints)

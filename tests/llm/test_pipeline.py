@@ -104,3 +104,14 @@ def test_stages_on_empty_and_repeated_rows(spark, tmp_path):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, d).count() == {"exact_dedup": 2, "near_copies": 2}.get(name, 5), name
         assert stage(spark, docs.limit(0), d).count() == 0
+
+
+def test_near_copies_are_linked_by_fingerprints_too(spark, tmp_path):
+    """Long texts that differ in a twentieth share their fingerprint, though hardly a shingle as a set: op7 links them."""
+    base = "red green blue " * 250
+    tail = lambda c: " ".join(f"{c}{i}" for i in range(40))
+    texts = {1: base + tail("u"), 2: base + tail("v"), 3: tail("w"), 4: None}
+    assert (simhash.fingerprint(texts[1]) ^ simhash.fingerprint(texts[2])).bit_count() <= simhash.RADIUS
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in out.collect()) == [1, 3, 4] and out.columns == docs.columns
