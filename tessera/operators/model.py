@@ -12,6 +12,8 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources.scratch import written
+
 MARGIN = 0.02
 
 
@@ -21,7 +23,8 @@ def with_missing_flags(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
 
 def fit(train: DataFrame, categorical: Sequence[str], numeric: Sequence[str], target: str, seed: int = 7, rounds: int = 20, depth: int = 4) -> PipelineModel:
     """Trees over indexed categories (unseen ones have an index of their own), imputed numbers and missing flags."""
-    ready = with_missing_flags(train, numeric).where(F.col(target).isNotNull())
+    # Written once: categories, medians and trees each read the rows, and lags or medians behind them are not computed again.
+    ready = written(with_missing_flags(train, numeric).where(F.col(target).isNotNull()), "training")
     most = max([32, *(r + 2 for r in ready.agg(*[F.count_distinct(c).alias(c) for c in categorical]).first())]) if categorical else 32
     stages = [StringIndexer(inputCol=c, outputCol=f"{c}_i", handleInvalid="keep") for c in categorical]
     stages.append(Imputer(inputCols=list(numeric), outputCols=[f"{c}_f" for c in numeric], strategy="median"))

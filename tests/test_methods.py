@@ -287,3 +287,18 @@ def test_pruned_search_broadcasts_neither_blocks_nor_queries(spark, monkeypatch)
     hits, _ = pruned.top_k(asked, pruned.group(df, "vid", "e"), 5, "qid", "vid", embedding="e")
     assert hits.count() == 75
     assert any("Join" in p for p in plans) and not any("BroadcastHashJoin" in p for p in plans)
+
+
+def test_fit_computes_its_rows_once(spark):
+    """What lies behind the training rows, such as medians and lags, is not computed again for each pass."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    df = spark.range(60).select((F.col("id") % 3).cast("string").alias("c"), F.col("id").cast("double").alias("x"), counted(F.col("id").cast("double")).alias("y"))
+    model.fit(df, ["c"], ["x"], "y", rounds=1, depth=1)
+    print("computed", seen.value)
+    assert seen.value <= 2 * 60  # the filter on the target may compute it once more
