@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: Vectors in a block, and queries in one.
 BLOCK, ASKED = 2048, 512
+#: Queries whose scores against a block are held at once.
+PART = 128
 #: Blocks of queries are broadcast while all queries together are at most so many numbers (64 MB).
 MAX_NUMBERS = 8_000_000
 #: Parts that larger sets of queries are dealt to.
@@ -169,17 +171,22 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int, query_id: str, vector_
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for qi, qm, vi, vm, n in zip(*(b.column(c).to_pylist() for c in ("q_ids", "q_m", "v_ids", "v_m", "q_n")), strict=True):
+            for row in range(len(b)):
+                # One pair of blocks at a time, its matrices where Arrow has them; scores of PART queries at a time.
+                qi, vi, n = (b.column(c)[row].as_py() for c in ("q_ids", "v_ids", "q_n"))
+                q, v = (np.frombuffer(b.column(c)[row].as_buffer()).reshape(-1, n) for c in ("q_m", "v_m"))
                 by_id = np.argsort(np.array(vi))
-                ids = np.array(vi)[by_id]
-                # Equal vectors have equal scores wherever they stand in a block.
-                score = np.round(np.frombuffer(qm).reshape(-1, n) @ np.frombuffer(vm).reshape(-1, n)[by_id].T, 12)
-                if exclude_self:
-                    score[np.array(qi)[:, None] == ids[None, :]] = -np.inf
-                best = np.argsort(-score, axis=1, kind="stable")[:, :k]
-                found = np.take_along_axis(score, best, 1)
-                keep = np.isfinite(found)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(qi), keep.sum(1))), pa.array(ids[best[keep]]), pa.array(found[keep])], [query_id, vector_id, "score"])
+                ids, asking, v = np.array(vi)[by_id], np.array(qi), v[by_id]
+                for at in range(0, len(qi), PART):
+                    own = asking[at : at + PART]
+                    # Equal vectors have equal scores wherever they stand in a block.
+                    score = np.round(q[at : at + PART] @ v.T, 12)
+                    if exclude_self:
+                        score[own[:, None] == ids[None, :]] = -np.inf
+                    best = np.argsort(-score, axis=1, kind="stable")[:, :k]
+                    found = np.take_along_axis(score, best, 1)
+                    keep = np.isfinite(found)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(own, keep.sum(1))), pa.array(ids[best[keep]]), pa.array(found[keep])], [query_id, vector_id, "score"])
 
     kinds = (queries.schema[query_id].dataType.simpleString(), vectors.schema[vector_id].dataType.simpleString())
     scored = pairs.select("q_ids", "q_m", "v_ids", "v_m", "q_n").mapInArrow(go, f"{query_id} {kinds[0]}, {vector_id} {kinds[1]}, score double")

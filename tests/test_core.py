@@ -384,3 +384,13 @@ def test_row_filter_leaves_no_view(spark):
 
     out = row_filter(spark, "tessera_small", "id", "bigint", "x < 2", spark.range(5))
     assert out.count() == 2 and not [t for t in spark.catalog.listTables() if "filtered" in t.name]
+
+
+def test_top_k_holds_scores_of_few_queries_at_once(spark, monkeypatch):
+    """A pair of blocks is scored PART queries at a time, with the same rows."""
+    v = spark.range(1, 41).select(F.col("id").alias("vec_id"), F.array(*[F.sin(F.col("id") * i) for i in (1, 2, 3)]).alias("embedding"))
+    q = v.select(F.col("vec_id").alias("qid"), "embedding")
+    find = lambda: sorted(map(tuple, retrieval.top_k(q, v, 3, "qid", "vec_id", exclude_self=True).collect()))
+    whole = find()
+    monkeypatch.setattr(retrieval, "PART", 7)
+    assert find() == whole and len(whole) == 120
